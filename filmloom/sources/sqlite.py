@@ -1,0 +1,157 @@
+"""SQLite files as a Spark data source, read in rowid ranges.
+
+``path`` is one file or a folder of shard files that all executors can reach.
+Every file is cut into ranges of ``rows`` rowids, and each range is a task that
+streams Arrow batches.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import sqlite3
+import uuid
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
+
+
+def _connect(path: str) -> sqlite3.Connection:
+    # Read-only and immutable: no lock files, so any number of readers may share it.
+    return sqlite3.connect(f"file:{path}?mode=ro&immutable=1", uri=True)
+
+
+def _timestamp(value: object) -> dt.datetime | None:
+    if value is None:
+        return None
+    text = str(value).strip().replace("Z", "+00:00")
+    # "+00" is a common short form of the offset.
+    if len(text) > 3 and text[-3] in "+-" and ":" not in text[-3:]:
+        text += ":00"
+    stamp = dt.datetime.fromisoformat(text)
+    return stamp if stamp.tzinfo else stamp.replace(tzinfo=dt.timezone.utc)
+
+
+def _converter(kind: T.DataType) -> Callable[[object], object] | None:
+    if isinstance(kind, T.TimestampType):
+        return _timestamp
+    if isinstance(kind, T.DateType):
+        return lambda v: None if v is None else dt.date.fromisoformat(str(v)[:10])
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return lambda v: None if v is None else float(v)
+    if isinstance(kind, T.StringType):
+        return lambda v: None if v is None else str(v)
+    return None
+
+
+class RowidRange(InputPartition):
+    def __init__(self, path: str, first: int, last: int):
+        self.path, self.first, self.last = path, first, last
+
+
+class SqliteReader(DataSourceReader):
+    def __init__(self, schema: T.StructType, options: dict[str, str]):
+        self.schema = schema
+        self.path = options["path"]
+        self.table = options["table"]
+        self.rows = int(options.get("rows", "1000000"))
+        self.batch = int(options.get("batch", "10000"))
+        self.sources = options.get("columns", "").split(",") if options.get("columns") else schema.names
+
+    def _files(self) -> list[str]:
+        if not os.path.isdir(self.path):
+            return [self.path]
+        return sorted(os.path.join(self.path, f) for f in os.listdir(self.path) if f.endswith(".sqlite"))
+
+    def partitions(self) -> list[InputPartition]:
+        ranges: list[InputPartition] = []
+        for path in self._files():
+            with _connect(path) as con:
+                low, high = con.execute(f'SELECT min(rowid), max(rowid) FROM "{self.table}"').fetchone()
+            con.close()
+            if low is not None:
+                ranges += [
+                    RowidRange(path, first, min(first + self.rows - 1, high))
+                    for first in range(low, high + 1, self.rows)
+                ]
+        return ranges
+
+    def read(self, partition: RowidRange | None) -> Iterator[pa.RecordBatch]:
+        # Without any file or row Spark still asks for one, empty, partition.
+        if partition is None:
+            return
+        arrow = to_arrow_schema(self.schema)
+        convert = [_converter(f.dataType) for f in self.schema]
+        picked = ", ".join(f'"{c}"' for c in self.sources)
+        con = _connect(partition.path)
+        try:
+            cursor = con.execute(
+                f'SELECT {picked} FROM "{self.table}" WHERE rowid BETWEEN ? AND ?',
+                (partition.first, partition.last),
+            )
+            while rows := cursor.fetchmany(self.batch):
+                columns = list(zip(*rows, strict=True))
+                arrays = [
+                    pa.array([fn(v) for v in column] if fn else column, type=f.type)
+                    for column, fn, f in zip(columns, convert, arrow, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        finally:
+            con.close()
+
+
+class SqliteSource(DataSource):
+    """Options: ``path``, ``table``, ``rows`` per task, ``batch``, ``columns`` (source names)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "sqlite_file"
+
+    def schema(self) -> str:
+        raise ValueError("declare the schema with .schema(ddl)")
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return SqliteReader(schema, self.options)
+
+
+def read_sqlite(
+    spark: SparkSession, path: str, table: str, ddl: str, columns: list[str] | None = None, rows: int = 1_000_000
+) -> DataFrame:
+    """Scan a table; ``columns`` gives the source names where they differ from ``ddl``."""
+    spark.dataSource.register(SqliteSource)
+    reader = spark.read.format("sqlite_file").schema(ddl).option("table", table).option("rows", str(rows))
+    if columns:
+        reader = reader.option("columns", ",".join(columns))
+    return reader.option("path", path).load()
+
+
+def write_sqlite_shards(df: DataFrame, folder: str, table: str) -> int:
+    """Write each partition as one SQLite file in a shared folder; returns the row count.
+
+    A task fills a file under a name of its own and publishes it, at the end,
+    under the name of its partition: a task that runs again replaces its file.
+    """
+    os.makedirs(folder, exist_ok=True)
+    names = df.columns
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = TaskContext.get().partitionId()
+        part = os.path.join(folder, f"{index:06d}.{uuid.uuid4().hex}.part")
+        con = sqlite3.connect(part)
+        con.execute(f'CREATE TABLE "{table}" ({", ".join(f'"{n}"' for n in names)})')
+        insert = f'INSERT INTO "{table}" VALUES ({", ".join("?" for _ in names)})'
+        written = 0
+        for batch in batches:
+            con.executemany(insert, zip(*[column.to_pylist() for column in batch.columns], strict=True))
+            written += batch.num_rows
+        con.commit()
+        con.close()
+        os.replace(part, os.path.join(folder, f"{index:06d}.sqlite"))
+        yield pa.RecordBatch.from_pydict({"rows": [written]})
+
+    return df.mapInArrow(write, "rows bigint").agg({"rows": "sum"}).first()[0] or 0
