@@ -133,3 +133,8 @@ def documents_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
         F.lit(None).cast("timestamp").alias("modified"),
     )
     return Catalog(film=film, **_links(spark, sf_dir))
+
+
+def document_ddl(key: str = "string") -> str:
+    """The film document's schema for another key type."""
+    return FILM_DOCUMENT.replace("id string", f"id {key}", 1).replace("id:string", f"id:{key}")

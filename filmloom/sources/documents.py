@@ -8,14 +8,14 @@ later. One writer at a time.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filmloom.operators.checks import conform
+from filmloom.operators.checks import conform, require_none
 from filmloom.session import materialise
 
 LOG = "version bigint, folder string, replaces array<int>, written array<int>, at timestamp"
@@ -36,7 +36,7 @@ class DocumentTable:
     def _log(self) -> list:
         # One line for each commit: control data, not rows of the table.
         try:
-            return self.spark.read.schema(LOG).json(f"{self.path}/log").orderBy("version").collect()
+            return self.spark.read.schema(LOG).parquet(f"{self.path}/log").orderBy("version").collect()
         except AnalysisException:
             return []
 
@@ -82,13 +82,22 @@ class DocumentTable:
         found = self.spark.read.schema(f"{self.ddl}, _bucket int").parquet(f"{self.path}/{folder}")
         written = sorted(r[0] for r in found.select("_bucket").distinct().collect())
         entry = self.spark.createDataFrame([(version, folder, replaces, written)], LOG.rsplit(",", 1)[0])
-        entry.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").json(f"{self.path}/log")
+        entry.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
         return version
 
     def append(self, docs: DataFrame) -> int:
         """Add documents as they are: an id that exists already is then held twice."""
         return self._commit(conform(docs, self.ddl), [])
 
+    def insert(self, docs: DataFrame) -> int:
+        """Add rows with new ids; an id held already, or given twice, fails the batch."""
+        repeated = docs.groupBy(self.key).count().filter("count > 1")
+        require_none({
+            "repeated id": repeated,
+            "existing id": docs.join(self.read().select(self.key), self.key, "left_semi"),
+        })
+        return self.append(docs)
+
     def latest(self, docs: DataFrame, order: str | None = None) -> DataFrame:
         """One row for each id, the one highest in ``order`` (default: the whole row)."""
         row = F.struct(*docs.columns)
@@ -115,6 +124,3 @@ class DocumentTable:
 
     def truncate(self) -> int:
         return self.delete(F.lit(True))
-
-    def at(self, path: str) -> DocumentTable:
-        return replace(self, path=path)

@@ -53,14 +53,14 @@ def bootstrap(spark: SparkSession, sources: dict[str, DataFrame], path: str, row
         staged[name] = spark.read.schema(TABLES[name]).parquet(folder)
     require_none(catalogue_faults(staged))
     entry = spark.createDataFrame([(release,)], "release string").withColumn("at", F.current_timestamp())
-    entry.coalesce(1).write.mode("append").json(f"{path}/log")
+    entry.coalesce(1).write.mode("append").parquet(f"{path}/log")
     return release
 
 
 def published(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The tables of the latest release; before the first, empty ones."""
     try:
-        row = spark.read.schema(RELEASE).json(f"{path}/log").orderBy(F.desc("at")).first()
+        row = spark.read.schema(RELEASE).parquet(f"{path}/log").orderBy(F.desc("at")).first()
     except AnalysisException:
         row = None
     if row is None:

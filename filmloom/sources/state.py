@@ -14,7 +14,7 @@ STATE = "name string, mark timestamp, last_id string, at timestamp"
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """Latest mark of each name; no file yet means no marks."""
     try:
-        log = spark.read.schema(STATE).json(path)
+        log = spark.read.schema(STATE).parquet(path)
     except AnalysisException:
         log = spark.createDataFrame([], STATE)
     newest = F.max_by(F.struct("mark", "last_id", "at"), F.struct("mark", "last_id", "at"))
@@ -25,7 +25,7 @@ def write_state(df: DataFrame, path: str) -> None:
     """Append marks ``(name, mark, last_id)``; call it after the sink has succeeded."""
     df.select("name", "mark", F.col("last_id").cast("string").alias("last_id")).withColumn(
         "at", F.current_timestamp()
-    ).coalesce(1).write.mode("append").json(path)
+    ).coalesce(1).write.mode("append").parquet(path)
 
 
 def mark_of(spark: SparkSession, path: str, name: str) -> Column:
