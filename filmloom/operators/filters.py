@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filmloom.operators.skew import skew_join
+from filmloom.operators.skew import heavy_keys, salted_join
 
 
 def all_of(clauses: Iterable[Column]) -> Column:
@@ -39,9 +39,8 @@ def by_id(df: DataFrame, value: object, key: str = "id") -> DataFrame:
 def lookup(requests: DataFrame, df: DataFrame, key: str = "id") -> DataFrame:
     """One row for each request ``(request_id, <key>)``, with ``found`` telling a miss."""
     target = df.withColumn("found", F.lit(True))
-    return skew_join(requests, target, [key], "left", salt_by=["request_id"]).withColumn(
-        "found", F.coalesce("found", F.lit(False))
-    )
+    joined = salted_join(requests, target, [key], heavy_keys(requests, [key]), "left", salt_by=["request_id"])
+    return joined.withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def has_member(objects: str, value: object) -> Column:

@@ -94,7 +94,8 @@ def close_terms(asked: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 
 def fuzzy_matches(queries: DataFrame, index: Index) -> DataFrame:
-    """Distinct ``(query, doc)`` with a term close to a query term, in any field."""
-    asked = query_terms(queries, index.fields).select("query", "field", F.col("term").alias("asked"))
-    expanded = asked.join(close_terms(asked, index.vocabulary), "asked").select("query", "field", "term").distinct()
-    return term_hits(index, expanded).select("query", "doc").distinct()
+    """Distinct ``(query_key, doc)`` with a term close to a query term, in any field."""
+    asked = query_terms(queries, index.fields).select("query_key", "field", F.col("term").alias("asked"))
+    close = close_terms(asked, index.vocabulary)
+    expanded = asked.join(close, "asked").select("query_key", "field", "term").distinct()
+    return term_hits(index, expanded).select("query_key", "doc").distinct()

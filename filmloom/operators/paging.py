@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from filmloom.operators.skew import skew_join
+from filmloom.operators.skew import fits_broadcast, heavy_keys, salted_join, skew_join
 from filmloom.session import materialise
 
 # Page defaults.
@@ -120,7 +120,7 @@ def number_in_groups(
     """Rows numbered by group then order, and each group's span ``(first, last)``."""
     numbered = number_rows(df, [*[F.col(g).asc_nulls_last() for g in groups], *order], into)
     spans = numbered.groupBy(*groups).agg(F.min(into).alias("first"), F.max(into).alias("last"))
-    return numbered, spans
+    return numbered, materialise(spans, "spans")
 
 
 def pages_for(
@@ -142,6 +142,10 @@ def pages_for(
     ).withColumn("_rank", (F.col("page_number") - 1) * F.col("page_size") + F.col("place"))
     wanted = wanted.select("request_id", *groups, "place", F.col("_rank").cast("bigint"))
     deepest = requests.agg(F.max(F.col("page_number") * F.col("page_size"))).first()[0] or 0
+    if groups:
+        asked = materialise(requests.select(*groups).distinct(), "groups")
+        if fits_broadcast(asked):
+            rows = rows.join(F.broadcast(asked), groups, "left_semi")
     if deepest <= shallow:
         top = rows if groups else rows.orderBy(*order).limit(deepest)
         rank = F.row_number().over(W.partitionBy(*groups).orderBy(*order))
@@ -157,11 +161,13 @@ def pages_for(
                 .filter(F.col("_rank") <= F.col("last"))
                 .drop("first", "last")
             )
+            wanted = materialise(wanted, "wanted-rows")
             ranked = ranked.drop(*groups)
         else:
             ranked = number_rows(rows, order, "_rank")
         on = ["_rank"]
-    return skew_join(wanted, ranked, on, "inner", salt_by=["request_id"]).drop("_rank")
+    # A page asked for by very many requests is the hot key here.
+    return salted_join(wanted, ranked, on, heavy_keys(wanted, on), "inner", salt_by=["request_id"]).drop("_rank")
 
 
 def page_numbers(total: Column, size: int) -> Column:

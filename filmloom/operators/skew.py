@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from filmloom.session import materialise
 
@@ -54,10 +53,9 @@ def each_once(df: DataFrame, key: str) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> bool:
-    """Measured, not estimated: at most so many rows, and so many bytes of text in them."""
-    texts = [F.octet_length(f.name) for f in df.schema if isinstance(f.dataType, T.StringType)]
-    size = F.sum(reduce(operator.add, [F.coalesce(t, F.lit(0)) for t in texts], F.lit(0)))
-    rows, text = df.limit(max_rows + 1).agg(F.count("*"), size).first()
+    """Measured, not estimated: at most so many rows, and so many bytes as text."""
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    rows, text = df.limit(max_rows + 1).agg(F.count("*"), F.sum(size)).first()
     return rows <= max_rows and (text or 0) <= max_bytes
 
 
@@ -105,20 +103,26 @@ def skew_join(
     measure: DataFrame | None = None,
     floor: int = HOT_ROWS,
 ) -> DataFrame:
-    """``salted_join`` with the hot keys of ``facts`` looked up first.
+    """Equi-join that looks before it shuffles.
 
-    ``measure`` is a cheaper frame with the same keys to count on. Without hot
-    keys the optimizer broadcasts or shuffles by the sizes it measures.
+    Few facts need no care. Else a ``dim`` measured as small is broadcast, and a
+    large one is joined with the hot keys of ``facts`` salted. ``measure`` is a
+    cheaper frame with the same keys to count on; without it ``facts`` should be
+    a scan, as counting would compute it twice.
     """
-    hot = heavy_keys(facts if measure is None else measure, list(on), floor)
-    return salted_join(facts, dim, on, hot, how, salt_by, floor)
+    counted = facts if measure is None else measure
+    if counted.count() <= floor:
+        return facts.join(dim, list(on), how)
+    if fits_broadcast(dim):
+        return facts.join(F.broadcast(dim), list(on), how)
+    return salted_join(facts, dim, on, heavy_keys(counted, list(on), floor), how, salt_by, floor)
 
 
 def matching(facts: DataFrame, keys: DataFrame, on: Sequence[str], **kw) -> DataFrame:
     """Fact rows whose key is in ``keys``, each once; an empty list gives no rows."""
-    return skew_join(facts, keys.select(*on).distinct(), on, "left_semi", **kw)
+    return skew_join(facts, materialise(keys.select(*on).distinct(), "keys"), on, "left_semi", **kw)
 
 
 def lacking(facts: DataFrame, keys: DataFrame, on: Sequence[str], **kw) -> DataFrame:
     """Fact rows whose key is not in ``keys``."""
-    return skew_join(facts, keys.select(*on).distinct(), on, "left_anti", **kw)
+    return skew_join(facts, materialise(keys.select(*on).distinct(), "keys"), on, "left_anti", **kw)

@@ -11,7 +11,7 @@ from filmloom.catalog import ROLE_FIELDS, Catalog
 from filmloom.functions.scalar import id_name, or_empty
 from filmloom.operators.aggregates import distinct_sorted
 from filmloom.operators.projections import names_of
-from filmloom.operators.skew import heavy_keys, matching, skew_join
+from filmloom.operators.skew import heavy_keys, skew_join
 from filmloom.session import materialise
 
 # A film with more links than this has its document spread over several parts.
@@ -117,10 +117,11 @@ def restrict(cat: Catalog, ids: DataFrame) -> Catalog:
     """
     wanted = materialise(ids.distinct(), "film-ids")
     of_films = wanted.select(F.col("id").alias("film_work_id"))
-    people = matching(cat.person_film, of_films, ["film_work_id"], salt_by=["person_id"])
-    genres = matching(cat.genre_film, of_films, ["film_work_id"], salt_by=["genre_id"])
+    people = skew_join(cat.person_film, of_films, ["film_work_id"], "left_semi", salt_by=["person_id"])
+    genres = skew_join(cat.genre_film, of_films, ["film_work_id"], "left_semi", salt_by=["genre_id"])
     return Catalog(
-        film=matching(cat.film, wanted, ["id"]),
+        # Ids are unique on both sides here, so nothing can be hot.
+        film=cat.film.join(wanted, "id", "left_semi"),
         person=cat.person,
         genre=cat.genre,
         person_film=materialise(people, "person-links"),
@@ -137,12 +138,12 @@ def admin_rows(cat: Catalog) -> DataFrame:
     )
 
 
-def film_genres(cat: Catalog) -> DataFrame:
-    """Distinct ``(id, genre_id)``: the searchable form of a document's genres."""
-    return cat.genre_film.select(F.col("film_work_id").alias("id"), "genre_id").distinct()
+def genre_pairs(cat: Catalog) -> DataFrame:
+    """``(id, genre_id)``: the searchable form of a document's genres; repeats as stored."""
+    return cat.genre_film.select(F.col("film_work_id").alias("id"), "genre_id")
 
 
-def film_people(cat: Catalog) -> DataFrame:
-    """Distinct ``(id, person_id)`` over every document role; two roles count once."""
+def person_pairs(cat: Catalog) -> DataFrame:
+    """``(id, person_id)`` over every document role; repeats as stored."""
     links = cat.person_film.filter(F.col("role").isin(*ROLE_FIELDS))
-    return links.select(F.col("film_work_id").alias("id"), "person_id").distinct()
+    return links.select(F.col("film_work_id").alias("id"), "person_id")

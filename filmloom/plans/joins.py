@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filmloom.catalog import Catalog
 from filmloom.operators.skew import matching, skew_join
+from filmloom.session import materialise
 
 
 def _reached(cat: Catalog, links: DataFrame, fk: str, member: DataFrame) -> DataFrame:
@@ -19,8 +20,9 @@ def _reached(cat: Catalog, links: DataFrame, fk: str, member: DataFrame) -> Data
     used = links.select(F.col("film_work_id").alias("id"), F.col(fk).alias("member")).distinct()
     films = cat.film.select("id", F.col("id").alias("film"))
     known = member.select(F.col("id").alias("member"), F.col("id").alias("known"))
-    to_film = skew_join(used, films, ["id"], "left", salt_by=["member"])
-    to_member = skew_join(to_film.select("film", "member"), known, ["member"], "left", salt_by=["film"])
+    raw = links.select(F.col("film_work_id").alias("id"), F.col(fk).alias("member"))
+    to_film = skew_join(used, films, ["id"], "left", salt_by=["member"], measure=raw)
+    to_member = skew_join(to_film.select("film", "member"), known, ["member"], "left", salt_by=["film"], measure=raw)
     linked = to_member.select(F.col("film").alias("id"), F.col("known").alias("member"))
     unused = known.join(used.select("member").distinct(), "member", "left_anti")
     idle = cat.film.select("id").join(used.select("id").distinct(), "id", "left_anti")
@@ -50,7 +52,8 @@ def full_outer_counts(cat: Catalog) -> DataFrame:
 def linked_pairs(film: DataFrame, links: DataFrame, fk: str, keys: DataFrame) -> DataFrame:
     """Films once for each link that holds one of the keys: repeats are kept."""
     hit = matching(links.select(F.col("film_work_id").alias("id"), fk), keys, [fk], salt_by=["id"])
-    return skew_join(hit.drop(fk), film, ["id"], "inner", salt_by=["id"])
+    pairs = materialise(hit, "film-links")
+    return skew_join(pairs, film, ["id"], "inner", salt_by=[fk]).drop(fk)
 
 
 def presence(source: DataFrame, target: DataFrame, key: str) -> DataFrame:

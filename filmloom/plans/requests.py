@@ -13,9 +13,10 @@ from filmloom.catalog import Catalog
 from filmloom.operators.filters import lookup
 from filmloom.operators.paging import envelope, page, pages_for, result_order
 from filmloom.operators.projections import full_film, partial_film, partial_genre, partial_person
-from filmloom.operators.search import Index, score
+from filmloom.operators.search import Index, query_key, score
 from filmloom.operators.skew import skew_join
-from filmloom.plans.documents import admin_rows, film_genres, film_people, restrict
+from filmloom.plans.documents import admin_rows, genre_pairs, person_pairs, restrict
+from filmloom.session import materialise
 
 DEFAULT_SORT = "imdb_rating"
 
@@ -26,8 +27,9 @@ def listing_fields(film: DataFrame) -> DataFrame:
 
 
 def with_links(films: DataFrame, links: DataFrame) -> DataFrame:
-    """Films repeated for each link key; ``links`` is ``(id, key)``, keys may be hot."""
-    return skew_join(links, films, ["id"], "inner", salt_by=[c for c in links.columns if c != "id"])
+    """Films repeated for each link key; ``links`` is a scan of ``(id, key)``, repeats allowed."""
+    vary = [c for c in links.columns if c != "id"]
+    return skew_join(links.distinct(), films, ["id"], "inner", salt_by=vary, measure=links.select("id"))
 
 
 def film_list(requests: DataFrame, film: DataFrame, links: DataFrame, sort: str = DEFAULT_SORT) -> DataFrame:
@@ -47,11 +49,11 @@ def films_of_key(requests: DataFrame, film: DataFrame, links: DataFrame, key: st
 
 
 def films_of_genre(requests: DataFrame, cat: Catalog) -> DataFrame:
-    return films_of_key(requests, cat.film, film_genres(cat), "genre_id")
+    return films_of_key(requests, cat.film, genre_pairs(cat), "genre_id")
 
 
 def films_of_person(requests: DataFrame, cat: Catalog) -> DataFrame:
-    return films_of_key(requests, cat.film, film_people(cat), "person_id")
+    return films_of_key(requests, cat.film, person_pairs(cat), "person_id")
 
 
 def film_details(requests: DataFrame, documents: DataFrame) -> DataFrame:
@@ -81,38 +83,37 @@ def film_search(requests: DataFrame, films: DataFrame, index: Index, links: Data
     Distinct (query, genre) pairs are answered once. Without a query every film
     matches alike, so the order is by id.
     """
-    asked = requests.select("query", "genre_id").distinct()
-    scored = score(asked, index).withColumnRenamed("doc", "id")
-    in_genre = asked.filter(F.col("genre_id").isNotNull())
-    by_genre = (
-        skew_join(scored, in_genre.filter(F.col("query").isNotNull()), ["query"], "inner", salt_by=["id"])
-        .join(links, ["id", "genre_id"], "left_semi")
-        .select("query", "genre_id", "id", "score")
-    )
-    groups = by_genre.unionByName(scored.withColumn("genre_id", F.lit(None).cast(links.schema["genre_id"].dataType)))
-    # A group is named by text, so that a missing query or genre is a group too.
-    name = F.to_json(F.struct("query", "genre_id"))
-    matched = groups.withColumn("grp", name).select("grp", "id", "score")
-    texted = requests.filter(F.col("query").isNotNull()).withColumn("grp", name)
-    found = pages_for(
-        texted.select("request_id", "grp", "page_number", "page_size"), matched, result_order(score="score"), ["grp"]
-    ).select("request_id", "place", "id")
-    untexted = requests.filter(F.col("query").isNull())
-    listed = pages_for(
-        untexted.filter(F.col("genre_id").isNotNull()).drop("query"), links, result_order(), ["genre_id"]
-    ).select("request_id", "place", "id")
-    every = pages_for(
-        untexted.filter(F.col("genre_id").isNull()).drop("query", "genre_id"), films.select("id"), result_order()
-    ).select("request_id", "place", "id")
-    hits = found.unionByName(listed).unionByName(every)
-    return partial_film(skew_join(hits, films, ["id"], "inner", salt_by=["request_id"]), "request_id", "place")
+    requests = requests.withColumn("query_key", query_key())
+    texted = requests.filter(F.col("query").isNotNull())
+    scored = materialise(score(texted, index).withColumnRenamed("doc", "id"), "scores")
+    pairs = texted.filter(F.col("genre_id").isNotNull()).select("query_key", "genre_id").distinct()
+    by_genre = skew_join(scored, materialise(pairs, "query-genres"), ["query_key"], "inner", salt_by=["id"])
+    by_genre = by_genre.join(links, ["id", "genre_id"], "left_semi")
+    plain = scored.withColumn("genre_id", F.lit(None).cast(links.schema["genre_id"].dataType))
+    # A search without a genre is a group of its own.
+    group = F.concat("query_key", F.lit("/"), F.coalesce(F.col("genre_id").cast("string"), F.lit("*")))
+    matched = by_genre.unionByName(plain).select(group.alias("search"), "id", "score")
+    asked = texted.select("request_id", group.alias("search"), "page_number", "page_size")
+    found = pages_for(asked, matched, result_order(score="score"), ["search"])
+    untexted = requests.filter(F.col("query").isNull()).drop("query", "query_key")
+    listed = pages_for(untexted.filter(F.col("genre_id").isNotNull()), links.distinct(), result_order(), ["genre_id"])
+    every = pages_for(untexted.filter(F.col("genre_id").isNull()).drop("genre_id"), films.select("id"), result_order())
+    columns = ["request_id", "place", "id"]
+    hits = found.select(*columns).unionByName(listed.select(*columns)).unionByName(every.select(*columns))
+    return partial_film(_filled(hits, films), "request_id", "place")
+
+
+def _filled(hits: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of the hits; one row may be a hit of very many requests."""
+    return skew_join(materialise(hits, "hits"), rows, ["id"], "inner", salt_by=["request_id"])
 
 
 def person_search(requests: DataFrame, persons: DataFrame, index: Index) -> DataFrame:
     """Pages of people whose name shares a term with ``query``."""
-    scored = score(requests.select("query"), index).withColumnRenamed("doc", "id")
-    hits = pages_for(requests, scored, result_order(score="score"), ["query"]).select("request_id", "place", "id")
-    return partial_person(skew_join(hits, persons, ["id"], "inner", salt_by=["request_id"]), "request_id", "place")
+    asked = requests.withColumn("query_key", query_key()).drop("query")
+    scored = score(requests, index).withColumnRenamed("doc", "id")
+    hits = pages_for(asked, scored, result_order(score="score"), ["query_key"]).select("request_id", "place", "id")
+    return partial_person(_filled(hits, persons), "request_id", "place")
 
 
 def admin_list(cat: Catalog, number: int = 1, size: int = 50) -> DataFrame:

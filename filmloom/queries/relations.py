@@ -10,9 +10,9 @@ from filmloom.operators.skew import matching
 from filmloom.plans.documents import (
     admin_rows,
     film_documents,
-    film_people,
     genre_members,
     person_members,
+    person_pairs,
     restrict,
 )
 from filmloom.plans.joins import full_outer_counts, linked_pairs, presence
@@ -267,8 +267,8 @@ def a2_objects_by_role(spark, sf_dir):
     members = person_members(orders_catalog(spark, sf_dir))
     roles = ("actor", "director", "writer")
     rows = members.groupBy("film_work_id").agg(*[agg.objects_in_role(r, key="id").alias(r) for r in roles])
-    tagged = [F.transform(r, lambda x, r=r: F.struct(F.lit(r).alias("role"), x["id"].alias("id"), x["name"].alias("name"))) for r in roles]
-    return rows.select("film_work_id", F.explode(F.concat(*tagged)).alias("m")).select("film_work_id", "m.*")
+    tagged = [rows.select("film_work_id", F.lit(r).alias("role"), F.inline(r)) for r in roles]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
 
 
 @query(
@@ -296,7 +296,7 @@ count(DISTINCT p.id) AS people, count(DISTINCT g.id) AS genres {WIDE_SQL} GROUP
 )
 def a5_group_with_fields(spark, sf_dir):
     cat = orders_catalog(spark, sf_dir)
-    people = film_people(cat).groupBy("id").agg(F.count("*").alias("people"))
+    people = person_pairs(cat).distinct().groupBy("id").agg(F.count("*").alias("people"))
     genres = genre_members(cat).groupBy(F.col("film_work_id").alias("id")).agg(F.count("*").alias("genres"))
     joined = cat.film.select("id", "title", "rating").join(people, "id", "left").join(genres, "id", "left")
     return joined.fillna(0, ["people", "genres"])

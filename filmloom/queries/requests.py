@@ -6,7 +6,7 @@ from filmloom.catalog import documents_catalog, orders_catalog, read_table
 from filmloom.operators.aggregates import genre_documents, roles_of_persons
 from filmloom.operators.search import FILM_FIELDS, PERSON_FIELDS, build_index
 from filmloom.plans import requests as req
-from filmloom.plans.documents import film_documents, film_genres
+from filmloom.plans.documents import film_documents, genre_pairs, restrict
 from filmloom.queries.registry import (
     DOCUMENT_COLUMNS_SQL,
     DOCUMENT_FROM_SQL,
@@ -59,7 +59,7 @@ def r1_film_search(spark, sf_dir):
     plain = texts.select((2 * F.col("item_id")).alias("request_id"), "query", F.lit(None).cast("bigint").alias("genre_id"))
     within = texts.select((2 * F.col("item_id") + 1).alias("request_id"), "query", F.col("item_id").alias("genre_id"))
     films = text_films(spark, sf_dir)
-    links = film_genres(documents_catalog(spark, sf_dir))
+    links = genre_pairs(documents_catalog(spark, sf_dir))
     found = req.film_search(_paged(plain.unionByName(within), 1, 50), films, build_index(films, FILM_FIELDS), links)
     return _placed(found)
 
@@ -75,7 +75,7 @@ FROM r JOIN f USING (genre_id) JOIN documents ON doc_id = f.id WHERE rn > 5 AND
 def r1_film_search_without_text(spark, sf_dir):
     cat = documents_catalog(spark, sf_dir)
     films = text_films(spark, sf_dir)
-    links = film_genres(cat).join(films.select("id"), "id", "left_semi")
+    links = genre_pairs(cat).join(films.select("id"), "id", "left_semi")
     requests = cat.genre.select(
         F.col("id").alias("request_id"), F.lit(None).cast("string").alias("query"), F.col("id").alias("genre_id")
     )
@@ -97,7 +97,7 @@ def r2_film_list(spark, sf_dir):
     every = _region_pages(spark, sf_dir, 5).select(
         (-1 - F.col("request_id")).cast("bigint").alias("request_id"), F.lit(None).cast("bigint").alias("genre_id"), "page_number", "page_size"
     )
-    return _placed(req.film_list(by_genre.unionByName(every), cat.film, film_genres(cat)))
+    return _placed(req.film_list(by_genre.unionByName(every), cat.film, genre_pairs(cat)))
 
 
 @query(
@@ -109,7 +109,8 @@ LEFT JOIN cast_of c ON c.film_work_id = f.id LEFT JOIN kinds_of k ON k.film_work
 )
 def r3_film_details(spark, sf_dir):
     requests = _lookups(spark, sf_dir, "event_id").withColumn("id", 2 * F.col("id"))
-    full = req.film_details(requests, film_documents(orders_catalog(spark, sf_dir)))
+    cut = restrict(orders_catalog(spark, sf_dir), requests.select("id"))
+    full = req.film_details(requests, film_documents(cut))
     text = lambda c, name: F.coalesce(
         F.array_join(F.transform(c, lambda x: F.concat(x["uuid"].cast("string"), F.lit(":"), x[name])), "|"), F.lit("")
     ).alias(c)

@@ -7,8 +7,7 @@ from filmloom.functions import text
 from filmloom.operators import search as srch
 from filmloom.operators.fuzzy import fuzzy_matches
 from filmloom.operators.paging import pages_for, result_order
-from filmloom.operators.skew import skew_join
-from filmloom.plans.documents import film_documents, film_genres
+from filmloom.plans.documents import film_documents, genre_pairs
 from filmloom.queries.registry import DOCUMENTS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, members_sql, query
 from filmloom.session import materialise
 
@@ -97,6 +96,12 @@ def text_films(spark, sf_dir):
     return materialise(film_documents(documents_catalog(spark, sf_dir)), "text-films")
 
 
+def _named(found, queries):
+    """Results by query text instead of its key."""
+    texts = queries.select("query").distinct().select("query", srch.query_key())
+    return found.join(texts, "query_key").drop("query_key")
+
+
 @query("x1_mixed_analyser", f"SELECT doc_id, array_to_string({mixed_sql('text')}, ' ') AS terms FROM documents")
 def x1_mixed_analyser(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
@@ -139,7 +144,8 @@ SELECT item_id, doc, score FROM benchmark JOIN scored ON query = text""",
 def x4_multi_field_match(spark, sf_dir):
     queries = benchmark(spark, sf_dir)
     index = srch.build_index(text_films(spark, sf_dir), srch.FILM_FIELDS)
-    return srch.score(queries, index).join(queries, "query").select("item_id", "doc", "score")
+    asked = queries.select("item_id", srch.query_key())
+    return srch.score(queries, index).join(asked, "query_key").select("item_id", "doc", "score")
 
 
 @query(
@@ -150,7 +156,7 @@ SELECT query, doc, score FROM scored""",
 def x5_single_field_match(spark, sf_dir):
     people = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     queries = read_table(spark, sf_dir, "supplier").select(F.col("s_name").alias("query"))
-    return srch.score(queries, srch.build_index(people, srch.PERSON_FIELDS))
+    return _named(srch.score(queries, srch.build_index(people, srch.PERSON_FIELDS)), queries)
 
 
 @query(
@@ -164,7 +170,8 @@ def x6_relevance_order(spark, sf_dir):
         F.col("item_id").alias("request_id"), "query", F.lit(1).alias("page_number"), F.lit(10).alias("page_size")
     )
     scored = srch.score(requests, srch.build_index(corpus(spark, sf_dir), TEXT)).withColumnRenamed("doc", "id")
-    pages = pages_for(requests, scored, result_order(score="score"), ["query"])
+    asked = requests.withColumn("query_key", srch.query_key()).drop("query")
+    pages = pages_for(asked, scored, result_order(score="score"), ["query_key"])
     return pages.select("request_id", F.col("place").cast("bigint").alias("place"), "id", "score")
 
 
@@ -185,7 +192,7 @@ SELECT DISTINCT query, doc FROM q JOIN c USING (asked) JOIN p USING (term)""",
 )
 def x7_fuzzy_match(spark, sf_dir):
     queries = read_table(spark, sf_dir, "part").select(F.col("p_name").alias("query"))
-    return fuzzy_matches(queries, srch.build_index(corpus(spark, sf_dir), TEXT))
+    return _named(fuzzy_matches(queries, srch.build_index(corpus(spark, sf_dir), TEXT)), queries)
 
 
 @query(
@@ -197,7 +204,7 @@ JOIN person_film ON person_id = person.id AND role = 'actor'""",
 def x8_nested_match(spark, sf_dir):
     queries = read_table(spark, sf_dir, "events").select(F.lpad(F.col("user_id").cast("string"), 9, "0").alias("query"))
     docs = film_documents(orders_catalog(spark, sf_dir)).select("id", "actors")
-    return srch.nested_matches(queries, docs, "actors", srch.Field("name"))
+    return _named(srch.nested_matches(queries, docs, "actors", srch.Field("name")), queries)
 
 
 @query(
@@ -210,7 +217,7 @@ def x9_query_string(spark, sf_dir):
     escaped = read_table(spark, sf_dir, "part").select(F.regexp_replace("p_name", "([a-z]) ", r"\\$1 ").alias("query"))
     queries = escaped.select(text.unescape(F.col("query")).alias("query"))
     found = srch.matches(queries, srch.build_index(corpus(spark, sf_dir), TEXT))
-    return found.groupBy("query").agg(F.count("*").alias("hits"))
+    return _named(found.groupBy("query_key").agg(F.count("*").alias("hits")), queries)
 
 
 @query(
@@ -232,6 +239,7 @@ JOIN lineitem ON l_orderkey = doc AND l_partkey = item_id""",
 def x11_search_in_genre(spark, sf_dir):
     queries = benchmark(spark, sf_dir)
     index = srch.build_index(text_films(spark, sf_dir), srch.FILM_FIELDS)
-    scored = skew_join(srch.score(queries, index), queries, ["query"], "inner", salt_by=["doc"])
-    links = film_genres(documents_catalog(spark, sf_dir)).select(F.col("id").alias("doc"), F.col("genre_id").alias("item_id"))
+    asked = queries.select("item_id", srch.query_key())
+    scored = srch.score(queries, index).join(asked, "query_key")
+    links = genre_pairs(documents_catalog(spark, sf_dir)).select(F.col("id").alias("doc"), F.col("genre_id").alias("item_id"))
     return scored.join(links, ["doc", "item_id"], "left_semi").select("item_id", "doc", "score")

@@ -8,7 +8,7 @@ from filmloom.functions import scalar
 from filmloom.operators import projections as proj
 from filmloom.operators.aggregates import genre_documents, roles_of_persons
 from filmloom.operators.paging import page_numbers
-from filmloom.plans.documents import film_documents, film_genres
+from filmloom.plans.documents import film_documents, genre_pairs
 from filmloom.queries.registry import (
     ORDERS_SQL,
     documents_sql,
@@ -160,7 +160,7 @@ SELECT f.id, coalesce(k.n, 0) AS n FROM film f LEFT JOIN k ON k.film_work_id = f
 )
 def c5_empty_array(spark, sf_dir):
     cat = orders_catalog(spark, sf_dir)
-    kinds = film_genres(cat).groupBy("id").agg(F.collect_set("genre_id").alias("genres"))
+    kinds = genre_pairs(cat).groupBy("id").agg(F.collect_set("genre_id").alias("genres"))
     joined = cat.film.select("id").join(kinds, "id", "left")
     return joined.select("id", F.size(scalar.or_empty(F.col("genres"))).cast("bigint").alias("n"))
 

@@ -10,11 +10,12 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sqlite3
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -123,6 +124,8 @@ def read_sqlite(
     spark: SparkSession, path: str, table: str, ddl: str, columns: list[str] | None = None, rows: int = 1_000_000
 ) -> DataFrame:
     """Scan a table; ``columns`` gives the source names where they differ from ``ddl``."""
+    # The reader's code travels with the job, so executors need not have this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(SqliteSource)
     reader = spark.read.format("sqlite_file").schema(ddl).option("table", table).option("rows", str(rows))
     if columns:
