@@ -11,18 +11,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filmloom.operators.checks import conform, require_none
+from filmloom.operators.filters import any_of
 from filmloom.session import materialise
 
-LOG = "version bigint, folder string, replaces array<int>, written array<int>, at timestamp"
+# ``replaces``: buckets whose earlier rows end here; null for a plain append.
+LOG = "version bigint, replaces array<int>, at timestamp"
 
 
 @dataclass(frozen=True)
 class DocumentTable:
+    """``buckets`` bounds what a small change rewrites: give a large table thousands."""
+
     spark: SparkSession
     path: str
     ddl: str
@@ -33,7 +37,7 @@ class DocumentTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
 
-    def _log(self) -> list:
+    def _log(self) -> list[Row]:
         # One line for each commit: control data, not rows of the table.
         try:
             return self.spark.read.schema(LOG).parquet(f"{self.path}/log").orderBy("version").collect()
@@ -41,61 +45,60 @@ class DocumentTable:
             return []
 
     def version(self) -> int:
-        log = self._log()
-        return log[-1]["version"] if log else 0
-
-    def _folders(self, version: int | None) -> dict[int, list[str]]:
-        current: dict[int, list[str]] = {}
-        for entry in self._log():
-            if version is not None and entry["version"] > version:
-                break
-            for b in entry["replaces"]:
-                current[b] = []
-            for b in entry["written"]:
-                current.setdefault(b, []).append(entry["folder"])
-        return current
-
-    def read(self, version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
-        """The snapshot of a version (default: latest)."""
-        folders = self._folders(version)
-        paths = [
-            f"{self.path}/{folder}/_bucket={b}"
-            for b, kept in sorted(folders.items())
-            if buckets is None or b in buckets
-            for folder in kept
-        ]
-        if not paths:
+        return max((entry["version"] for entry in self._log()), default=0)
+
+    def _scan(self, log: list[Row], buckets: list[int] | None = None) -> DataFrame:
+        current: dict[int, list[int]] = {b: [] for b in (range(self.buckets) if buckets is None else buckets)}
+        for entry in log:
+            for b in current:
+                if entry["replaces"] is None:
+                    current[b].append(entry["version"])
+                elif b in entry["replaces"]:
+                    current[b] = [entry["version"]]
+        live: dict[int, list[int]] = {}
+        for b, versions in current.items():
+            for v in versions:
+                live.setdefault(v, []).append(b)
+        if not live:
             return self.spark.createDataFrame([], self.ddl)
-        return self.spark.read.schema(self.ddl).parquet(*paths)
+        # Both are partition columns: the predicate prunes folders.
+        kept = any_of((F.col("_version") == v) & F.col("_bucket").isin(bs) for v, bs in live.items())
+        return (
+            self.spark.read.schema(f"{self.ddl}, _version bigint, _bucket int")
+            .option("basePath", f"{self.path}/data")
+            .parquet(*[f"{self.path}/data/_version={v}" for v in live])
+            .filter(kept)
+            .drop("_version", "_bucket")
+        )
 
-    def _commit(self, rows: DataFrame, replaces: list[int]) -> int:
-        version = self.version() + 1
-        folder = f"data/v{version}"
+    def read(self, version: int | None = None) -> DataFrame:
+        """The snapshot of a version (default: latest)."""
+        log = self._log()
+        return self._scan([e for e in log if version is None or e["version"] <= version])
+
+    def _commit(self, rows: DataFrame, replaces: list[int] | None, after: int) -> int:
+        version = after + 1
         (
             rows.withColumn("_bucket", self._bucket())
             .hint("rebalance", "_bucket")
             .write.mode("overwrite")
             .option("maxRecordsPerFile", self.rows_per_file)
             .partitionBy("_bucket")
-            .parquet(f"{self.path}/{folder}")
+            .parquet(f"{self.path}/data/_version={version}")
         )
-        found = self.spark.read.schema(f"{self.ddl}, _bucket int").parquet(f"{self.path}/{folder}")
-        written = sorted(r[0] for r in found.select("_bucket").distinct().collect())
-        entry = self.spark.createDataFrame([(version, folder, replaces, written)], LOG.rsplit(",", 1)[0])
+        entry = self.spark.createDataFrame([(version, replaces)], LOG.rsplit(",", 1)[0])
         entry.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
         return version
 
     def append(self, docs: DataFrame) -> int:
         """Add documents as they are: an id that exists already is then held twice."""
-        return self._commit(conform(docs, self.ddl), [])
+        return self._commit(conform(docs, self.ddl), None, self.version())
 
     def insert(self, docs: DataFrame) -> int:
         """Add rows with new ids; an id held already, or given twice, fails the batch."""
         repeated = docs.groupBy(self.key).count().filter("count > 1")
-        require_none({
-            "repeated id": repeated,
-            "existing id": docs.join(self.read().select(self.key), self.key, "left_semi"),
-        })
+        existing = docs.select(self.key).join(self.read().select(self.key), self.key, "left_semi")
+        require_none({"repeated id": repeated, "existing id": existing})
         return self.append(docs)
 
     def latest(self, docs: DataFrame, order: str | None = None) -> DataFrame:
@@ -110,17 +113,21 @@ class DocumentTable:
         ``unique`` says that ``docs`` holds each document once already.
         """
         newest = docs if unique else self.latest(docs, order)
-        source = materialise(conform(newest.select(*T.StructType.fromDDL(self.ddl).names), self.ddl), "upsert")
+        shaped = conform(newest.select(*T.StructType.fromDDL(self.ddl).names), self.ddl)
+        source, log = materialise(shaped, "upsert"), self._log()
+        # At most ``buckets`` numbers.
         touched = sorted(r[0] for r in source.select(self._bucket()).distinct().collect())
+        version = max((entry["version"] for entry in log), default=0)
         if not touched:
-            return self.version()
-        kept = self.read(buckets=touched).join(source.select(self.key).distinct(), self.key, "left_anti")
-        return self._commit(kept.select(*source.columns).unionByName(source), touched)
+            return version
+        kept = self._scan(log, touched).join(source.select(self.key).distinct(), self.key, "left_anti")
+        return self._commit(kept.select(*source.columns).unionByName(source), touched, version)
 
     def delete(self, condition: Column) -> int:
         """Drop the rows for which ``condition`` holds; null keeps the row."""
-        kept = self.read().filter(~F.coalesce(condition, F.lit(False)))
-        return self._commit(kept, list(range(self.buckets)))
+        log = self._log()
+        kept = self._scan(log).filter(~F.coalesce(condition, F.lit(False)))
+        return self._commit(kept, list(range(self.buckets)), max((e["version"] for e in log), default=0))
 
     def truncate(self) -> int:
         return self.delete(F.lit(True))
