@@ -89,7 +89,7 @@ def salted_join(
     salted = facts.join(salts_of, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*vary), salts))
     copies = dim.join(salts_of, on, "left").withColumn(
         "_salt",
-        F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).cast("bigint"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)).cast("bigint") - 1)),
     )
     return salted.drop("_salts").join(copies.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
