@@ -82,6 +82,7 @@ def deep_page(df: DataFrame, keys: Sequence[SortKey], number: int, size: int, ho
     """Page by cursor hops of at most ``hop`` rows; past the end it is empty.
 
     Each hop brings one cursor row to the driver and never the rows it skips.
+    A hop is a scan, so pages some hops away are better read with ``pages_for``.
     """
     columns = [k.column for k in keys]
     to_skip, last = (number - 1) * size, None

@@ -31,9 +31,8 @@ def heavy_keys(
         return None
     threshold = max(floor, total // max_keys)
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    if counts.agg(F.max("n")).first()[0] <= threshold:
-        return None
-    return materialise(counts.filter(F.col("n") > threshold), "hot-keys")
+    hot = materialise(counts.filter(F.col("n") > threshold), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

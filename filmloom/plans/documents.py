@@ -14,8 +14,8 @@ from filmloom.operators.projections import names_of
 from filmloom.operators.skew import heavy_keys, skew_join
 from filmloom.session import materialise
 
-# A film with more links than this has its document spread over several parts.
-PART_MEMBERS = 10_000
+# A film with more distinct members than this has its document spread over several parts.
+PART_MEMBERS = 1_000_000
 RELATIONS = ("genres", *ROLE_FIELDS.values())
 
 
@@ -48,11 +48,28 @@ def genre_members(cat: Catalog) -> DataFrame:
     return _named(links.distinct(), cat.genre.select("id", "name"), links)
 
 
-def _with_parts(members: DataFrame, hot: DataFrame, part_members: int) -> DataFrame:
-    """Add ``part``: 0, or a bucket of the member id where a film is oversized."""
-    parts = hot.select("film_work_id", F.ceil(F.col("n") / F.lit(part_members)).cast("int").alias("_parts"))
+def _busy_films(cat: Catalog, part_members: int) -> DataFrame | None:
+    """Films with more than ``part_members`` links; none if neither link table has so many rows."""
+    tables = [df.select("film_work_id") for df in (cat.person_film, cat.genre_film)]
+    if all(df.count() <= part_members for df in tables):
+        return None
+    return heavy_keys(tables[0].unionAll(tables[1]), ["film_work_id"], part_members)
+
+
+def _with_parts(members: DataFrame, busy: DataFrame, part_members: int) -> DataFrame:
+    """Add ``part``: 0, or a bucket of the member id in a film with too many distinct members.
+
+    ``busy`` lists the films with many links; only their members are counted.
+    """
+    members = materialise(members, "members")
+    film = ["film_work_id"]
+    sizes = members.join(F.broadcast(busy.select(*film)), film, "left_semi").groupBy(*film).agg(F.count("*").alias("n"))
+    parts = sizes.filter(F.col("n") > part_members).select(
+        *film, F.ceil(F.col("n") / F.lit(part_members)).cast("int").alias("_parts")
+    )
+    # No more films than in ``busy``, whose number is bounded.
     return (
-        members.join(F.broadcast(parts), "film_work_id", "left")
+        members.join(F.broadcast(parts), film, "left")
         .withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("_parts", F.lit(1))).cast("int"))
         .drop("_parts")
     )
@@ -68,15 +85,15 @@ def film_documents(
     array; names are distinct and sorted.
 
     No task holds an unbounded array: a film with more than ``part_members``
-    links comes as several rows (``part`` 0, 1, ...) with disjoint members.
-    Where no film is that large, which is checked first, copies of a link cannot
-    pile up either, and the links go straight to the aggregation in one shuffle.
+    distinct members comes as several rows (``part`` 0, 1, ...) with disjoint
+    members. Links are counted first. Where no film has that many, the links go
+    straight to the aggregation in one shuffle; otherwise they are made
+    distinct before they move, so copies never gather in one task.
     """
     people, genres = person_links(cat), genre_links(cat)
     film_key = ["film_work_id"]
-    links = cat.person_film.select(*film_key).unionAll(cat.genre_film.select(*film_key))
-    oversized = heavy_keys(links, film_key, part_members, max_keys=1_000_000)
-    plain = oversized is None
+    busy = _busy_films(cat, part_members)
+    plain = busy is None
     if plain:
         key = film_key
         cast = _named(people, cat.person.select("id", F.col("full_name").alias("name")), people)
@@ -85,8 +102,8 @@ def film_documents(
         cast, kinds = cast.repartition(*key), kinds.repartition(*key)
     else:
         key = [*film_key, "part"]
-        cast = _with_parts(person_members(cat), oversized, part_members)
-        kinds = _with_parts(genre_members(cat), oversized, part_members)
+        cast = _with_parts(person_members(cat), busy, part_members)
+        kinds = _with_parts(genre_members(cat), busy, part_members)
     member = id_name("id", "name")
     cast = cast.groupBy(*key).agg(
         *[distinct_sorted(F.when(F.col("role") == role, member)).alias(f) for role, f in ROLE_FIELDS.items()]

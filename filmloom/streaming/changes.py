@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from filmloom.catalog import Catalog
 from filmloom.operators.sets import union_ids
 from filmloom.plans.refresh import films_of, rebuilt
+from filmloom.session import materialise
 from filmloom.sources.documents import DocumentTable
 
 
@@ -71,7 +72,9 @@ def refresh_sink(cat: Catalog, table: DocumentTable) -> Callable[[DataFrame], ob
     """Sink for changes ``(entity, id)``: rebuild the affected documents and upsert them."""
 
     def sink(batch: DataFrame) -> int:
-        changed = {e: batch.filter(F.col("entity") == e).select("id").distinct() for e in ("film", "person", "genre")}
+        # Written once: the branches below would each read the batch again.
+        ids = materialise(batch.select("entity", "id").distinct(), "changed")
+        changed = {e: ids.filter(F.col("entity") == e).select("id") for e in ("film", "person", "genre")}
         films = union_ids(
             changed["film"],
             films_of(cat.person_film, "person_id", changed["person"]),
