@@ -77,6 +77,9 @@ FILM_FIELDS_SQL = [
     ("description", "mixed", mixed_sql("description")),
     *[(f"{r}_names", "mixed", mixed_sql(f"array_to_string({r}_names, ' ')")) for r in ("actors", "directors", "writers")],
     ("genres_names", "keyword", "coalesce(genres_names, [])"),
+    ("id", "keyword", "[CAST(id AS VARCHAR)]"),
+    ("title_raw", "keyword", "[title]"),
+    # The rating matches a query that is a number; no text here is one.
 ]
 FILM_DOCS_SQL = f"""{DOCUMENTS_SQL}, {members_sql()},
 film_docs AS (

@@ -102,6 +102,21 @@ def test_search_in_genre(spark, cat, docs, index, genre, number, size, expected)
     assert set(uuids(req.film_search(request, docs, index, genre_pairs(cat)))) == expected
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("HP 1", ["1f650754"]),
+        (full("1f656672"), ["1f656672"]),
+        ("9.9", ["1f651c76", "1f657e5a"]),
+        ("drama", ["1f650754", "1f651c76", "1f6546ba", "1f656672", "1f657e5a"]),
+        ("SW_actor_2", ["1f656672", "1f657e5a"]),
+    ],
+)
+def test_search_reads_every_field(spark, cat, docs, index, text, expected):
+    found = uuids(req.film_search(ask(spark, size=len(expected), query=text, genre_id=None), docs, index, genre_pairs(cat)))
+    assert found == expected
+
+
 def test_search_without_a_match(spark, cat, docs, index):
     request = ask(spark, query="Not existing film", genre_id=None)
     assert uuids(req.film_search(request, docs, index, genre_pairs(cat))) == []
