@@ -122,16 +122,18 @@ def t6_replay_after_failure(spark, sf_dir):
 @query("t7_files_per_batch", "SELECT count(*) AS rows, true AS even_batches FROM events")
 def t7_files_per_batch(spark, sf_dir):
     out, sizes = scratch_path(spark, "batches"), []
-    path = event_log(spark, sf_dir, files=8)
+    path = event_log(spark, sf_dir, files=max(spark.sparkContext.defaultParallelism, 8))
     files = len(spark.read.schema(EVENTS).parquet(path).inputFiles())
+    files_per_batch = -(-files // 4)
 
     def sink(batch):
         sizes.append(1)
         batch.select("event_id").write.mode("append").parquet(out)
 
-    changes.run_batches(changes.read_changes(spark, path, EVENTS, files_per_batch=2), sink, scratch_path(spark, "checkpoint"))
+    stream = changes.read_changes(spark, path, EVENTS, files_per_batch)
+    changes.run_batches(stream, sink, scratch_path(spark, "checkpoint"))
     rows = spark.read.schema("event_id bigint").parquet(out).agg(F.count("*").alias("rows"))
-    return rows.withColumn("even_batches", F.lit(len(sizes) == -(-files // 2)))
+    return rows.withColumn("even_batches", F.lit(len(sizes) == -(-files // files_per_batch)))
 
 
 @query(

@@ -120,7 +120,7 @@ def o6_admin_envelope(spark, sf_dir):
 
 @query("o7_fixed_batches", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS oversized FROM lineitem")
 def o7_fixed_batches(spark, sf_dir):
-    path, limit = scratch_path(spark, "batches"), 5_000
+    path, limit = scratch_path(spark, "batches"), 1_000_000
     orders_catalog(spark, sf_dir).person_film.write.option("maxRecordsPerFile", limit).parquet(path)
     files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"))
     return files.agg(F.sum("n").alias("rows"), F.count(F.when(F.col("n") > limit, 1)).alias("oversized"))

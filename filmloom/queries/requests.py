@@ -58,10 +58,9 @@ def r1_film_search(spark, sf_dir):
     texts = benchmark(spark, sf_dir)
     plain = texts.select((2 * F.col("item_id")).alias("request_id"), "query", F.lit(None).cast("bigint").alias("genre_id"))
     within = texts.select((2 * F.col("item_id") + 1).alias("request_id"), "query", F.col("item_id").alias("genre_id"))
-    films = text_films(spark, sf_dir)
-    links = genre_pairs(documents_catalog(spark, sf_dir))
-    found = req.film_search(_paged(plain.unionByName(within), 1, 50), films, build_index(films, FILM_FIELDS), links)
-    return _placed(found)
+    cat, index = documents_catalog(spark, sf_dir), build_index(text_films(spark, sf_dir), FILM_FIELDS)
+    requests = _paged(plain.unionByName(within), 1, 50)
+    return _placed(req.film_search(requests, req.listing_fields(cat.film), index, genre_pairs(cat)))
 
 
 @query(
@@ -74,12 +73,13 @@ FROM r JOIN f USING (genre_id) JOIN documents ON doc_id = f.id WHERE rn > 5 AND
 )
 def r1_film_search_without_text(spark, sf_dir):
     cat = documents_catalog(spark, sf_dir)
-    films = text_films(spark, sf_dir)
+    films = req.listing_fields(cat.film)
     links = genre_pairs(cat).join(films.select("id"), "id", "left_semi")
     requests = cat.genre.select(
         F.col("id").alias("request_id"), F.lit(None).cast("string").alias("query"), F.col("id").alias("genre_id")
     )
-    return _placed(req.film_search(_paged(requests, 2, 5), films, build_index(films, FILM_FIELDS), links))
+    index = build_index(text_films(spark, sf_dir), FILM_FIELDS)
+    return _placed(req.film_search(_paged(requests, 2, 5), films, index, links))
 
 
 @query(

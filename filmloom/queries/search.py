@@ -9,7 +9,6 @@ from filmloom.operators.fuzzy import fuzzy_matches
 from filmloom.operators.paging import pages_for, result_order
 from filmloom.plans.documents import film_documents, genre_pairs
 from filmloom.queries.registry import DOCUMENTS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, members_sql, query
-from filmloom.session import materialise
 
 TEXT = (srch.Field("text"),)
 SEP = ""
@@ -95,8 +94,8 @@ def benchmark(spark, sf_dir):
 
 
 def text_films(spark, sf_dir):
-    """Film documents over the text corpus, written once for index and result."""
-    return materialise(film_documents(documents_catalog(spark, sf_dir)), "text-films")
+    """Film documents over the text corpus."""
+    return film_documents(documents_catalog(spark, sf_dir))
 
 
 def _named(found, queries):

@@ -13,6 +13,7 @@ import sqlite3
 import sys
 import uuid
 from collections.abc import Callable, Iterator
+from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
@@ -22,6 +23,14 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+def mounted_path(path: str) -> str:
+    """``path`` as the file system knows it; SQLite cannot open other stores."""
+    url = urlparse(path)
+    if url.scheme not in ("", "file"):
+        raise ValueError(f"SQLite files need a folder mounted on every executor, not {path}")
+    return url.path if url.scheme else path
+
+
 def _connect(path: str) -> sqlite3.Connection:
     # Read-only and immutable: no lock files, so any number of readers may share it.
     return sqlite3.connect(f"file:{path}?mode=ro&immutable=1", uri=True)
@@ -58,7 +67,7 @@ class RowidRange(InputPartition):
 class SqliteReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict[str, str]):
         self.schema = schema
-        self.path = options["path"]
+        self.path = mounted_path(options["path"])
         self.table = options["table"]
         self.rows = int(options.get("rows", "1000000"))
         self.batch = int(options.get("batch", "10000"))
@@ -139,6 +148,7 @@ def write_sqlite_shards(df: DataFrame, folder: str, table: str) -> int:
     A task fills a file under a name of its own and publishes it, at the end,
     under the name of its partition: a task that runs again replaces its file.
     """
+    folder = mounted_path(folder)
     os.makedirs(folder, exist_ok=True)
     names = df.columns
 

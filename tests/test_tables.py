@@ -14,7 +14,7 @@ from filmloom.operators import checks
 from filmloom.sources.documents import DocumentTable
 from filmloom.sources.jdbc import JdbcSource
 from filmloom.sources.load import bootstrap, published
-from filmloom.sources.sqlite import read_sqlite
+from filmloom.sources.sqlite import mounted_path, read_sqlite
 from filmloom.sources.state import add_to_ids, mark_of, read_ids, read_state, write_state
 
 
@@ -49,6 +49,13 @@ def test_table_life(spark, table):
     assert held(table.read()) == [(9, None)]
 
 
+def test_files_hold_a_bounded_number_of_rows(spark, folder):
+    table = DocumentTable(spark, f"{folder}/t", "id bigint", buckets=2, rows_per_file=7)
+    table.append(spark.range(100))
+    sizes = spark.read.parquet(f"{folder}/t/data").groupBy(F.input_file_name()).count().select("count").collect()
+    assert sum(r[0] for r in sizes) == 100 and max(r[0] for r in sizes) <= 7
+
+
 def test_an_empty_upsert_is_no_commit(spark, table):
     table.append(frame(spark, (1, "a")))
     assert table.upsert(frame(spark).limit(0)) == 1
@@ -165,6 +172,12 @@ def test_sqlite_scan(spark, folder):
     assert read_sqlite(spark, f"{folder}/db.sqlite", "empty_one", "id string").count() == 0
 
 
+def test_sqlite_paths():
+    assert mounted_path("file:///shared/a.sqlite") == "/shared/a.sqlite" and mounted_path("/shared/a") == "/shared/a"
+    with pytest.raises(ValueError, match="mounted"):
+        mounted_path("s3a://store/a.sqlite")
+
+
 def test_jdbc_options(spark):
     source = JdbcSource("jdbc:x:y", "d.Driver", "u", "secret")
     assert "secret" not in repr(source)
