@@ -88,7 +88,7 @@ def film_search(requests: DataFrame, films: DataFrame, index: Index, links: Data
     scored = materialise(score(texted, index).withColumnRenamed("doc", "id"), "scores")
     pairs = texted.filter(F.col("genre_id").isNotNull()).select("query_key", "genre_id").distinct()
     by_genre = skew_join(scored, materialise(pairs, "query-genres"), ["query_key"], "inner", salt_by=["id"])
-    by_genre = by_genre.join(links, ["id", "genre_id"], "left_semi")
+    by_genre = by_genre.join(links.distinct(), ["id", "genre_id"], "left_semi")
     plain = scored.withColumn("genre_id", F.lit(None).cast(links.schema["genre_id"].dataType))
     # A search without a genre is a group of its own.
     group = F.concat("query_key", F.lit("/"), F.coalesce(F.col("genre_id").cast("string"), F.lit("*")))

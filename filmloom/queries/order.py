@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from filmloom.catalog import PERSON_DOCUMENT, ROLES, orders_catalog, read_table
 from filmloom.operators import checks, sets
 from filmloom.operators import paging as pg
-from filmloom.plans.documents import film_documents
+from filmloom.plans.documents import film_documents, genre_pairs
 from filmloom.plans.refresh import Marks, affected_films, changed_page, films_of
+from filmloom.plans.requests import with_links
 from filmloom.queries.registry import DOCUMENT_COLUMNS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, documents_text, members_sql, query
 from filmloom.session import scratch_path
 
@@ -100,8 +101,7 @@ def o5_all_pages(spark, sf_dir):
 )
 def o5_deep_pages_by_genre(spark, sf_dir):
     cat = orders_catalog(spark, sf_dir)
-    links = cat.genre_film.distinct().withColumnRenamed("film_work_id", "id")
-    rows = links.join(cat.film.select("id", "rating"), "id")
+    rows = with_links(cat.film.select("id", "rating"), genre_pairs(cat))
     requests = cat.genre.select(
         F.col("id").alias("request_id"), F.col("id").alias("genre_id"), F.lit(3).alias("page_number"), F.lit(4).alias("page_size")
     )

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from filmloom.catalog import orders_catalog, read_table
 from filmloom.operators.checks import reconcile
+from filmloom.operators.skew import skew_join
 from filmloom.queries.registry import query
 from filmloom.session import materialise, scratch_path
 from filmloom.sources.documents import DocumentTable
@@ -143,7 +144,8 @@ def bootstrap_sources(spark, sf_dir):
     stamps = [F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at")]
     text = lambda c, name: F.col(c).cast("string").alias(name)
     kinds = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("genre_id"), F.col("p_type").alias("kind"))
-    genre_links = cat.genre_film.join(kinds, "genre_id").select(text("film_work_id", "film_work_id"), F.col("kind").alias("genre_id"))
+    named = skew_join(cat.genre_film, kinds, ["genre_id"], "inner", salt_by=["film_work_id"])
+    genre_links = named.select(text("film_work_id", "film_work_id"), F.col("kind").alias("genre_id"))
     person_links = cat.person_film.select(text("film_work_id", "film_work_id"), text("person_id", "person_id"), "role")
     link_id = lambda df: df.distinct().select(
         F.concat_ws("-", *df.columns).alias("id"), *df.columns, stamps[0]
