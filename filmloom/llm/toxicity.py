@@ -2,8 +2,9 @@
 
 Fitting. Every token has a log-odds of toxic against clean with an informative Dirichlet prior: the prior of a token is
 its share of all documents of the corpus, and the class counts come from labelled documents. Tokens are hashed to
-``BUCKETS`` numbers, so the model is a table of 1 MB whatever the vocabulary. Counts are of documents that hold the
-token, so a word repeated in one document counts once. A token's score is the near end of the confidence interval of
+``BUCKETS`` numbers, so the model is two tables of half a MB whatever the vocabulary. Counts are of documents that hold the
+token, so a word repeated in one document counts once. Two tables hash by different bits, and a token gets the score
+nearer to zero, so that a rare word doesn't inherit the score of a toxic one it collides with. A token's score is the near end of the confidence interval of
 its log-odds; a token that isn't surely at least ``MIN_ODDS`` times likelier on one side says nothing. Every token pays
 a small drift, which makes the expected score negative, as the statistics of maximal segments need.
 
@@ -27,11 +28,12 @@ from pyspark.sql import functions as F
 
 from filmloom.llm.common import WORD_BYTES, added, packed, steps, struct_text, with_columns, words_of
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 17
+TABLES = 2
 #: Bound on the labelled documents that the classes are fitted on: those with the smallest hashed ids.
 MAX_LABELLED = 100_000
 PRIOR_SHARE = 0.1
-Z = 3.0
+Z = 2.0
 MIN_ODDS = 2.0
 DRIFT = 0.05
 MAX_EXPECTED = 0.01
@@ -41,7 +43,7 @@ PASSAGES = "array<struct<start:int,length:int,score:double,expected:double>>"
 
 @dataclass
 class ToxicityModel:
-    """Score of each token bucket, the extreme-value parameters and the logistic curve over log(1 + evidence)."""
+    """Score of each token bucket of each table, the extreme-value parameters and the logistic curve over log(1 + evidence)."""
 
     weights: np.ndarray
     lam: float = 1.0
@@ -51,7 +53,16 @@ class ToxicityModel:
 
 
 def buckets_of(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) & np.uint32(BUCKETS - 1)
+    """The bucket of each word in each table; the two share two bits of the hash."""
+    hashes = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+    return np.stack([hashes & np.uint32(BUCKETS - 1), hashes >> np.uint32(15)])
+
+
+def scores_of(words: list[bytes], weights: np.ndarray) -> np.ndarray:
+    """Score of each word: that of the table where it is nearer to zero; the drift if the tables disagree."""
+    first, second = (w[b] for w, b in zip(weights, buckets_of(words), strict=True))
+    near = np.where(np.abs(first) < np.abs(second), first, second)
+    return np.where((first > 0) == (second > 0), near, np.maximum(np.minimum(first, second), np.float32(-DRIFT)))
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -100,19 +111,20 @@ def probability(evidence: float, model: ToxicityModel) -> float:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents that hold each bucket: all of them, the clean and the toxic ones."""
-    totals = np.zeros((3, BUCKETS), np.int64)
+    totals = np.zeros((3, TABLES * BUCKETS), np.int64)
     for batch, texts in steps(batches, lambda b: b.column("text")):
         labels = batch.column("label").to_pylist()
         groups: list[list[np.ndarray]] = [[], [], []]
+        table = np.array([[0], [BUCKETS]], np.uint32)
         for text, label in zip(texts, labels, strict=True):
             if text:
-                present = np.unique(buckets_of(words_of(text)))
+                present = np.unique(buckets_of(words_of(text)) + table)
                 groups[0].append(present)
                 if label is not None:
                     groups[1 + (label > 0)].append(present)
         for kind, group in enumerate(groups):
             if group:
-                totals[kind] += np.bincount(np.concatenate(group), minlength=BUCKETS)
+                totals[kind] += np.bincount(np.concatenate(group), minlength=TABLES * BUCKETS)
     kinds, buckets = np.nonzero(totals)
     yield pa.RecordBatch.from_arrays(
         [pa.array(kinds.astype(np.int32)), pa.array(buckets.astype(np.int32)), pa.array(totals[kinds, buckets])],
@@ -167,7 +179,7 @@ def _best(weights: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     for batch, texts in steps(batches, lambda b: b.column("text")):
         lengths, segments = [], []
         for text in texts:
-            scores = weights[buckets_of(words_of(text or ""))]
+            scores = scores_of(words_of(text or ""), weights)
             lengths.append(len(scores))
             segments.append([s for _, _, s in maximal_segments(scores) if s >= 1.0])
         yield pa.RecordBatch.from_arrays(
@@ -192,10 +204,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     sample = F.broadcast(chosen)
     texts = docs.select("doc_id", "text").join(sample, "doc_id", "left").select("text", "label")
     rows = texts.mapInArrow(_counts, "kind int, bucket int, n bigint").groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    totals = np.zeros((3, BUCKETS), np.int64)
+    totals = np.zeros((3, TABLES * BUCKETS), np.int64)
     totals[rows["kind"].to_numpy(np.int64), rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    weights, shares = token_weights(totals)
-    model = ToxicityModel(weights, decay(weights, shares))
+    fitted = [token_weights(totals[:, t * BUCKETS : (t + 1) * BUCKETS]) for t in range(TABLES)]
+    weights = np.stack([w for w, _ in fitted])
+    # A word's score is at most that of either table, so the smaller root is on the safe side.
+    model = ToxicityModel(weights, min(decay(*f) for f in fitted))
 
     table = spark.sparkContext.broadcast(weights)
     labelled = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "label")
@@ -219,7 +233,7 @@ def _score(model: ToxicityModel, batches: Iterator[pa.RecordBatch]) -> Iterator[
     for batch, texts in steps(batches, struct_text):
         scores, passages = [], []
         for text in texts:
-            found = passages_of(model.weights[buckets_of(words_of(text or ""))], model)
+            found = passages_of(scores_of(words_of(text or ""), model.weights), model)
             scores.append(probability(evidence_of(found), model))
             passages.append([{"start": s, "length": n, "score": v, "expected": e} for s, n, v, e in found])
         kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
