@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmloom.llm.common import remainder, table
+from filmloom.llm.decontaminate import benchmark_hits
+from filmloom.llm.language import fit_languages, predict_languages
+from filmloom.llm.simhash import near_duplicates
 from filmloom.llm.toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +37,54 @@ def op1_toxicity(spark, sf_dir):
         "row.doc_id", (remainder(5, "row.doc_id") == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages",
     )
+
+
+@query("op3_language")
+def op3_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit_languages(docs.filter(remainder(3) != 1))
+    found = predict_languages(docs.select("doc_id", "text"), model)
+    return found.select("row.doc_id", (remainder(3, "row.doc_id") == 1).alias("held_out"), "lang_pred", "score", "shares")
+
+
+@query("op10_simhash")
+def op10_simhash(spark, sf_dir):
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+OP2_SQL = """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item, least(len(w), 13) AS n, array_to_string(w[s : s + 12], ' ') AS k
+  FROM b, unnest(generate_series(1, greatest(1, len(w) - 12))) AS u(s) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM win),
+spot AS (
+  SELECT r, n, p, array_to_string(w[p : p + n - 1], ' ') AS k
+  FROM d, sizes, unnest(generate_series(1, len(w) - n + 1)) AS u(p) WHERE len(w) >= n),
+hit AS (SELECT r, p, win.n, item FROM spot JOIN win ON spot.n = win.n AND spot.k = win.k),
+places AS (SELECT r, count(DISTINCT x) AS n_hit FROM hit, unnest(generate_series(p, p + n - 1)) AS u(x) GROUP BY r),
+found AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN places USING (r) LEFT JOIN found USING (r)
+"""
+
+
+@query("op2_decontaminate", OP2_SQL)
+def op2_decontaminate(spark, sf_dir):
+    found = benchmark_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
