@@ -113,7 +113,7 @@ def within(queries: np.ndarray, lanes: np.ndarray, radius: int = RADIUS) -> tupl
             if not left.all():
                 alive, flips, over, count = alive[left], flips[left], over[left], [c[left] for c in count]
                 if not len(alive):
-                    break
+                    return alive, alive
     found = np.unpackbits((~over).view(np.uint8).reshape(len(alive), -1), axis=1, bitorder="little")
     q, lane = np.nonzero(found)
     return alive[q], lane
