@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filmloom.llm.chat import format_conversations, loss_text, parse_turn, text_part, turn_texts
 from filmloom.llm.common import remainder, table
 from filmloom.llm.decontaminate import benchmark_hits
+from filmloom.llm.knn import integer_vectors, top_products
 from filmloom.llm.language import fit_languages, predict_languages
+from filmloom.llm.lexicon_bpe import encode_documents
+from filmloom.llm.sharding import assign_shards
 from filmloom.llm.simhash import near_duplicates
 from filmloom.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -88,3 +93,80 @@ def op2_decontaminate(spark, sf_dir):
         "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+def token_digests(encoded: DataFrame) -> DataFrame:
+    return encoded.select(
+        "row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op4_bpe")
+def op4_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_digests(encode_documents(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query("op9_top_k", """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""")
+def op9_top_k(spark, sf_dir):
+    vectors = integer_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return top_products(vectors, vectors.filter("id % 20 = 0"))
+
+
+@query("op5_sharding")
+def op5_sharding(spark, sf_dir):
+    text = F.col("text")
+    records = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    placed = assign_shards(records, F.col("text_crc32"), F.col("size"), 40)
+    return placed.select("row.*", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+OP7_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, length(replace(replace(text, '\', '\b'), '<', '\l')) AS text_chars,
+         length(replace(replace(replace(role, '\', '\b'), '<', '\l'), '>', '\g')) AS role_chars
+  FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+       CAST(sum(6 + role_chars + 2 + text_chars + 8) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op7_chat", OP7_SQL)
+def op7_chat(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    turns = rows.union(probe).select("conv_id", "turn", "role", text_part(F.col("text")).alias("content"))
+    made = format_conversations(turns)
+    parsed = F.transform(turn_texts(F.col("formatted")), parse_turn)
+    loss = loss_text(F.col("formatted"), F.col("loss_spans"))
+    line = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    read = made.select("conv_id", parsed.alias("turns"), loss.alias("loss"), "formatted")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", line), "").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
