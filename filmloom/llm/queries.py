@@ -16,7 +16,9 @@ from filmloom.llm.language import fit_languages, predict_languages
 from filmloom.llm.lexicon_bpe import encode_documents
 from filmloom.llm.sharding import assign_shards
 from filmloom.llm.simhash import near_duplicates
+from filmloom.llm.token_files import read_token_files, write_token_files
 from filmloom.llm.toxicity import fit_toxicity, score_toxicity
+from filmloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -170,3 +172,10 @@ def op7_chat(spark, sf_dir):
         F.char_length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op8_token_files")
+def op8_token_files(spark, sf_dir):
+    docs, folder = table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, "tokens")
+    parts = write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), folder, end=0)
+    return read_token_files(spark, folder, parts).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
