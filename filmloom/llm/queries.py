@@ -14,6 +14,7 @@ from filmloom.llm.decontaminate import benchmark_hits
 from filmloom.llm.knn import integer_vectors, top_products
 from filmloom.llm.language import fit_languages, predict_languages
 from filmloom.llm.lexicon_bpe import encode_documents
+from filmloom.llm.quality import score_quality
 from filmloom.llm.sharding import assign_shards
 from filmloom.llm.simhash import near_duplicates
 from filmloom.llm.token_files import read_token_files, write_token_files
@@ -179,3 +180,14 @@ def op8_token_files(spark, sf_dir):
     docs, folder = table(spark, sf_dir, "documents").select("doc_id", "text"), scratch_path(spark, "tokens")
     parts = write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), folder, end=0)
     return read_token_files(spark, folder, parts).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(remainder(5) != 0)
+    scored = score_quality(docs, labels, F.col("source"), F.col("lang"))
+    return scored.select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "evidence", "host_posterior", "path_posterior",
+    )
