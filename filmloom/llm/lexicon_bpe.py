@@ -27,11 +27,14 @@ from pyspark.sql import functions as F
 
 from filmloom.llm.common import added, packed, steps, struct_text, with_columns
 from filmloom.llm.transducer import Lexicon, compile_words
+from filmloom.session import materialise
 
 #: Bound on the words of a lexicon: the most frequent ones of the corpus.
 LEXICON_WORDS = 50_000
 #: Words a worker remembers at a time, and the longest of them.
 REMEMBERED, LONGEST = 400_000, 64
+#: Steps in which counts are told apart, for each doubling.
+LEVELS = 64
 #: Distinct words that a counting task holds before it hands on its counts.
 COUNTED = 1_000_000
 END = "</w>"
@@ -187,10 +190,20 @@ def _count_words(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterator
 
 
 def frequent_words(docs: DataFrame, vocabulary: str, words: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words of all texts, at most ``words``; equals in order of the word. Very long words stay out."""
+    """The most frequent words of all texts, at most ``words`` of them.
+
+    The least count is found from a histogram of the counts on a logarithmic scale, so only words that are wanted reach
+    the driver; words of about the same count are taken together or not at all. Words that occur once and very long
+    words stay out.
+    """
     counted = docs.select("text").mapInArrow(lambda it: _count_words(vocabulary, it), "word string, n bigint")
-    totals = counted.filter(F.length("word") <= LONGEST).groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in totals.orderBy(F.desc("n"), "word").limit(words).collect()]
+    totals = counted.filter(F.length("word") <= LONGEST).groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
+    level = F.floor(F.log2("n") * LEVELS).cast("int")
+    totals = materialise(totals.select("word", level.alias("level")), "word-counts")
+    sizes = sorted(totals.groupBy("level").count().collect(), reverse=True)
+    within = [sum(n for _, n in sizes[: i + 1]) <= words for i in range(len(sizes))]
+    least = [lev for (lev, _), ok in zip(sizes, within, strict=True) if ok][-1:]
+    return [r["word"] for r in totals.filter(F.col("level") >= least[0]).collect()] if least else []
 
 
 def build_lexicon(docs: DataFrame, vocabulary: str, words: int = LEXICON_WORDS) -> bytes:

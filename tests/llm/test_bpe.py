@@ -79,11 +79,13 @@ def test_documents_with_any_lexicon(spark, words):
 
 
 def test_lexicon_holds_the_most_frequent_words(spark, tmp_path):
-    docs = spark.createDataFrame([("b b a a c",), ("B <|endoftext|> d",)], "text string")
+    docs = spark.createDataFrame([("b b a a c",), ("B <|endoftext|> d e",), ("e " * 9,)], "text string")
     path = tmp_path / "words.bin"
-    path.write_bytes(build_lexicon(docs, VOCABULARY, 2))
+    path.write_bytes(build_lexicon(docs, VOCABULARY, 3))
     lexicon = Lexicon(str(path))
-    assert lexicon.get(b"a") and lexicon.get(b"b") and lexicon.get(b"c") is None
+    assert all(map(lexicon.get, (b"a", b"b", b"e"))) and lexicon.get(b"c") is None
+    path.write_bytes(build_lexicon(docs, VOCABULARY, 2))
+    assert Lexicon(str(path)).get(b"b") and Lexicon(str(path)).get(b"a") is None
 
 
 def test_empty_table(spark):
