@@ -18,8 +18,8 @@ from filmloom.llm.simhash import without_duplicates
 from filmloom.llm.toxicity import fit_toxicity, score_toxicity
 from filmloom.session import materialise
 
-#: A document whose main language has no larger share is no text of one language.
-LEAST_SHARE = 0.5
+#: A document whose main language has a smaller share isn't written in any one language.
+LEAST_SHARE = 0.4
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +29,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which one known language has more than half of the text."""
+    """Documents with a main language: not those without letters, nor even mixtures of several languages."""
     found = predict_languages(docs, fit_languages(docs.filter(remainder(3) != 1)))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select("row.*")
+    main = F.array_max(F.col("shares.share"))
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (main >= LEAST_SHARE)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,7 +80,8 @@ def fit_languages(docs: DataFrame, max_langs: int = MAX_LANGS) -> LanguageModel:
     """Fit on all of ``docs`` (text, lang), which holds only rows that may be learned from; null languages are left out.
 
     Counts are summed in each task before they are shuffled, so a language that holds most documents is no burden.
-    At most ``max_langs`` languages are learned, those with most documents (ties: the smaller name).
+    At most ``max_langs`` languages are learned, those with most documents (ties: the smaller name); a language without
+    a letter in any text isn't learned.
     """
     known = docs.select("text", "lang").filter(F.col("lang").isNotNull())
     names = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
@@ -89,6 +90,8 @@ def fit_languages(docs: DataFrame, max_langs: int = MAX_LANGS) -> LanguageModel:
     if langs:
         rows = known.mapInArrow(lambda it: _counts(langs, it), "lang int, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
         totals[rows["lang"].to_numpy(np.int64), rows["bucket"].to_numpy(np.int64)] = rows["n"]
+    learned = totals.sum(1) > 0
+    langs, totals = [lang for lang, ok in zip(langs, learned, strict=True) if ok], totals[learned]
     shares = (totals.sum(0) + 0.01) / (totals.sum() + 0.01 * BUCKETS)
     logs = np.log((totals + SMOOTH * shares) / (totals.sum(1, keepdims=True) + SMOOTH))
     return LanguageModel(langs, np.ascontiguousarray(logs.T, np.float32))

@@ -136,7 +136,7 @@ def token_weights(totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Scores of the buckets, and the shares of a clean document's tokens, from counts (all, clean, toxic)."""
     everything, clean, toxic = totals.astype(np.float64)
     prior = PRIOR_SHARE * (clean.sum() + toxic.sum()) * (everything + 1) / (everything.sum() + len(everything))
-    shares = (clean + prior) / (clean + prior).sum()
+    shares = (clean + prior) / max((clean + prior).sum(), 1e-300)
     if not clean.sum() or not toxic.sum():
         return np.full(len(prior), -DRIFT, np.float32), shares
     odds = np.log((toxic + prior) / (toxic + prior).sum()) - np.log(shares)
