@@ -88,8 +88,8 @@ def fit_languages(docs: DataFrame, max_langs: int = MAX_LANGS) -> LanguageModel:
     langs = sorted(r["lang"] for r in names.collect())
     totals = np.zeros((len(langs), BUCKETS))
     if langs:
-        rows = known.mapInArrow(lambda it: _counts(langs, it), "lang int, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-        totals[rows["lang"].to_numpy(np.int64), rows["bucket"].to_numpy(np.int64)] = rows["n"]
+        counted = known.mapInArrow(lambda it: _counts(langs, it), "lang int, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+        totals[counted["lang"].to_numpy(), counted["bucket"].to_numpy()] = counted["n"].to_numpy()
     learned = totals.sum(1) > 0
     langs, totals = [lang for lang, ok in zip(langs, learned, strict=True) if ok], totals[learned]
     shares = (totals.sum(0) + 0.01) / (totals.sum() + 0.01 * BUCKETS)
