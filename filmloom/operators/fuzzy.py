@@ -32,12 +32,14 @@ def _one_less(text: Column) -> Column:
 
 
 def leftovers(term: Column) -> Column:
-    """Array of ``(deleted, rest)`` for up to two deletions in the prefix; repeats are kept."""
+    """Array of ``(deleted, rest)`` for up to two deletions in the prefix: each rest once, with the fewest deletions."""
     prefix = F.substring(term, 1, PREFIX)
     one = _one_less(prefix)
     two = F.flatten(F.transform(one, _one_less))
     tag = lambda n: lambda k: F.struct(F.lit(n).alias("deleted"), k.alias("rest"))
-    return F.concat(F.transform(F.array(prefix), tag(0)), F.transform(one, tag(1)), F.transform(two, tag(2)))
+    kept_one = F.array_except(one, F.array(prefix))
+    kept_two = F.array_except(two, F.concat(one, F.array(prefix)))
+    return F.concat(F.transform(F.array(prefix), tag(0)), F.transform(kept_one, tag(1)), F.transform(kept_two, tag(2)))
 
 
 def _swaps(text: Column) -> Column:

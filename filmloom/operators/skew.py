@@ -11,34 +11,27 @@ from pyspark.sql import functions as F
 
 from filmloom.session import materialise
 
-# A key with fewer rows than this is no burden for one task.
+# A key with fewer rows than this is no burden for one task, whatever the table's size.
 HOT_ROWS = 1_000_000
-# Upper bound on the number of keys reported as hot, hence on what is broadcast.
-MAX_HOT_KEYS = 100_000
 
 
-def heavy_keys(
-    df: DataFrame, keys: Sequence[str], floor: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame | None:
+def heavy_keys(df: DataFrame, keys: Sequence[str], floor: int = HOT_ROWS) -> DataFrame | None:
     """Keys with more than ``floor`` rows, as ``keys + [n]``; ``None`` if there are none.
 
-    The threshold rises with the table (rows / ``max_keys``), so at most
-    ``max_keys`` keys can pass it: the result is safe to broadcast at any scale.
-    A table of at most ``floor`` rows is answered by its row count alone.
+    There are at most rows / ``floor`` such keys, so the list is a millionth of the
+    table; who joins with it measures it first. A table of at most ``floor`` rows is
+    answered by its row count alone.
     """
-    total = df.count()
-    if total <= floor:
+    if df.count() <= floor:
         return None
-    threshold = max(floor, total // max_keys)
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    hot = materialise(counts.filter(F.col("n") > threshold), "hot-keys")
+    hot = materialise(counts.filter(F.col("n") > floor), "hot-keys")
     return None if hot.isEmpty() else hot
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core for costly row work on an input of few files; otherwise ``df`` as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    """``df`` over as many tasks as the session shuffles into, for costly row work on an input of few row groups."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def each_once(df: DataFrame, key: str) -> DataFrame:
@@ -78,9 +71,9 @@ def salted_join(
     on = list(on)
     if hot is None:
         return facts.join(dim, on, how)
-    salts_of = F.broadcast(
-        hot.select(*on, F.ceil(F.col("n") / F.lit(floor)).cast("int").alias("_salts"))
-    )
+    salts_of = hot.select(*on, F.ceil(F.col("n") / F.lit(floor)).cast("int").alias("_salts"))
+    if fits_broadcast(salts_of):
+        salts_of = F.broadcast(salts_of)
     vary = list(salt_by) or [c for c in facts.columns if c not in on]
     keyless = reduce(operator.or_, [F.col(c).isNull() for c in on])
     # Rows without a key match nothing, so they may go anywhere.

@@ -11,11 +11,9 @@ from filmloom.catalog import ROLE_FIELDS, Catalog
 from filmloom.functions.scalar import id_name, or_empty
 from filmloom.operators.aggregates import distinct_sorted
 from filmloom.operators.projections import names_of
-from filmloom.operators.skew import heavy_keys, skew_join
+from filmloom.operators.skew import HOT_ROWS, skew_join
 from filmloom.session import materialise
 
-# A film with more distinct members than this has its document spread over several parts.
-PART_MEMBERS = 1_000_000
 RELATIONS = ("genres", *ROLE_FIELDS.values())
 
 
@@ -36,94 +34,72 @@ def _named(links: DataFrame, names: DataFrame, measure: DataFrame) -> DataFrame:
     return skew_join(links, names, ["id"], "inner", salt_by=vary, measure=measure.select("id"))
 
 
+def _merged(links: DataFrame, stored: DataFrame) -> DataFrame:
+    """Distinct links of a table large enough to have a film with very many copies; a smaller one as it is.
+
+    Copies then merge before they move. The row count is read from the files' footers.
+    """
+    return links.distinct() if stored.count() > HOT_ROWS else links
+
+
 def person_members(cat: Catalog) -> DataFrame:
     """Distinct ``(film_work_id, role, id, name)``. Copies of a link merge before they move."""
-    links = person_links(cat)
-    return _named(links.distinct(), cat.person.select("id", F.col("full_name").alias("name")), links)
+    return _named(person_links(cat).distinct(), cat.person.select("id", F.col("full_name").alias("name")), cat.person_film.select(F.col("person_id").alias("id")))
 
 
 def genre_members(cat: Catalog) -> DataFrame:
     """Distinct ``(film_work_id, id, name)``."""
-    links = genre_links(cat)
-    return _named(links.distinct(), cat.genre.select("id", "name"), links)
-
-
-def _busy_films(cat: Catalog, part_members: int) -> DataFrame | None:
-    """Films with more than ``part_members`` links; none if neither link table has so many rows."""
-    tables = [df.select("film_work_id") for df in (cat.person_film, cat.genre_film)]
-    if all(df.count() <= part_members for df in tables):
-        return None
-    return heavy_keys(tables[0].unionAll(tables[1]), ["film_work_id"], part_members)
-
-
-def _with_parts(members: DataFrame, busy: DataFrame, part_members: int) -> DataFrame:
-    """Add ``part``: 0, or a bucket of the member id in a film with too many distinct members.
-
-    ``busy`` lists the films with many links; only their members are counted.
-    """
-    members = materialise(members, "members")
-    film = ["film_work_id"]
-    sizes = members.join(F.broadcast(busy.select(*film)), film, "left_semi").groupBy(*film).agg(F.count("*").alias("n"))
-    parts = sizes.filter(F.col("n") > part_members).select(
-        *film, F.ceil(F.col("n") / F.lit(part_members)).cast("int").alias("_parts")
-    )
-    # No more films than in ``busy``, whose number is bounded.
-    return (
-        members.join(F.broadcast(parts), film, "left")
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("_parts", F.lit(1))).cast("int"))
-        .drop("_parts")
-    )
+    return _named(genre_links(cat).distinct(), cat.genre.select("id", "name"), cat.genre_film.select(F.col("genre_id").alias("id")))
 
 
-def film_documents(
-    cat: Catalog, part_members: int = PART_MEMBERS, extra: Sequence[str] = (), with_part: bool = False
-) -> DataFrame:
+def film_documents(cat: Catalog, extra: Sequence[str] = ()) -> DataFrame:
     """One document for each film: its fields and its distinct people and genres.
 
     Both link tables are aggregated by film before they meet the film, so the
     person x genre product never exists. A relation without members is an empty
     array; names are distinct and sorted.
 
-    No task holds an unbounded array: a film with more than ``part_members``
-    distinct members comes as several rows (``part`` 0, 1, ...) with disjoint
-    members. Links are counted first. Where no film has that many, the links go
-    straight to the aggregation in one shuffle; otherwise they are made
-    distinct before they move, so copies never gather in one task.
+    A document is one row, whatever its size, so a film's distinct members meet in
+    one task; their copies do not. What needs members but not documents (filters,
+    nested searches) reads ``person_members`` and ``genre_members`` instead.
     """
     people, genres = person_links(cat), genre_links(cat)
     film_key = ["film_work_id"]
-    busy = _busy_films(cat, part_members)
-    plain = busy is None
-    if plain:
-        key = film_key
-        cast = _named(people, cat.person.select("id", F.col("full_name").alias("name")), people)
-        kinds = _named(genres, cat.genre.select("id", "name"), genres)
-        # Films have few links each, so merging before the shuffle would gain nothing.
-        cast, kinds = cast.repartition(*key), kinds.repartition(*key)
-    else:
-        key = [*film_key, "part"]
-        cast = _with_parts(person_members(cat), busy, part_members)
-        kinds = _with_parts(genre_members(cat), busy, part_members)
+    cast = _named(_merged(people, cat.person_film), cat.person.select("id", F.col("full_name").alias("name")), cat.person_film.select(F.col("person_id").alias("id")))
+    kinds = _named(_merged(genres, cat.genre_film), cat.genre.select("id", "name"), cat.genre_film.select(F.col("genre_id").alias("id")))
     member = id_name("id", "name")
-    cast = cast.groupBy(*key).agg(
+    # Films have few links each, so merging before the shuffle would gain nothing.
+    cast = cast.repartition(*film_key).groupBy(*film_key).agg(
         *[distinct_sorted(F.when(F.col("role") == role, member)).alias(f) for role, f in ROLE_FIELDS.items()]
     )
-    kinds = kinds.groupBy(*key).agg(distinct_sorted(member).alias("genres"))
+    kinds = kinds.repartition(*film_key).groupBy(*film_key).agg(distinct_sorted(member).alias("genres"))
     film = cat.film.select(
         F.col("id").alias("film_work_id"), F.col("rating").alias("imdb_rating"), "title", "description", *extra
     )
-    if plain:
-        docs = film.join(cast, film_key, "left").join(kinds, film_key, "left").withColumn("part", F.lit(0))
-    else:
-        docs = film.join(cast.join(kinds, key, "full"), film_key, "left")
+    docs = film.join(cast, film_key, "left").join(kinds, film_key, "left")
     docs = docs.withColumns({c: or_empty(F.col(c)) for c in RELATIONS})
     names = [
         F.sort_array(F.array_distinct(F.array_compact(names_of(c)))).alias(f"{c}_names") for c in RELATIONS
     ]
-    part = [F.coalesce("part", F.lit(0)).alias("part")] if with_part else []
-    return docs.select(
-        F.col("film_work_id").alias("id"), "imdb_rating", "title", "description", *names, *RELATIONS, *extra, *part
-    )
+    return docs.select(F.col("film_work_id").alias("id"), "imdb_rating", "title", "description", *names, *RELATIONS, *extra)
+
+
+def films_with_genre(cat: Catalog, genre: object) -> DataFrame:
+    """Films with a genre as ``id``, each once, from the link table alone; no value means no restriction."""
+    if genre is None:
+        return cat.film.select("id")
+    known = cat.genre.filter(F.col("id") == F.lit(genre)).select(F.col("id").alias("genre_id"))
+    links = genre_pairs(cat).filter(F.col("genre_id") == F.lit(genre)).join(F.broadcast(known.limit(1)), "genre_id", "left_semi")
+    return links.select("id").distinct().join(cat.film.select("id"), "id", "left_semi")
+
+
+def films_with_person(cat: Catalog, person: object) -> DataFrame:
+    """Films with a person in any document role, as ``films_with_genre``."""
+    if person is None:
+        return cat.film.select("id")
+    known = cat.person.filter(F.col("id") == F.lit(person)).select(F.col("id").alias("person_id"))
+    links = person_pairs(cat).filter(F.col("person_id") == F.lit(person)).join(F.broadcast(known.limit(1)), "person_id", "left_semi")
+    return links.select("id").distinct().join(cat.film.select("id"), "id", "left_semi")
 
 
 def restrict(cat: Catalog, ids: DataFrame) -> Catalog:

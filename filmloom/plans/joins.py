@@ -57,7 +57,18 @@ def linked_pairs(film: DataFrame, links: DataFrame, fk: str, keys: DataFrame) ->
 
 
 def presence(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Where each key is found: both sides, source only or target only."""
-    both = source.select(key, F.lit(True).alias("s")).join(target.select(key, F.lit(True).alias("t")), key, "full")
-    side = F.when(F.col("t").isNull(), "source only").when(F.col("s").isNull(), "target only").otherwise("both")
-    return both.select(key, side.alias("side"))
+    """Where each row's key is found: both sides, source only or target only.
+
+    A row of the result for each pair of equal keys, and for each row without one, as in a full
+    join. Both sides are counted by key first, so a repeated key moves once and its
+    pairs are made only where they are returned.
+    """
+    sides = source.select(key, F.lit(1).alias("s"), F.lit(0).alias("t")).unionAll(target.select(key, F.lit(0).alias("s"), F.lit(1).alias("t")))
+    counts = sides.groupBy(key).agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
+    null = F.col(key).isNull()
+    side = F.when(F.col("t") == 0, "source only").when(F.col("s") == 0, "target only").otherwise("both")
+    # Null keys equal nothing: each is a row of its own side.
+    found = F.when(null, F.array(F.struct(F.lit("source only").alias("side"), F.col("s").alias("n")), F.struct(F.lit("target only").alias("side"), F.col("t").alias("n"))))
+    found = found.otherwise(F.array(F.struct(side.alias("side"), F.when((F.col("s") == 0) | (F.col("t") == 0), F.col("s") + F.col("t")).otherwise(F.col("s") * F.col("t")).alias("n"))))
+    rows = counts.select(key, F.inline(found)).filter("n > 0")
+    return rows.select(key, "side", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))).drop("col")

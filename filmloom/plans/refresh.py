@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmloom.catalog import Catalog
-from filmloom.operators.filters import changed_since
+from filmloom.operators.filters import changed_from, changed_since
+from filmloom.operators.paging import SortKey, next_page
 from filmloom.operators.sets import union_ids
 from filmloom.operators.skew import matching
 from filmloom.plans.documents import film_documents, restrict
+from filmloom.session import materialise
 from filmloom.sources.documents import DocumentTable
+from filmloom.sources.state import mark_of, write_state
 
 
 @dataclass(frozen=True)
@@ -24,20 +28,35 @@ class Marks:
     genre: Column
 
 
-def changed_ids(df: DataFrame, mark: Column, key: str = "id") -> DataFrame:
-    return changed_since(df, mark).select(F.col(key).alias("id")).distinct()
+ENTITIES = ("film", "person", "genre")
+CURSOR = (SortKey("modified"), SortKey("id"))
+
+
+def changed_ids(df: DataFrame, mark: Column, key: str = "id", at_mark: bool = False) -> DataFrame:
+    """Ids changed since the mark; with ``at_mark`` those changed at the mark itself too."""
+    found = changed_from(df, mark) if at_mark else changed_since(df, mark)
+    return found.select(F.col(key).alias("id")).distinct()
 
 
 def changed_page(df: DataFrame, mark: Column, offset: int, limit: int) -> DataFrame:
-    """One page of changed ids in order of change; equal times are ordered by id."""
+    """One page of changed ids in order of change; equal times are ordered by id.
+
+    A page behind a million rows or more is better read with ``changes_after`` from the page before it.
+    """
     return changed_since(df, mark).orderBy("modified", "id").offset(offset).limit(limit).select("id", "modified")
 
 
-def next_mark(df: DataFrame, mark: Column, name: str) -> DataFrame:
+def changes_after(df: DataFrame, last: Sequence[object] | None, limit: int) -> DataFrame:
+    """The next changes behind the cursor ``(modified, id)`` of the last one read. Equal times split over pages lose
+    no row, and no page reads the rows of those before it twice."""
+    return next_page(df.select("id", "modified"), CURSOR, last, limit)
+
+
+def next_mark(df: DataFrame, mark: Column, name: str, at_mark: bool = False) -> DataFrame:
     """Mark after reading the changes: the latest time read and its highest id."""
     last = F.struct("modified", "id")
     return (
-        changed_since(df, mark)
+        (changed_from(df, mark) if at_mark else changed_since(df, mark))
         .agg(F.max(last).alias("m"))
         .filter("m IS NOT NULL")
         .select(F.lit(name).alias("name"), F.col("m.modified").alias("mark"), F.col("m.id").alias("last_id"))
@@ -51,15 +70,15 @@ def films_of(links: DataFrame, fk: str, ids: DataFrame) -> DataFrame:
     return hit.select(F.col("film_work_id").alias("id")).distinct()
 
 
-def affected_films(cat: Catalog, marks: Marks) -> DataFrame:
+def affected_films(cat: Catalog, marks: Marks, at_mark: bool = False) -> DataFrame:
     """Ids of films that changed or that a changed person or genre belongs to.
 
     A link may name a film that is not there; such ids bring no document.
     """
     return union_ids(
-        films_of(cat.person_film, "person_id", changed_ids(cat.person, marks.person)),
-        films_of(cat.genre_film, "genre_id", changed_ids(cat.genre, marks.genre)),
-        changed_ids(cat.film, marks.film),
+        films_of(cat.person_film, "person_id", changed_ids(cat.person, marks.person, at_mark=at_mark)),
+        films_of(cat.genre_film, "genre_id", changed_ids(cat.genre, marks.genre, at_mark=at_mark)),
+        changed_ids(cat.film, marks.film, at_mark=at_mark),
     )
 
 
@@ -68,6 +87,23 @@ def rebuilt(cat: Catalog, ids: DataFrame) -> DataFrame:
     return film_documents(restrict(cat, ids))
 
 
-def refresh(cat: Catalog, marks: Marks, table: DocumentTable) -> int:
+def refresh(cat: Catalog, marks: Marks, table: DocumentTable, at_mark: bool = False) -> int:
     """Rebuild every affected document and upsert it; returns the new version."""
-    return table.upsert(rebuilt(cat, affected_films(cat, marks)), unique=True)
+    return table.upsert(rebuilt(cat, affected_films(cat, marks, at_mark)), unique=True)
+
+
+def refresh_from_state(cat: Catalog, state: str, table: DocumentTable) -> int:
+    """Refresh from the marks kept at ``state``, and move them once the documents are written.
+
+    Rows at a mark are read again, as one with the same time may have been stored after the last run; the upsert makes
+    that harmless. New marks are taken before the rows are read, so a row that arrives meanwhile is at worst read
+    twice. A run that fails leaves the marks as they were.
+    """
+    spark = cat.film.sparkSession
+    marks = {e: mark_of(spark, state, e) for e in ENTITIES}
+    moved = [next_mark(getattr(cat, e), marks[e], e, at_mark=True) for e in ENTITIES]
+    moved = [m.select("name", F.col("mark").cast("timestamp").alias("mark"), F.col("last_id").cast("string").alias("last_id")) for m in moved]
+    held = materialise(moved[0].unionByName(moved[1]).unionByName(moved[2]), "marks")
+    version = refresh(cat, Marks(**marks), table, at_mark=True)
+    write_state(held, state)
+    return version

@@ -19,6 +19,16 @@ from filmloom.plans.documents import admin_rows, genre_pairs, person_pairs, rest
 from filmloom.session import materialise
 
 DEFAULT_SORT = "imdb_rating"
+# Fields a listing can be sorted by, and the columns that hold them.
+SORT_FIELDS = {"id": "id", "imdb_rating": "imdb_rating", "title.raw": "title"}
+
+
+def sort_column(sort: str) -> str:
+    """A sort request by field as one by column, its sign kept."""
+    field = sort.removeprefix("-")
+    if field not in SORT_FIELDS:
+        raise ValueError(f"a listing can't be sorted by {field!r}; fields: {', '.join(SORT_FIELDS)}")
+    return sort[: len(sort) - len(field)] + SORT_FIELDS[field]
 
 
 def listing_fields(film: DataFrame) -> DataFrame:
@@ -35,7 +45,7 @@ def with_links(films: DataFrame, links: DataFrame) -> DataFrame:
 def film_list(requests: DataFrame, film: DataFrame, links: DataFrame, sort: str = DEFAULT_SORT) -> DataFrame:
     """Pages of films, of one genre where ``genre_id`` is given, of all where it is null."""
     films = listing_fields(film)
-    order = result_order(sort)
+    order = result_order(sort_column(sort))
     some = requests.filter(F.col("genre_id").isNotNull())
     pages = pages_for(some, with_links(films, links), order, ["genre_id"]).drop("genre_id")
     every = pages_for(requests.filter(F.col("genre_id").isNull()).drop("genre_id"), films, order)
@@ -77,32 +87,40 @@ def person_list(requests: DataFrame, persons: DataFrame) -> DataFrame:
     return partial_person(pages_for(requests, persons, result_order()), "request_id", "place")
 
 
-def film_search(requests: DataFrame, films: DataFrame, index: Index, links: DataFrame) -> DataFrame:
+def film_search(requests: DataFrame, films: DataFrame, index: Index | None, links: DataFrame) -> DataFrame:
     """Pages of films by relevance: ``query`` and ``genre_id`` restrict where given.
 
     Distinct (query, genre) pairs are answered once. Without a query every film
-    matches alike, so the order is by id.
+    matches alike, so the order is by id; ``index`` may be None if no request has
+    a query. Scores are never written: the best of each search are kept by every
+    task before they are shuffled.
     """
     requests = requests.withColumn("query_key", query_key())
-    texted = requests.filter(F.col("query").isNotNull())
-    scored = materialise(score(texted, index).withColumnRenamed("doc", "id"), "scores")
-    pairs = texted.filter(F.col("genre_id").isNotNull()).select("query_key", "genre_id").distinct()
-    by_genre = skew_join(scored, materialise(pairs, "query-genres"), ["query_key"], "inner", salt_by=["id"])
-    by_genre = by_genre.join(links.distinct(), ["id", "genre_id"], "left_semi")
-    plain = scored.withColumn("genre_id", F.lit(None).cast(links.schema["genre_id"].dataType))
-    # A search without a genre is a group of its own.
-    group = F.concat("query_key", F.lit("/"), F.coalesce(F.col("genre_id").cast("string"), F.lit("*")))
-    matched = by_genre.unionByName(plain).select(group.alias("search"), "id", "score")
-    asked = texted.select("request_id", group.alias("search"), "page_number", "page_size")
-    found = pages_for(asked, matched, result_order(score="score"), ["search"])
     untexted = requests.filter(F.col("query").isNull()).drop("query", "query_key")
     listed = pages_for(untexted.filter(F.col("genre_id").isNotNull()), links.distinct(), result_order(), ["genre_id"])
     every = pages_for(untexted.filter(F.col("genre_id").isNull()).drop("genre_id"), films.select("id"), result_order())
     columns = ["request_id", "place", "id"]
-    hits = found.select(*columns).unionByName(listed.select(*columns)).unionByName(every.select(*columns))
+    hits = listed.select(*columns).unionByName(every.select(*columns))
+    if index is not None:
+        hits = hits.unionByName(_searched(requests.filter(F.col("query").isNotNull()), index, links).select(*columns))
     return partial_film(_filled(hits, films), "request_id", "place")
 
 
+def _searched(requests: DataFrame, index: Index, links: DataFrame) -> DataFrame:
+    scored = score(requests, index).withColumnRenamed("doc", "id")
+    pairs = materialise(requests.filter(F.col("genre_id").isNotNull()).select("query_key", "genre_id").distinct(), "query-genres")
+    # The films of the genres asked for, with the queries that ask: a genre that many queries ask for is salted by its films.
+    asked = skew_join(links.distinct(), pairs, ["genre_id"], "inner", salt_by=["id"], measure=links.select("genre_id"))
+    # One row for each query and film on either side, so nothing is hot here.
+    by_genre = scored.join(asked, ["query_key", "id"])
+    plain = scored.withColumn("genre_id", F.lit(None).cast(links.schema["genre_id"].dataType))
+    # A search without a genre is a group of its own.
+    group = F.concat("query_key", F.lit("/"), F.coalesce(F.col("genre_id").cast("string"), F.lit("*")))
+    matched = by_genre.unionByName(plain).select(group.alias("search"), "id", "score")
+    wanted = requests.select("request_id", group.alias("search"), "page_number", "page_size")
+    return pages_for(wanted, matched, result_order(score="score"), ["search"])
+
+
 def _filled(hits: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows of the hits; one row may be a hit of very many requests."""
     return skew_join(materialise(hits, "hits"), rows, ["id"], "inner", salt_by=["request_id"])

@@ -1,13 +1,15 @@
 """Change capture, propagation and streaming refresh."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from filmloom.catalog import document_ddl, orders_catalog, read_table
 from filmloom.plans.documents import film_documents
-from filmloom.plans.refresh import changed_ids, films_of, next_mark, refresh
+from filmloom.plans.refresh import changed_ids, films_of, next_mark, refresh, refresh_from_state
 from filmloom.queries.order import AFFECTED_SQL, DAY, changing_catalog
-from filmloom.queries.registry import DOCUMENT_COLUMNS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, documents_text, members_sql, query
-from filmloom.session import scratch_path
+from filmloom.queries.registry import DOCUMENT_COLUMNS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, documents_sql, documents_text, members_sql, query
+from filmloom.session import materialise, scratch_path
 from filmloom.sources.documents import DocumentTable
 from filmloom.sources.state import add_to_ids, read_ids
 from filmloom.streaming import changes
@@ -60,13 +62,27 @@ def t3_stream_first_seen(spark, sf_dir):
     return spark.read.schema("id bigint").parquet(out)
 
 
-@query("t3_stream_first_seen_within", "SELECT DISTINCT user_id AS id FROM events")
+# Ids of one batch, others four days later, and the first again: by then they are forgotten.
+FORGET_SQL = """WITH h AS (SELECT date_trunc('day', min(ts)) + INTERVAL 15 DAY AS half FROM events)
+SELECT DISTINCT user_id AS id, 1 AS batch FROM events, h WHERE user_id % 2 = 0 AND ts < half
+UNION ALL SELECT DISTINCT user_id, 2 FROM events, h WHERE user_id % 2 = 1 AND ts >= half + INTERVAL 4 DAY AND ts < half + INTERVAL 6 DAY
+UNION ALL SELECT DISTINCT user_id, 3 FROM events, h WHERE user_id % 2 = 0 AND ts >= half + INTERVAL 6 DAY"""
+
+
+@query("t3_stream_first_seen_within", FORGET_SQL)
 def t3_stream_first_seen_within(spark, sf_dir):
-    out = scratch_path(spark, "first-seen")
-    stream = changes.read_changes(spark, event_log(spark, sf_dir), EVENTS).select(F.col("user_id").alias("id"), "ts")
-    fresh = changes.first_seen_within(stream, "id", "ts", "3650 days")
-    changes.run_to_files(fresh.select("id"), out, scratch_path(spark, "checkpoint"))
-    return spark.read.schema("id bigint").parquet(out)
+    out, log, checkpoint = scratch_path(spark, "first-seen"), scratch_path(spark, "log"), scratch_path(spark, "checkpoint")
+    half = F.date_trunc("day", F.min("ts")).cast("timestamp_ntz") + F.expr("INTERVAL 15 DAYS")
+    events = read_table(spark, sf_dir, "events").drop("props")
+    half = F.lit(events.agg(half.alias("half")).first()["half"])
+    days, even = lambda n: half + F.expr(f"INTERVAL {n} DAYS"), F.col("user_id") % 2 == 0
+    ts = F.col("ts")
+    parts = (even & (ts < half), ~even & (ts >= days(4)) & (ts < days(6)), even & (ts >= days(6)))
+    for batch, part in enumerate(parts, 1):
+        events.filter(part).withColumn("batch", F.lit(batch)).write.mode("append").parquet(log)
+        stream = changes.read_changes(spark, log, f"{EVENTS}, batch int").select(F.col("user_id").alias("id"), "ts", "batch")
+        changes.run_to_files(changes.first_seen_within(stream, "id", "ts", "1 day").select("id", "batch"), out, checkpoint)
+    return spark.read.schema("id bigint, batch int").parquet(out)
 
 
 @query("t4_set_to_set", f"SELECT DISTINCT l_orderkey AS id FROM ({USER_FILMS_SQL})")
@@ -148,3 +164,16 @@ def r14_incremental_refresh(spark, sf_dir):
     table.append(film_documents(cat).withColumn("title", F.lit("stale")))
     refresh(cat, marks, table)
     return documents_text(table.read())
+
+
+@query("r14_two_refreshes", documents_sql())
+def r14_two_refreshes(spark, sf_dir):
+    """The first refresh sees no order of an odd key on the latest day; those are stored late, with the same time as its mark."""
+    cat, _ = changing_catalog(spark, sf_dir)
+    last = materialise(cat.film.agg(F.max("modified").alias("last")), "last-day")
+    late = cat.film.join(F.broadcast(last), F.col("modified") == F.col("last"), "left_semi").filter("id % 2 = 1").select("id")
+    early = replace(cat, film=cat.film.join(late, "id", "left_anti"))
+    table, state = _documents(spark), scratch_path(spark, "marks")
+    refresh_from_state(early, state, table)
+    refresh_from_state(cat, state, table)
+    return documents_text(table.read())

@@ -118,12 +118,13 @@ def o6_admin_envelope(spark, sf_dir):
     return pg.envelope(_film(spark, sf_dir), "last")
 
 
-@query("o7_fixed_batches", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS oversized FROM lineitem")
+@query("o7_fixed_batches", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS oversized, true AS cut FROM lineitem")
 def o7_fixed_batches(spark, sf_dir):
-    path, limit = scratch_path(spark, "batches"), 1_000_000
+    path, limit = scratch_path(spark, "batches"), 1_000
     orders_catalog(spark, sf_dir).person_film.write.option("maxRecordsPerFile", limit).parquet(path)
     files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"))
-    return files.agg(F.sum("n").alias("rows"), F.count(F.when(F.col("n") > limit, 1)).alias("oversized"))
+    oversized = F.count(F.when(F.col("n") > limit, 1)).alias("oversized")
+    return files.agg(F.sum("n").alias("rows"), oversized, (F.count("*") >= F.sum("n") / limit).alias("cut"))
 
 
 @query("o8_order_by_id_desc", "SELECT s_suppkey AS id, s_name AS full_name, row_number() OVER (ORDER BY s_suppkey DESC) AS position FROM supplier")

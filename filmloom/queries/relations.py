@@ -6,10 +6,12 @@ from filmloom.catalog import Catalog, documents_catalog, orders_catalog, read_ta
 from filmloom.operators import aggregates as agg
 from filmloom.operators import filters as flt
 from filmloom.operators.paging import page, result_order
-from filmloom.operators.skew import matching
+from filmloom.operators.skew import matching, skew_join
 from filmloom.plans.documents import (
     admin_rows,
     film_documents,
+    films_with_genre,
+    films_with_person,
     genre_members,
     person_members,
     person_pairs,
@@ -76,12 +78,12 @@ def f5_role_equality(spark, sf_dir):
 
 @query("f6_has_genre", "SELECT DISTINCT l_orderkey AS id FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_partkey = 7")
 def f6_has_genre(spark, sf_dir):
-    return film_documents(orders_catalog(spark, sf_dir)).filter(flt.has_member("genres", 7)).select("id")
+    return films_with_genre(orders_catalog(spark, sf_dir), 7)
 
 
 @query("f7_has_person", "SELECT DISTINCT l_orderkey AS id FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_suppkey = 5")
 def f7_has_person(spark, sf_dir):
-    return film_documents(orders_catalog(spark, sf_dir)).filter(flt.has_person(5)).select("id")
+    return films_with_person(orders_catalog(spark, sf_dir), 5)
 
 
 @query(
@@ -90,9 +92,10 @@ def f7_has_person(spark, sf_dir):
     AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey = 5)""",
 )
 def f8_conjunction(spark, sf_dir):
-    docs = film_documents(orders_catalog(spark, sf_dir), extra=["type"])
-    clauses = [F.col("type") == "F", F.col("imdb_rating") > 250_000, flt.has_person(5), flt.has_member("genres", None)]
-    return docs.filter(flt.boolean(must=clauses)).select("id")
+    cat = orders_catalog(spark, sf_dir)
+    films = cat.film.filter(flt.boolean(must=[F.col("type") == "F", F.col("rating") > 250_000]))
+    wanted = films.select("id").join(films_with_person(cat, 5), "id", "left_semi")
+    return wanted.join(films_with_genre(cat, None), "id", "left_semi")
 
 
 @query(
@@ -265,10 +268,9 @@ FROM person_film JOIN person p ON p.id = person_id""",
 )
 def a2_objects_by_role(spark, sf_dir):
     members = person_members(orders_catalog(spark, sf_dir))
-    roles = ("actor", "director", "writer")
-    rows = members.groupBy("film_work_id").agg(*[agg.objects_in_role(r, key="id").alias(r) for r in roles])
-    tagged = [rows.select("film_work_id", F.lit(r).alias("role"), F.inline(r)) for r in roles]
-    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    # The objects of all roles in one array: one aggregation, and one pass over it.
+    rows = members.groupBy("film_work_id").agg(agg.distinct_sorted(F.struct("role", "id", "name")).alias("objects"))
+    return rows.select("film_work_id", F.inline("objects"))
 
 
 @query(
@@ -312,8 +314,11 @@ def a6_group_documents(spark, sf_dir):
     f"WITH {ORDERS_SQL} SELECT f.id, any_value(f.rating) AS rating, any_value(f.title) AS title, any_value(f.description) AS description {WIDE_SQL} GROUP BY f.id",
 )
 def a7_first_value(spark, sf_dir):
-    docs = film_documents(orders_catalog(spark, sf_dir))
-    return docs.select("id", F.col("imdb_rating").alias("rating"), "title", "description")
+    cat = orders_catalog(spark, sf_dir)
+    linked = skew_join(cat.person_film.select(F.col("film_work_id").alias("id")), cat.film.select("id", "rating", "title", "description"), ["id"], "inner")
+    idle = cat.film.join(cat.person_film.select(F.col("film_work_id").alias("id")), "id", "left_anti").select("id", "rating", "title", "description")
+    first = [F.first(c).alias(c) for c in ("rating", "title", "description")]
+    return linked.select(*idle.columns).unionByName(idle).groupBy("id").agg(*first)
 
 
 @query(

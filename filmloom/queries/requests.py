@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from filmloom.catalog import documents_catalog, orders_catalog, read_table
 from filmloom.operators.aggregates import genre_documents, roles_of_persons
-from filmloom.operators.search import FILM_FIELDS, PERSON_FIELDS, build_index
 from filmloom.plans import requests as req
 from filmloom.plans.documents import film_documents, genre_pairs, restrict
 from filmloom.queries.registry import (
@@ -18,7 +17,7 @@ from filmloom.queries.registry import (
     query,
 )
 from filmloom.queries.relations import ADMIN_SQL, admin_text
-from filmloom.queries.search import FILM_DOCS_SQL, FILM_FIELDS_SQL, benchmark, score_ctes, text_films, tokens_sql
+from filmloom.queries.search import FILM_DOCS_SQL, FILM_FIELDS_SQL, benchmark, customers, film_index, people_index, score_ctes, tokens_sql
 
 
 def _placed(df):
@@ -58,7 +57,7 @@ def r1_film_search(spark, sf_dir):
     texts = benchmark(spark, sf_dir)
     plain = texts.select((2 * F.col("item_id")).alias("request_id"), "query", F.lit(None).cast("bigint").alias("genre_id"))
     within = texts.select((2 * F.col("item_id") + 1).alias("request_id"), "query", F.col("item_id").alias("genre_id"))
-    cat, index = documents_catalog(spark, sf_dir), build_index(text_films(spark, sf_dir), FILM_FIELDS)
+    cat, index = documents_catalog(spark, sf_dir), film_index(spark, sf_dir, texts)
     requests = _paged(plain.unionByName(within), 1, 50)
     return _placed(req.film_search(requests, req.listing_fields(cat.film), index, genre_pairs(cat)))
 
@@ -78,26 +77,40 @@ def r1_film_search_without_text(spark, sf_dir):
     requests = cat.genre.select(
         F.col("id").alias("request_id"), F.lit(None).cast("string").alias("query"), F.col("id").alias("genre_id")
     )
-    index = build_index(text_films(spark, sf_dir), FILM_FIELDS)
-    return _placed(req.film_search(_paged(requests, 2, 5), films, index, links))
+    return _placed(req.film_search(_paged(requests, 2, 5), films, None, links))
 
 
-@query(
-    "r2_film_list",
-    """WITH f AS (SELECT o_orderkey AS id, o_orderpriority AS title, o_totalprice AS imdb_rating FROM orders),
-g AS (SELECT l_partkey AS genre_id, f.*, row_number() OVER (PARTITION BY l_partkey ORDER BY imdb_rating DESC, id) AS rn
+def _film_list_sql(order: str) -> str:
+    return f"""WITH f AS (SELECT o_orderkey AS id, o_orderpriority AS title, o_totalprice AS imdb_rating FROM orders),
+g AS (SELECT l_partkey AS genre_id, f.*, row_number() OVER (PARTITION BY l_partkey ORDER BY {order}, id) AS rn
       FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) JOIN f ON id = l_orderkey),
-a AS (SELECT f.*, row_number() OVER (ORDER BY imdb_rating DESC, id) AS rn FROM f)
+a AS (SELECT f.*, row_number() OVER (ORDER BY {order}, id) AS rn FROM f)
 SELECT p_partkey AS request_id, rn AS place, id AS uuid, title, imdb_rating FROM part JOIN g ON genre_id = p_partkey WHERE rn <= 5
-UNION ALL SELECT -1 - r_regionkey, rn - 5 * r_regionkey, id, title, imdb_rating FROM region JOIN a ON rn > 5 * r_regionkey AND rn <= 5 * (r_regionkey + 1)""",
-)
-def r2_film_list(spark, sf_dir):
+UNION ALL SELECT -1 - r_regionkey, rn - 5 * r_regionkey, id, title, imdb_rating FROM region JOIN a ON rn > 5 * r_regionkey AND rn <= 5 * (r_regionkey + 1)"""
+
+
+def _film_lists(spark, sf_dir, sort):
     cat = orders_catalog(spark, sf_dir)
     by_genre = _paged(cat.genre.select(F.col("id").alias("request_id"), F.col("id").alias("genre_id")), 1, 5)
     every = _region_pages(spark, sf_dir, 5).select(
         (-1 - F.col("request_id")).cast("bigint").alias("request_id"), F.lit(None).cast("bigint").alias("genre_id"), "page_number", "page_size"
     )
-    return _placed(req.film_list(by_genre.unionByName(every), cat.film, genre_pairs(cat)))
+    return _placed(req.film_list(by_genre.unionByName(every), cat.film, genre_pairs(cat), sort))
+
+
+@query("r2_film_list", _film_list_sql("imdb_rating DESC"))
+def r2_film_list(spark, sf_dir):
+    return _film_lists(spark, sf_dir, "imdb_rating")
+
+
+@query("r2_film_list_rising", _film_list_sql("imdb_rating"))
+def r2_film_list_rising(spark, sf_dir):
+    return _film_lists(spark, sf_dir, "-imdb_rating")
+
+
+@query("r2_film_list_by_title", _film_list_sql("title"))
+def r2_film_list_by_title(spark, sf_dir):
+    return _film_lists(spark, sf_dir, "-title.raw")
 
 
 @query(
@@ -161,9 +174,8 @@ SELECT s_suppkey AS request_id, place, doc AS uuid, c_name AS full_name FROM sup
 JOIN customer ON c_custkey = doc WHERE place <= 50""",
 )
 def r7_person_search(spark, sf_dir):
-    people = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     requests = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("request_id"), F.col("s_name").alias("query"))
-    return _placed(req.person_search(_paged(requests, 1, 50), people, build_index(people, PERSON_FIELDS)))
+    return _placed(req.person_search(_paged(requests, 1, 50), customers(spark, sf_dir), people_index(spark, sf_dir, requests)))
 
 
 @query(

@@ -9,7 +9,6 @@ from filmloom.queries.registry import query
 from filmloom.session import materialise, scratch_path
 from filmloom.sources.documents import DocumentTable
 from filmloom.sources.load import bootstrap, published, touch
-from filmloom.sources.sqlite import read_sqlite, write_sqlite_shards
 from filmloom.sources.state import add_to_ids, read_ids, read_state, write_state
 
 GENRES = "id bigint, name string"
@@ -24,15 +23,6 @@ def _films(spark, sf_dir):
     return orders_catalog(spark, sf_dir).film.select("id", "title", "type", "rating")
 
 
-@query("s2_sqlite_scan", "SELECT p_partkey, p_name, p_type, p_size, p_retailprice FROM part")
-def s2_sqlite_scan(spark, sf_dir):
-    folder = scratch_path(spark, "sqlite")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
-    write_sqlite_shards(part, folder, "part")
-    ddl = "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double"
-    return read_sqlite(spark, folder, "part", ddl)
-
-
 @query("s3_snapshot_scan", "SELECT p_partkey AS id, p_name AS name FROM part")
 def s3_snapshot_scan(spark, sf_dir):
     table = _table(spark, "snapshots", GENRES)

@@ -1,26 +1,35 @@
 """Versioned document table: snapshots, append, idempotent upsert, delete.
 
 Rows live in hash buckets of their id. A change writes new files only for the
-buckets it touches, then adds one line to a log; that line is the commit. A
-reader resolves the log once and so keeps one snapshot, whatever is written
-later. One writer at a time.
+buckets it touches, into a folder of its own, then writes the state of the new
+version: which folders each bucket consists of. That write is the commit; it
+fails if the version exists, so of two writers one is refused. A reader reads
+one state, whatever the number of commits, and so keeps one snapshot.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filmloom.operators.checks import conform, require_none
-from filmloom.operators.filters import any_of
 from filmloom.session import materialise
 
-# ``replaces``: buckets whose earlier rows end here; null for a plain append.
-LOG = "version bigint, replaces array<int>, at timestamp"
+# A bucket and the folders that hold its rows.
+STATE = "bucket int, folders array<string>"
+# A bucket of more folders than this is rewritten as one by the next append.
+MAX_FOLDERS = 32
+
+State = dict[int, list[str]]
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has committed the version first."""
 
 
 @dataclass(frozen=True)
@@ -37,69 +46,101 @@ class DocumentTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
 
-    def _log(self) -> list[Row]:
-        # One line for each commit: control data, not rows of the table.
+    def _state(self, version: int) -> State | None:
+        """The state of a version: one row for each bucket. None if it isn't committed."""
+        try:
+            rows = self.spark.read.schema(STATE).parquet(f"{self.path}/state/{version}").collect()
+        except AnalysisException:
+            return None
+        return {r["bucket"]: list(r["folders"]) for r in rows} or None
+
+    def _newest(self) -> tuple[int, State]:
+        """The latest version and its state; the head file may lag behind by a commit."""
         try:
-            return self.spark.read.schema(LOG).parquet(f"{self.path}/log").orderBy("version").collect()
+            head = self.spark.read.schema("version bigint").parquet(f"{self.path}/head").first()
         except AnalysisException:
-            return []
+            head = None
+        version = head["version"] if head else 0
+        state = self._state(version) if version else {}
+        while (after := self._state(version + 1)) is not None:
+            version, state = version + 1, after
+        return version, state or {}
 
     def version(self) -> int:
-        return max((entry["version"] for entry in self._log()), default=0)
-
-    def _scan(self, log: list[Row], buckets: list[int] | None = None) -> DataFrame:
-        current: dict[int, list[int]] = {b: [] for b in (range(self.buckets) if buckets is None else buckets)}
-        for entry in log:
-            for b in current:
-                if entry["replaces"] is None:
-                    current[b].append(entry["version"])
-                elif b in entry["replaces"]:
-                    current[b] = [entry["version"]]
-        live: dict[int, list[int]] = {}
-        for b, versions in current.items():
-            for v in versions:
-                live.setdefault(v, []).append(b)
+        return self._newest()[0]
+
+    def _scan(self, state: State, buckets: list[int] | None = None) -> DataFrame:
+        wanted = state if buckets is None else {b: state.get(b, []) for b in buckets}
+        live = sorted({f for folders in wanted.values() for f in folders})
         if not live:
             return self.spark.createDataFrame([], self.ddl)
-        # Both are partition columns: the predicate prunes folders.
-        kept = any_of((F.col("_version") == v) & F.col("_bucket").isin(bs) for v, bs in live.items())
+        # Both are partition columns: the list of places prunes folders.
+        places = [f"{folder}/{b}" for b, folders in wanted.items() for folder in folders]
         return (
-            self.spark.read.schema(f"{self.ddl}, _version bigint, _bucket int")
+            self.spark.read.schema(f"{self.ddl}, _folder string, _bucket int")
             .option("basePath", f"{self.path}/data")
-            .parquet(*[f"{self.path}/data/_version={v}" for v in live])
-            .filter(kept)
-            .drop("_version", "_bucket")
+            .parquet(*[f"{self.path}/data/_folder={f}" for f in live])
+            .filter(F.concat_ws("/", "_folder", F.col("_bucket").cast("string")).isin(places))
+            .drop("_folder", "_bucket")
         )
 
     def read(self, version: int | None = None) -> DataFrame:
         """The snapshot of a version (default: latest)."""
-        log = self._log()
-        return self._scan([e for e in log if version is None or e["version"] <= version])
-
-    def _commit(self, rows: DataFrame, replaces: list[int] | None, after: int) -> int:
-        version = after + 1
-        (
-            rows.withColumn("_bucket", self._bucket())
-            .hint("rebalance", "_bucket")
-            .write.mode("overwrite")
-            .option("maxRecordsPerFile", self.rows_per_file)
-            .partitionBy("_bucket")
-            .parquet(f"{self.path}/data/_version={version}")
-        )
-        entry = self.spark.createDataFrame([(version, replaces)], LOG.rsplit(",", 1)[0])
-        entry.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
-        return version
+        if version is None:
+            return self._scan(self._newest()[1])
+        return self._scan((self._state(version) if version else {}) or {})
+
+    def _commit(self, rows: DataFrame | None, replaces: list[int] | None, version: int, state: State) -> int:
+        """Write ``rows`` aside, then the state of the next version. ``replaces``: buckets whose rows end here;
+        None for an append. No rows (None) only end them."""
+        after, folder = version + 1, f"{version + 1}-{uuid.uuid4().hex[:12]}"
+        if rows is not None:
+            (
+                rows.withColumn("_bucket", self._bucket())
+                .hint("rebalance", "_bucket")
+                .write.option("maxRecordsPerFile", self.rows_per_file)
+                .partitionBy("_bucket")
+                .parquet(f"{self.path}/data/_folder={folder}")
+            )
+        new = [] if rows is None else [folder]
+        old = {b: state.get(b, []) for b in range(self.buckets)}
+        next_state = {b: (old[b] if replaces is None else [] if b in replaces else old[b]) for b in old}
+        touched = set(old if replaces is None else replaces)
+        entry = [(b, folders + (new if b in touched else [])) for b, folders in next_state.items()]
+        writer = self.spark.createDataFrame(entry, STATE).coalesce(1).write
+        place = f"{self.path}/state/{after}"
+        if self._state(after) is not None:
+            raise ConcurrentWrite(f"version {after} of {self.path} exists")
+        try:
+            writer.parquet(place)
+        except AnalysisException as e:
+            if self._state(after) is not None:
+                raise ConcurrentWrite(f"version {after} of {self.path} exists") from e
+            writer.mode("overwrite").parquet(place)  # left behind empty by a writer that was lost
+        self.spark.createDataFrame([(after,)], "version bigint").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/head")
+        return after
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        """Buckets of the rows: at most ``buckets`` numbers."""
+        return sorted(r[0] for r in rows.select(self._bucket()).distinct().collect())
 
     def append(self, docs: DataFrame) -> int:
         """Add documents as they are: an id that exists already is then held twice."""
-        return self._commit(conform(docs, self.ddl), None, self.version())
+        version, state = self._newest()
+        rows = conform(docs, self.ddl)
+        crowded = [b for b, folders in state.items() if len(folders) >= MAX_FOLDERS]
+        if not crowded:
+            return self._commit(rows, None, version, state)
+        # All buckets gain a folder by an append, so all are full at once.
+        return self._commit(self._scan(state).unionByName(rows), list(range(self.buckets)), version, state)
 
     def insert(self, docs: DataFrame) -> int:
         """Add rows with new ids; an id held already, or given twice, fails the batch."""
-        repeated = docs.groupBy(self.key).count().filter("count > 1")
-        existing = docs.select(self.key).join(self.read().select(self.key), self.key, "left_semi")
-        require_none({"repeated id": repeated, "existing id": existing})
-        return self.append(docs)
+        source, (_, state) = materialise(docs, "insert"), self._newest()
+        repeated = source.groupBy(self.key).count().filter("count > 1")
+        held = self._scan(state, self._touched(source)).select(self.key)
+        require_none({"repeated id": repeated, "existing id": source.select(self.key).join(held, self.key, "left_semi")})
+        return self.append(source)
 
     def latest(self, docs: DataFrame, order: str | None = None) -> DataFrame:
         """One row for each id, the one highest in ``order`` (default: the whole row)."""
@@ -114,20 +155,22 @@ class DocumentTable:
         """
         newest = docs if unique else self.latest(docs, order)
         shaped = conform(newest.select(*T.StructType.fromDDL(self.ddl).names), self.ddl)
-        source, log = materialise(shaped, "upsert"), self._log()
-        # At most ``buckets`` numbers.
-        touched = sorted(r[0] for r in source.select(self._bucket()).distinct().collect())
-        version = max((entry["version"] for entry in log), default=0)
+        source, (version, state) = materialise(shaped, "upsert"), self._newest()
+        touched = self._touched(source)
         if not touched:
             return version
-        kept = self._scan(log, touched).join(source.select(self.key).distinct(), self.key, "left_anti")
-        return self._commit(kept.select(*source.columns).unionByName(source), touched, version)
+        kept = self._scan(state, touched).join(source.select(self.key).distinct(), self.key, "left_anti")
+        return self._commit(kept.select(*source.columns).unionByName(source), touched, version, state)
 
     def delete(self, condition: Column) -> int:
-        """Drop the rows for which ``condition`` holds; null keeps the row."""
-        log = self._log()
-        kept = self._scan(log).filter(~F.coalesce(condition, F.lit(False)))
-        return self._commit(kept, list(range(self.buckets)), max((e["version"] for e in log), default=0))
+        """Drop the rows for which ``condition`` holds; null keeps the row. Only their buckets are rewritten."""
+        version, state = self._newest()
+        gone = F.coalesce(condition, F.lit(False))
+        touched = self._touched(self._scan(state).filter(gone))
+        if not touched:
+            return version
+        return self._commit(self._scan(state, touched).filter(~gone), touched, version, state)
 
     def truncate(self) -> int:
-        return self.delete(F.lit(True))
+        version, state = self._newest()
+        return self._commit(None, list(range(self.buckets)), version, state)

@@ -5,14 +5,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from filmloom.catalog import MAX_NAME_LENGTH, RATING_RANGE, TABLES
 from filmloom.operators.checks import conform, key_faults, orphans, out_of_range, repeated, require_none, too_long
 from filmloom.operators.projections import default_text, rename_loaded
 
-RELEASE = "release string, at timestamp"
+RELEASE = "release string, at timestamp, seq bigint"
 
 
 def touch(df: DataFrame) -> DataFrame:
@@ -52,17 +52,23 @@ def bootstrap(spark: SparkSession, sources: dict[str, DataFrame], path: str, row
         prepared(name, sources[name]).write.option("maxRecordsPerFile", rows_per_file).parquet(folder)
         staged[name] = spark.read.schema(TABLES[name]).parquet(folder)
     require_none(catalogue_faults(staged))
+    newest = _newest(spark, path)
     entry = spark.createDataFrame([(release,)], "release string").withColumn("at", F.current_timestamp())
-    entry.coalesce(1).write.mode("append").parquet(f"{path}/log")
+    # The number is the order of releases; a second writer of the same number is refused.
+    entry.coalesce(1).write.parquet(f"{path}/log/seq={(newest['seq'] if newest else 0) + 1}")
     return release
 
 
-def published(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The tables of the latest release; before the first, empty ones."""
+def _newest(spark: SparkSession, path: str) -> Row | None:
     try:
-        row = spark.read.schema(RELEASE).parquet(f"{path}/log").orderBy(F.desc("at")).first()
+        return spark.read.schema(RELEASE).parquet(f"{path}/log").orderBy(F.desc("seq")).first()
     except AnalysisException:
-        row = None
+        return None
+
+
+def published(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of the latest release; before the first, empty ones."""
+    row = _newest(spark, path)
     if row is None:
         return {name: spark.createDataFrame([], ddl) for name, ddl in TABLES.items()}
     return {

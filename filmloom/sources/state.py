@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from filmloom.functions.scalar import since_or_never
 
-STATE = "name string, mark timestamp, last_id string, at timestamp"
+# Marks of a later epoch count before those of an earlier one.
+STATE = "name string, mark timestamp, last_id string, at timestamp, epoch int"
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -17,15 +18,21 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
         log = spark.read.schema(STATE).parquet(path)
     except AnalysisException:
         log = spark.createDataFrame([], STATE)
-    newest = F.max_by(F.struct("mark", "last_id", "at"), F.struct("mark", "last_id", "at"))
+    fields = ("mark", "last_id", "at", "epoch")
+    newest = F.max_by(F.struct(*fields), F.struct(F.coalesce("epoch", F.lit(0)), "mark", "last_id", "at"))
     return log.groupBy("name").agg(newest.alias("s")).select("name", "s.*")
 
 
-def write_state(df: DataFrame, path: str) -> None:
-    """Append marks ``(name, mark, last_id)``; call it after the sink has succeeded."""
-    df.select("name", "mark", F.col("last_id").cast("string").alias("last_id")).withColumn(
+def write_state(df: DataFrame, path: str, move_back: bool = False) -> None:
+    """Append marks ``(name, mark, last_id)``; call it after the sink has succeeded.
+
+    A mark never falls behind an earlier one, unless ``move_back`` starts a new epoch, in which it counts alone.
+    """
+    spark = df.sparkSession
+    epoch = read_state(spark, path).agg(F.max("epoch")).first()[0] or 0
+    df.select("name", F.col("mark").cast("timestamp").alias("mark"), F.col("last_id").cast("string").alias("last_id")).withColumn(
         "at", F.current_timestamp()
-    ).coalesce(1).write.mode("append").parquet(path)
+    ).withColumn("epoch", F.lit(epoch + move_back)).coalesce(1).write.mode("append").parquet(path)
 
 
 def mark_of(spark: SparkSession, path: str, name: str) -> Column:

@@ -23,7 +23,7 @@ if __name__ == "__main__":
     con = connect(sf_dir)
     failed = 0
     for name in QUERIES:
-        if name.startswith(prefixes):
+        if any(name == p or name.startswith(p) for p in prefixes):
             start = time.time()
             try:
                 fault = compare(spark, con, name, sf_dir)

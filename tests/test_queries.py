@@ -15,16 +15,7 @@ def con():
     return connect(SF_DIR)
 
 
-# One query for each kind of plan; TEST_ALL_QUERIES=1, or tests/run_oracle.py, runs them all.
-SAMPLE = (
-    "s2_sqlite_scan s5_progress_state k3_upsert_latest k7_bootstrap p6_full_film f4_lookup f11_aggregate_filter "
-    "j2_full_outer_chain j3_affected_with_repeats j5_relation_prefetch a2_objects_by_role o3_result_order "
-    "o5_deep_pages_by_genre u3_table_difference c1_parse_objects c10_natural_uuid x4_multi_field_match x7_fuzzy_match "
-    "q10_quarantine t3_stream_first_seen t7_files_per_batch r1_film_search r2_film_list r13_film_documents"
-).split()
-
-
-@pytest.mark.parametrize("name", QUERIES if os.environ.get("TEST_ALL_QUERIES") else SAMPLE)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, name, SF_DIR) is None
 

@@ -1,11 +1,15 @@
-"""Hot keys: same results with and without salting, bounded lists, document parts."""
+"""Hot keys: same results with and without salting, one document for each film."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from filmloom.catalog import Catalog
+from filmloom.catalog import Catalog, document_ddl
 from filmloom.operators.skew import fits_broadcast, heavy_keys, matching, salted_join, skew_join
-from filmloom.plans.documents import film_documents
+from filmloom.plans import documents
+from filmloom.plans.documents import film_documents, films_with_genre, films_with_person
+from filmloom.plans.joins import presence
+from filmloom.plans.requests import film_details
+from filmloom.sources.documents import DocumentTable
 
 FIELDS = ("genres", "actors", "directors", "writers")
 
@@ -45,12 +49,6 @@ def test_the_preserved_side_must_be_the_facts(facts, dim):
         salted_join(facts, dim, ["k"], None, "full")
 
 
-def test_number_of_hot_keys_is_bounded(spark):
-    even = spark.range(10_000).withColumn("k", F.col("id") % 100)
-    assert heavy_keys(even, ["k"], floor=10, max_keys=50) is None
-    assert heavy_keys(even, ["k"], floor=10, max_keys=1_000).count() == 100
-
-
 def test_broadcast_needs_few_rows_and_bytes(spark):
     assert fits_broadcast(spark.range(10), max_rows=10)
     assert not fits_broadcast(spark.range(11), max_rows=10)
@@ -78,22 +76,40 @@ def hot_film(spark):
     )
 
 
-def test_parts_of_a_large_document_make_up_the_whole(hot_film):
-    whole = {r["id"]: r for r in film_documents(hot_film).collect()}
-    parts = film_documents(hot_film, part_members=50, with_part=True).collect()
-    assert sorted({r["part"] for r in parts if r["id"] == 1}) == [0, 1, 2]
-    assert [r["part"] for r in parts if r["id"] != 1] == [0, 0]
-    for film, row in whole.items():
-        for field in FIELDS:
-            members = [m for r in parts if r["id"] == film for m in r[field]]
-            assert len(members) == len(set(members))
-            assert sorted(members) == row[field]
-    assert max(len(r["actors"]) + len(r["writers"]) + len(r["directors"]) for r in parts) < 120
-
-
-def test_copies_of_links_do_not_split_a_document(hot_film):
+def test_a_document_is_one_row_at_every_size(spark, folder, hot_film, monkeypatch):
     whole = sorted(map(tuple, film_documents(hot_film).collect()))
-    assert sorted(map(tuple, film_documents(hot_film, part_members=150).collect())) == whole
+    assert [r[0] for r in whole] == [1, 2, 3]
+    details = sorted(map(tuple, film_details(spark.createDataFrame([(1, 1), (2, 1), (3, 9)], "request_id int, id int"), film_documents(hot_film)).collect()))
+    for limit in (4, 150):  # far below the links of film 1
+        monkeypatch.setattr(documents, "HOT_ROWS", limit)
+        docs = film_documents(hot_film)
+        assert sorted(map(tuple, docs.collect())) == whole
+        requests = spark.createDataFrame([(1, 1), (2, 1), (3, 9)], "request_id int, id int")
+        assert sorted(map(tuple, film_details(requests, docs).collect())) == details
+        assert [r["id"] for r in films_with_person(hot_film, 3).collect()] == [1] and films_with_person(hot_film, 999).count() == 0
+        assert sorted(r["id"] for r in films_with_genre(hot_film, 3).collect()) == [1, 2]
+        table = DocumentTable(spark, f"{folder}/docs-{limit}", document_ddl("int"), buckets=2)
+        table.insert(docs)
+        table.upsert(docs)
+        assert sorted(map(tuple, table.read().select(*docs.columns).collect())) == whole
+
+
+def test_many_hot_keys_are_all_found(spark):
+    rows = spark.range(3000).select((F.col("id") % 300).alias("k"))
+    hot = heavy_keys(rows, ["k"], floor=5)
+    assert hot.count() == 300  # the threshold doesn't rise with the table
+    dim = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = salted_join(rows.withColumn("u", F.rand(1)), dim, ["k"], hot, "inner", floor=5)
+    assert joined.count() == 3000 and joined.filter("v <> 2 * k").count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+def test_presence_is_a_full_join(spark, n):
+    source = spark.createDataFrame([(1,), (1,), (2,), (None,)] * n, "k int")
+    target = spark.createDataFrame([(1,), (3,), (None,), (None,)], "k int")
+    want = source.select("k", F.lit(1).alias("s")).join(target.select("k", F.lit(1).alias("t")), "k", "full")
+    side = F.when(F.col("t").isNull(), "source only").when(F.col("s").isNull(), "target only").otherwise("both")
+    assert sorted(map(repr, presence(source, target, "k").collect())) == sorted(map(repr, want.select("k", side.alias("side")).collect()))
 
 
 def test_documents_of_films_with_gaps(hot_film):

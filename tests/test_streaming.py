@@ -1,7 +1,7 @@
 """Streams: first-seen ids over batches, replay after failure, batch size."""
 
 import pytest
-from golden import ACTION, MULTI, full, golden_catalog
+from golden import ACTION, MULTI, golden_catalog
 from pyspark.sql import functions as F
 
 from filmloom.catalog import FILM_DOCUMENT
@@ -30,7 +30,7 @@ def test_refresh_survives_a_lost_batch(spark, folder):
     cat = golden_catalog(spark)
     table = DocumentTable(spark, f"{folder}/docs", FILM_DOCUMENT, buckets=4)
     table.append(film_documents(cat).withColumn("title", F.lit("stale")))
-    log_file(spark, folder, [("genre", full(ACTION), 1), ("film", full("1f650754"), 2), ("film", "no such film", 3)])
+    log_file(spark, folder, [("genre", ACTION, 1), ("film", "film-101", 2), ("film", "no such film", 3)])
     stream = changes.read_changes(spark, f"{folder}/log", DDL)
     sink, calls = changes.refresh_sink(cat, table), []
 
@@ -44,24 +44,24 @@ def test_refresh_survives_a_lost_batch(spark, folder):
     changes.run_batches(stream, sink, f"{folder}/checkpoint")
     changes.run_batches(stream, sink, f"{folder}/checkpoint")
     titles = {r["id"][:8]: r["title"] for r in table.read().collect()}
-    fresh = {"1f651c76", "1f652f72", "1f657e5a", "1f650754"}
+    fresh = {"film-102", "film-103", "film-106", "film-101"}
     assert len(titles) == 6 and {i for i, t in titles.items() if t != "stale"} == fresh
     assert table.version() == 3 and calls == [1]
 
 
 def test_affected_films(spark):
     cat = golden_catalog(spark)
-    people = spark.createDataFrame([(full(MULTI[0]),), ("nobody",)], "id string")
+    people = spark.createDataFrame([(MULTI[0],), ("nobody",)], "id string")
     assert films_of(cat.person_film, "person_id", people).count() == 6
     assert films_of(cat.person_film, "person_id", people.limit(0)).count() == 0
     old, new = "timestamp'2020-01-01'", "timestamp'2020-01-03'"
     stamped = lambda df, ids: df.withColumn("modified", F.expr(f"CASE WHEN id IN ({ids}) THEN {new} ELSE {old} END"))
     moved = type(cat)(
-        film=stamped(cat.film, f"'{full('1f656672')}'"), person=stamped(cat.person, "''"),
-        genre=stamped(cat.genre, f"'{full(ACTION)}'"), person_film=cat.person_film, genre_film=cat.genre_film,
+        film=stamped(cat.film, "'film-105'"), person=stamped(cat.person, "''"),
+        genre=stamped(cat.genre, f"'{ACTION}'"), person_film=cat.person_film, genre_film=cat.genre_film,
     )
     mark = F.lit("2020-01-02").cast("timestamp")
     got = {r["id"][:8] for r in affected_films(moved, Marks(mark, mark, mark)).collect()}
-    assert got == {"1f651c76", "1f652f72", "1f657e5a", "1f656672"}
-    assert [r["last_id"] for r in next_mark(moved.genre, mark, "genre").collect()] == [full(ACTION)]
+    assert got == {"film-102", "film-103", "film-106", "film-105"}
+    assert [r["last_id"] for r in next_mark(moved.genre, mark, "genre").collect()] == [ACTION]
     assert next_mark(moved.person, mark, "person").count() == 0

@@ -1,7 +1,6 @@
 """Document table, bootstrap, work-sets, marks, and the file and database connectors."""
 
 import datetime as dt
-import sqlite3
 from unittest import mock
 
 import pytest
@@ -11,10 +10,9 @@ from pyspark.sql import types as T
 from filmloom.catalog import FILM_DOCUMENT, PERSON_DOCUMENT, TABLES
 from filmloom.functions import scalar
 from filmloom.operators import checks
-from filmloom.sources.documents import DocumentTable
+from filmloom.sources.documents import ConcurrentWrite, DocumentTable
 from filmloom.sources.jdbc import JdbcSource
 from filmloom.sources.load import bootstrap, published
-from filmloom.sources.sqlite import mounted_path, read_sqlite
 from filmloom.sources.state import add_to_ids, mark_of, read_ids, read_state, write_state
 
 
@@ -78,10 +76,48 @@ def test_insert_refuses_known_and_repeated_ids(spark, table):
 
 def test_a_write_without_its_log_line_is_not_seen_and_is_overwritten(spark, table):
     table.append(frame(spark, (1, "a")))
-    frame(spark, (7, "lost")).withColumn("_bucket", F.lit(0)).write.partitionBy("_bucket").parquet(f"{table.path}/data/_version=2")
-    assert held(table.read()) == [(1, "a")]
+    frame(spark, (7, "lost")).withColumn("_bucket", F.lit(0)).write.partitionBy("_bucket").parquet(f"{table.path}/data/_folder=2-lost")
+    spark.createDataFrame([], "bucket int, folders array<string>").write.parquet(f"{table.path}/state/2")
+    assert held(table.read()) == [(1, "a")] and table.version() == 1
     table.upsert(frame(spark, (2, "b")))
-    assert held(table.read()) == [(1, "a"), (2, "b")]
+    assert held(table.read()) == [(1, "a"), (2, "b")] and table.version() == 2
+
+
+def test_of_two_writers_one_is_refused(spark, table):
+    table.append(frame(spark, (1, "a")))
+    stale = table._newest()
+    table.append(frame(spark, (2, "b")))
+    with pytest.raises(ConcurrentWrite):
+        table._commit(frame(spark, (3, "c")), None, *stale)
+    assert held(table.read()) == [(1, "a"), (2, "b")] and table.version() == 2
+
+
+def test_a_read_does_not_grow_with_the_commits(spark, table):
+    for i in range(40):
+        table.append(frame(spark, (i, "x")))
+    version, state = table._newest()
+    assert version == 40 and table.read().count() == 40 and table.read(7).count() == 7
+    assert max(map(len, state.values())) <= 32
+    spark.createDataFrame([(39,)], "version bigint").write.mode("overwrite").parquet(f"{table.path}/head")  # a head that lags
+    assert table.version() == 40
+
+
+def test_a_delete_rewrites_only_its_buckets(spark, table):
+    table.append(frame(spark, *[(i, f"n{i}") for i in range(40)]))
+    before = table._newest()[1]
+    table.delete(F.col("name") == "n7")
+    after = table._newest()[1]
+    assert sum(before[b] != after[b] for b in before) == 1 and table.read().count() == 39
+    assert table.delete(F.col("name") == "none") == table.version() == 2
+
+
+def test_a_mark_can_be_moved_back(spark, folder):
+    at = lambda day: spark.sql(f"SELECT 'film' name, timestamp'2020-01-0{day} 10:00:00' mark, {day} last_id")
+    write_state(at(5), f"{folder}/m")
+    write_state(at(2), f"{folder}/m", move_back=True)
+    assert read_state(spark, f"{folder}/m").first()["last_id"] == "2"
+    write_state(at(3), f"{folder}/m")
+    assert read_state(spark, f"{folder}/m").first()["last_id"] == "3"
 
 
 def test_unknown_fields_are_refused_and_missing_ones_are_null(spark):
@@ -153,31 +189,6 @@ def mark_of_text(spark, path):
     return spark.range(1).withColumn("m", mark_of(spark, path, "film")).select(scalar.time_to_text("m")).first()[0]
 
 
-def test_sqlite_scan(spark, folder):
-    con = sqlite3.connect(f"{folder}/db.sqlite")
-    con.execute("CREATE TABLE film_work (id TEXT, title TEXT, rating REAL, created_at TEXT, birth_date TEXT)")
-    rows = [(f"f{i}", None if i == 2 else f"t{i}", i / 2 if i else None, f"2021-06-16 20:14:09.{i:06d}+00", "1980-02-03") for i in range(25)]
-    con.executemany("INSERT INTO film_work VALUES (?, ?, ?, ?, ?)", rows)
-    con.execute("DELETE FROM film_work WHERE id = 'f7'")
-    con.execute("CREATE TABLE empty_one (id TEXT)")
-    con.commit()
-    con.close()
-    ddl = "id string, title string, rating double, created timestamp, birth_date date"
-    columns = ["id", "title", "rating", "created_at", "birth_date"]
-    df = read_sqlite(spark, f"{folder}/db.sqlite", "film_work", ddl, columns, rows=10)
-    assert df.rdd.getNumPartitions() == 3
-    got = {r["id"]: r for r in df.collect()}
-    assert len(got) == 24 and got["f2"]["title"] is None and got["f0"]["rating"] is None
-    assert got["f5"]["created"] == dt.datetime(2021, 6, 16, 20, 14, 9, 5) and got["f5"]["birth_date"] == dt.date(1980, 2, 3)
-    assert read_sqlite(spark, f"{folder}/db.sqlite", "empty_one", "id string").count() == 0
-
-
-def test_sqlite_paths():
-    assert mounted_path("file:///shared/a.sqlite") == "/shared/a.sqlite" and mounted_path("/shared/a") == "/shared/a"
-    with pytest.raises(ValueError, match="mounted"):
-        mounted_path("s3a://store/a.sqlite")
-
-
 def test_jdbc_options(spark):
     source = JdbcSource("jdbc:x:y", "d.Driver", "u", "secret")
     assert "secret" not in repr(source)
