@@ -23,6 +23,10 @@ PAGE_SIZE = 50
 # Pages that end at or before this row are taken with a limit for each group,
 # applied before the shuffle; deeper ones read a numbered listing.
 SHALLOW = 1_000
+# Rows that one task may sort and skip to reach a single page.
+NEAR = 100_000
+# Hops of the cursor that are cheaper than numbering the listing.
+HOPS = 4
 
 
 def result_order(sort: str | None = None, score: str | None = None, key: str = "id") -> list[Column]:
@@ -40,8 +44,17 @@ def result_order(sort: str | None = None, score: str | None = None, key: str = "
     return order
 
 
+def rows_between(df: DataFrame, order: Sequence[Column], offset: int, limit: int, near: int = NEAR) -> DataFrame:
+    """``limit`` rows behind the first ``offset``. Rows far from the start are found by number, as the rows before
+    them would else all meet in one task."""
+    if offset + limit <= near:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    numbered = number_rows(df, order, "_position")
+    return numbered.filter((F.col("_position") > offset) & (F.col("_position") <= offset + limit)).drop("_position")
+
+
 def page(df: DataFrame, order: Sequence[Column], number: int = PAGE_NUMBER, size: int = PAGE_SIZE) -> DataFrame:
-    return df.orderBy(*order).offset((number - 1) * size).limit(size)
+    return rows_between(df, order, (number - 1) * size, size)
 
 
 @dataclass(frozen=True)
@@ -82,10 +95,12 @@ def deep_page(df: DataFrame, keys: Sequence[SortKey], number: int, size: int, ho
     """Page by cursor hops of at most ``hop`` rows; past the end it is empty.
 
     Each hop brings one cursor row to the driver and never the rows it skips.
-    A hop is a scan, so pages some hops away are better read with ``pages_for``.
+    A hop is a scan, so a page more than ``HOPS`` hops away is read from a numbered listing.
     """
     columns = [k.column for k in keys]
     to_skip, last = (number - 1) * size, None
+    if to_skip > HOPS * hop:
+        return rows_between(df, [k.order() for k in keys], to_skip, size, near=0)
     while to_skip > 0:
         step = min(hop, to_skip)
         end = next_page(df.select(*columns), keys, last, step).offset(step - 1).first()

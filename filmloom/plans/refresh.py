@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmloom.catalog import Catalog
 from filmloom.operators.filters import changed_from, changed_since
-from filmloom.operators.paging import SortKey, next_page
+from filmloom.operators.paging import SortKey, next_page, rows_between
 from filmloom.operators.sets import union_ids
 from filmloom.operators.skew import matching
 from filmloom.plans.documents import film_documents, restrict
@@ -39,11 +39,9 @@ def changed_ids(df: DataFrame, mark: Column, key: str = "id", at_mark: bool = Fa
 
 
 def changed_page(df: DataFrame, mark: Column, offset: int, limit: int) -> DataFrame:
-    """One page of changed ids in order of change; equal times are ordered by id.
-
-    A page behind a million rows or more is better read with ``changes_after`` from the page before it.
-    """
-    return changed_since(df, mark).orderBy("modified", "id").offset(offset).limit(limit).select("id", "modified")
+    """One page of changed ids in order of change; equal times are ordered by id."""
+    rows = changed_since(df, mark).select("id", "modified")
+    return rows_between(rows, [F.col("modified"), F.col("id")], offset, limit)
 
 
 def changes_after(df: DataFrame, last: Sequence[object] | None, limit: int) -> DataFrame:
@@ -63,6 +61,50 @@ def next_mark(df: DataFrame, mark: Column, name: str, at_mark: bool = False) ->
     )
 
 
+@dataclass(frozen=True)
+class StoredLinks:
+    """A link table kept twice, bucketed by film and by member, so that a few keys read their buckets only."""
+
+    by_film: DocumentTable
+    by_member: DocumentTable
+
+    @staticmethod
+    def write(links: DataFrame, fk: str, path: str, buckets: int) -> StoredLinks:
+        ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in links.schema)
+        kept = [DocumentTable(links.sparkSession, f"{path}/{key}", ddl, key, buckets) for key in ("film_work_id", fk)]
+        for table in kept:
+            table.append(links)
+        return StoredLinks(*kept)
+
+
+@dataclass(frozen=True)
+class StoredCatalog:
+    """A catalogue whose links are stored. Films, people and genres are read as they are."""
+
+    catalog: Catalog
+    person: StoredLinks
+    genre: StoredLinks
+
+    @staticmethod
+    def write(cat: Catalog, path: str, buckets: int = 64) -> StoredCatalog:
+        return StoredCatalog(
+            cat,
+            StoredLinks.write(cat.person_film, "person_id", f"{path}/person", buckets),
+            StoredLinks.write(cat.genre_film, "genre_id", f"{path}/genre", buckets),
+        )
+
+    def around(self, changed: dict[str, DataFrame]) -> tuple[Catalog, DataFrame]:
+        """The part of the catalogue that changes of ``film``, ``person`` and ``genre`` ids reach, and the films in it."""
+        reached = [
+            films_of(self.person.by_member.rows_of(changed["person"]), "person_id", changed["person"]),
+            films_of(self.genre.by_member.rows_of(changed["genre"]), "genre_id", changed["genre"]),
+            changed["film"].select("id"),
+        ]
+        ids = materialise(union_ids(*reached), "film-ids")
+        links = {"person_film": self.person.by_film.rows_of(ids), "genre_film": self.genre.by_film.rows_of(ids)}
+        return replace(self.catalog, **links), ids
+
+
 def films_of(links: DataFrame, fk: str, ids: DataFrame) -> DataFrame:
     """Films linked to any of the given people or genres, each once."""
     keys = ids.select(F.col("id").alias(fk))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from filmloom.catalog import document_ddl, orders_catalog, read_table
 from filmloom.plans.documents import film_documents
-from filmloom.plans.refresh import changed_ids, films_of, next_mark, refresh, refresh_from_state
+from filmloom.plans.refresh import StoredCatalog, changed_ids, films_of, next_mark, refresh, refresh_from_state
 from filmloom.queries.order import AFFECTED_SQL, DAY, changing_catalog
 from filmloom.queries.registry import DOCUMENT_COLUMNS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, documents_sql, documents_text, members_sql, query
 from filmloom.session import materialise, scratch_path
@@ -108,10 +108,21 @@ def _documents(spark):
     return DocumentTable(spark, scratch_path(spark, "documents"), document_ddl("bigint"), buckets=8)
 
 
+def _stored(spark, sf_dir):
+    return StoredCatalog.write(orders_catalog(spark, sf_dir), scratch_path(spark, "links"), buckets=8)
+
+
+@query("t2_from_stored_links", "SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_suppkey = 7 OR l_partkey IN (11, 12) UNION SELECT 4")
+def t2_from_stored_links(spark, sf_dir):
+    ids = lambda *values: spark.createDataFrame([(v,) for v in values], "id bigint")
+    _, films = _stored(spark, sf_dir).around({"film": ids(4), "person": ids(7), "genre": ids(11, 12)})
+    return films
+
+
 @query("t5_stream_to_documents", USER_DOCUMENTS_SQL)
 def t5_stream_to_documents(spark, sf_dir):
     table = _documents(spark)
-    sink = changes.refresh_sink(orders_catalog(spark, sf_dir), table)
+    sink = changes.refresh_sink(_stored(spark, sf_dir), table)
     changes.run_batches(_user_changes(spark, sf_dir), sink, scratch_path(spark, "checkpoint"))
     return documents_text(table.read())
 
@@ -120,7 +131,7 @@ def t5_stream_to_documents(spark, sf_dir):
 def t6_replay_after_failure(spark, sf_dir):
     """The sink fails after it has written: the batch comes again and changes nothing more."""
     table, checkpoint = _documents(spark), scratch_path(spark, "checkpoint")
-    sink, stream = changes.refresh_sink(orders_catalog(spark, sf_dir), table), _user_changes(spark, sf_dir)
+    sink, stream = changes.refresh_sink(_stored(spark, sf_dir), table), _user_changes(spark, sf_dir)
 
     def failing(batch):
         sink(batch)

@@ -90,6 +90,11 @@ class DocumentTable:
             return self._scan(self._newest()[1])
         return self._scan((self._state(version) if version else {}) or {})
 
+    def rows_of(self, keys: DataFrame, column: str = "id") -> DataFrame:
+        """The rows of the given keys; only their buckets are read."""
+        wanted = materialise(keys.select(F.col(column).alias(self.key)).distinct(), "keys")
+        return self._scan(self._newest()[1], self._touched(wanted)).join(wanted, self.key, "left_semi")
+
     def _commit(self, rows: DataFrame | None, replaces: list[int] | None, version: int, state: State) -> int:
         """Write ``rows`` aside, then the state of the next version. ``replaces``: buckets whose rows end here;
         None for an append. No rows (None) only end them."""

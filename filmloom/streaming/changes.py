@@ -7,9 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmloom.catalog import Catalog
-from filmloom.operators.sets import union_ids
-from filmloom.plans.refresh import films_of, rebuilt
+from filmloom.plans.refresh import ENTITIES, StoredCatalog, rebuilt
 from filmloom.session import materialise
 from filmloom.sources.documents import DocumentTable
 
@@ -68,18 +66,16 @@ def run_batches(stream: DataFrame, sink: Callable[[DataFrame], object], checkpoi
     )
 
 
-def refresh_sink(cat: Catalog, table: DocumentTable) -> Callable[[DataFrame], object]:
-    """Sink for changes ``(entity, id)``: rebuild the affected documents and upsert them."""
+def refresh_sink(stored: StoredCatalog, table: DocumentTable) -> Callable[[DataFrame], object]:
+    """Sink for changes ``(entity, id)``: rebuild the affected documents and upsert them.
+
+    A batch reads the buckets of its own keys in the stored links, never the whole link tables.
+    """
 
     def sink(batch: DataFrame) -> int:
         # Written once: the branches below would each read the batch again.
         ids = materialise(batch.select("entity", "id").distinct(), "changed")
-        changed = {e: ids.filter(F.col("entity") == e).select("id") for e in ("film", "person", "genre")}
-        films = union_ids(
-            changed["film"],
-            films_of(cat.person_film, "person_id", changed["person"]),
-            films_of(cat.genre_film, "genre_id", changed["genre"]),
-        )
+        cat, films = stored.around({e: ids.filter(F.col("entity") == e).select("id") for e in ENTITIES})
         return table.upsert(rebuilt(cat, films), unique=True)
 
     return sink

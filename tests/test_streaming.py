@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from filmloom.catalog import FILM_DOCUMENT
 from filmloom.plans.documents import film_documents
-from filmloom.plans.refresh import Marks, affected_films, films_of, next_mark
+from filmloom.plans.refresh import Marks, StoredCatalog, affected_films, films_of, next_mark
 from filmloom.sources.documents import DocumentTable
 from filmloom.streaming import changes
 
@@ -32,7 +32,7 @@ def test_refresh_survives_a_lost_batch(spark, folder):
     table.append(film_documents(cat).withColumn("title", F.lit("stale")))
     log_file(spark, folder, [("genre", ACTION, 1), ("film", "film-101", 2), ("film", "no such film", 3)])
     stream = changes.read_changes(spark, f"{folder}/log", DDL)
-    sink, calls = changes.refresh_sink(cat, table), []
+    sink, calls = changes.refresh_sink(StoredCatalog.write(cat, f"{folder}/links", 4), table), []
 
     def failing(batch):
         calls.append(1)
