@@ -123,8 +123,8 @@ def covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), zero, add, lambda acc: acc["n"])
 
 
-def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """``row`` (a struct of the columns of ``docs``), ``n_words``, ``n_hit``, ``items`` and ``contaminated`` for every document.
+def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, keep: list[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the columns ``keep`` of ``docs``, by default all), ``n_words``, ``n_hit``, ``items`` and ``contaminated`` for every document.
 
     ``items`` are the ids, as text and sorted, of the items of which a window occurs in the document. Null, empty and
     wordless texts have no words, no hits and aren't contaminated; such items have no window. A null item id is the
@@ -132,7 +132,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, shin
     same result. Without items nothing is hit. Other columns pass through inside ``row``.
     """
     key = F.struct(F.col("doc_id").cast("string").alias("id"), F.xxhash64("text").alias("hash"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"), words_column(F.col("text")).alias("words"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), key.alias("key"), words_column(F.col("text")).alias("words"))
     windows = windows_of(items, window)
     if windows.isEmpty():
         none = F.array().cast("array<string>")

@@ -91,7 +91,7 @@ FROM d LEFT JOIN places USING (r) LEFT JOIN found USING (r)
 
 @query("op2_decontaminate", OP2_SQL)
 def op2_decontaminate(spark, sf_dir):
-    found = benchmark_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    found = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select(
         "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
