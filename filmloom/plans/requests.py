@@ -20,7 +20,7 @@ from filmloom.session import materialise
 
 DEFAULT_SORT = "imdb_rating"
 # Fields a listing can be sorted by, and the columns that hold them.
-SORT_FIELDS = {"id": "id", "imdb_rating": "imdb_rating", "title.raw": "title"}
+SORT_FIELDS = {"id": "id", "imdb_rating": "imdb_rating", "title.raw": "title", "genres_names": "genres_names"}
 
 
 def sort_column(sort: str) -> str:
@@ -42,10 +42,22 @@ def with_links(films: DataFrame, links: DataFrame) -> DataFrame:
     return skew_join(links.distinct(), films, ["id"], "inner", salt_by=vary, measure=links.select("id"))
 
 
-def film_list(requests: DataFrame, film: DataFrame, links: DataFrame, sort: str = DEFAULT_SORT) -> DataFrame:
-    """Pages of films, of one genre where ``genre_id`` is given, of all where it is null."""
-    films = listing_fields(film)
-    order = result_order(sort_column(sort))
+def _with_genre_name(films: DataFrame, links: DataFrame, genres: DataFrame, falling: bool) -> DataFrame:
+    """Films with the genre name they sort by: the last of them in a falling order, the first in a rising one."""
+    named = skew_join(links.distinct(), genres.select(F.col("id").alias("genre_id"), "name"), ["genre_id"], "inner", salt_by=["id"], measure=links.select("genre_id"))
+    name = (F.max if falling else F.min)("name").alias("genres_names")
+    return films.join(named.groupBy("id").agg(name), "id", "left")
+
+
+def film_list(requests: DataFrame, film: DataFrame, links: DataFrame, sort: str = DEFAULT_SORT, genres: DataFrame | None = None) -> DataFrame:
+    """Pages of films, of one genre where ``genre_id`` is given, of all where it is null.
+
+    ``genres`` (id, name) is needed to sort by ``genres_names``.
+    """
+    films, column = listing_fields(film), sort_column(sort)
+    if column.removeprefix("-") == "genres_names":
+        films = _with_genre_name(films, links, genres, falling=not column.startswith("-"))
+    order = result_order(column)
     some = requests.filter(F.col("genre_id").isNotNull())
     pages = pages_for(some, with_links(films, links), order, ["genre_id"]).drop("genre_id")
     every = pages_for(requests.filter(F.col("genre_id").isNull()).drop("genre_id"), films, order)

@@ -81,7 +81,8 @@ def r1_film_search_without_text(spark, sf_dir):
 
 
 def _film_list_sql(order: str) -> str:
-    return f"""WITH f AS (SELECT o_orderkey AS id, o_orderpriority AS title, o_totalprice AS imdb_rating FROM orders),
+    return f"""WITH n AS (SELECT l_orderkey AS id, min(p_name) AS first_genre, max(p_name) AS last_genre FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1),
+f AS (SELECT o_orderkey AS id, o_orderpriority AS title, o_totalprice AS imdb_rating, first_genre, last_genre FROM orders LEFT JOIN n ON n.id = o_orderkey),
 g AS (SELECT l_partkey AS genre_id, f.*, row_number() OVER (PARTITION BY l_partkey ORDER BY {order}, id) AS rn
       FROM (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) JOIN f ON id = l_orderkey),
 a AS (SELECT f.*, row_number() OVER (ORDER BY {order}, id) AS rn FROM f)
@@ -95,7 +96,7 @@ def _film_lists(spark, sf_dir, sort):
     every = _region_pages(spark, sf_dir, 5).select(
         (-1 - F.col("request_id")).cast("bigint").alias("request_id"), F.lit(None).cast("bigint").alias("genre_id"), "page_number", "page_size"
     )
-    return _placed(req.film_list(by_genre.unionByName(every), cat.film, genre_pairs(cat), sort))
+    return _placed(req.film_list(by_genre.unionByName(every), cat.film, genre_pairs(cat), sort, cat.genre))
 
 
 @query("r2_film_list", _film_list_sql("imdb_rating DESC"))
@@ -113,6 +114,16 @@ def r2_film_list_by_title(spark, sf_dir):
     return _film_lists(spark, sf_dir, "-title.raw")
 
 
+@query("r2_film_list_by_genre_name", _film_list_sql("first_genre NULLS LAST"))
+def r2_film_list_by_genre_name(spark, sf_dir):
+    return _film_lists(spark, sf_dir, "-genres_names")
+
+
+@query("r2_film_list_by_genre_name_falling", _film_list_sql("last_genre DESC NULLS LAST"))
+def r2_film_list_by_genre_name_falling(spark, sf_dir):
+    return _film_lists(spark, sf_dir, "genres_names")
+
+
 @query(
     "r3_film_details",
     f"""WITH {ORDERS_SQL}, {members_sql()} SELECT e.event_id AS request_id, f.id IS NOT NULL AS found, e.c AS uuid, f.title,
