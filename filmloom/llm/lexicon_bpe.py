@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import struct
 import tempfile
 import uuid
 from collections import Counter
@@ -38,6 +39,7 @@ LEVELS = 64
 #: Distinct words that a counting task holds before it hands on its counts.
 COUNTED = 1_000_000
 END = "</w>"
+NEVER = 1 << 62
 
 #: Characters for which the plain rules below and those of the vocabulary file agree: they are in composed form, each
 #: has one lower-case character, and letters, digits and blanks are the same to both.
@@ -54,21 +56,31 @@ def _byte_chars() -> dict[str, int]:
 
 
 class _Remembered(dict):
-    """Ids of words as little-endian unsigned 32-bit numbers, found when first asked for."""
+    """Ids of words as little-endian unsigned 32-bit numbers, found when first asked for.
+
+    Once full, the words at hand become the older half; one that is asked for again comes back, the rest go next time.
+    """
 
     def __init__(self, find) -> None:
         super().__init__()
-        self._find = find
+        self._find, self._older = find, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self._find(word.encode()), "<u4").tobytes()
+        ids = self._older.get(word)
+        if ids is None:
+            ids = pack(self._find(word.encode()))
         if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self._older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
 
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordBpe:
     """Encoder and decoder of a vocabulary file, with a lexicon of words if one is given."""
 
@@ -81,7 +93,8 @@ class WordBpe:
         specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = {i: t for t, i in (ids | specials).items()}
         self._names = [names.get(i, "") for i in range(max(names) + 1)]
-        self._ranks = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(spec["model"]["merges"])}
+        # The rank of a merge and, below it, the id that it makes.
+        self._ranks = {(ids[a], ids[b]): rank << 32 | ids[a + b] for rank, (a, b) in enumerate(spec["model"]["merges"])}
         letters = _byte_chars()
         self._bytes = str.maketrans({c: chr(b) for c, b in letters.items()})
         self._single = [ids.get(c) for c in sorted(letters, key=letters.get)]
@@ -96,40 +109,41 @@ class WordBpe:
     def merge(self, word: bytes) -> list[int]:
         """Ids of a word by merging, without the lexicon."""
         ids = [i for i in [*map(self._single.__getitem__, word[:-1]), self._final[word[-1]]] if i is not None]
-        ranks = self._ranks
-        if len(ids) > 24:
+        if len(ids) > 48:
             return self._merge_long(ids)
-        while len(ids) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(ids, ids[1:], strict=False)):
-                rank = ranks.get(pair)
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
+        rank = self._ranks.get
+        ranks = [rank(pair, NEVER) for pair in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
                 break
-            ids[at : at + 2] = [best[1]]
+            at = ranks.index(best)
+            ids[at : at + 2] = [new] = [best & 0xFFFFFFFF]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((ids[at - 1], new), NEVER)
+            if at < len(ranks):
+                ranks[at] = rank((new, ids[at + 1]), NEVER)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap, for words of any length."""
         n, ranks = len(ids), self._ranks
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(*ranks[pair], i, *pair) for i, pair in enumerate(zip(ids, ids[1:], strict=False)) if pair in ranks]
-        heap = [(rank, i, new, a, b) for rank, new, i, a, b in heap]
+        heap = [(ranks[pair], i, *pair) for i, pair in enumerate(zip(ids, ids[1:], strict=False)) if pair in ranks]
         heapq.heapify(heap)
         while heap:
-            _, i, new, a, b = heapq.heappop(heap)
+            best, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j], after[i] = new, -1, after[j]
+            ids[i], ids[j], after[i] = best & 0xFFFFFFFF, -1, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for left in (before[i], i):
                 right = after[left] if left >= 0 else -1
                 if right >= 0 and (pair := (ids[left], ids[right])) in ranks:
-                    rank, made = ranks[pair]
-                    heapq.heappush(heap, (rank, left, made, *pair))
+                    heapq.heappush(heap, (ranks[pair], left, *pair))
         return [x for x in ids if x >= 0]
 
     def word_ids(self, word: bytes) -> list[int]:
