@@ -45,7 +45,9 @@ NEVER = 1 << 62
 #: has one lower-case character, and letters, digits and blanks are the same to both.
 SAFE = "\t\n\r\x20-\x7eÀ-ÖØ-öø-įı-ňŊ-ž–—‘’“”"
 _unsafe = re.compile(f"[^{SAFE}]").search
-_plain = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W\d_]+|\d|(?:[^\s\w]|_)+").findall
+#: Its lower-case letters. Explicit ranges are matched nearly twice as fast as classes.
+_small = "a-zß-öø-ž"
+_plain = re.compile(rf"[{_small}]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\s0-9{_small}]+").findall
 
 
 def _byte_chars() -> dict[str, int]:
