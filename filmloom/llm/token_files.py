@@ -36,7 +36,8 @@ PART_BYTES = 32 << 20
 REMEMBERED, LONGEST = 1_000_000, 64
 
 _unsafe = re.compile(f"[^{SAFE}]").search
-_pieces = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
+_letters = "A-Za-zÀ-ÖØ-öø-ž"  # of SAFE
+_pieces = re.compile(rf" ?[{_letters}]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\s0-9{_letters}]+|\s+(?!\S)|\s+").findall
 
 
 class _Remembered(dict):
