@@ -29,7 +29,7 @@ def _fixture(spark, folder):
     return spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 700])
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 5_000])
 def test_edges_equal_sql(spark, folder, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
     docs, items = _fixture(spark, folder)
