@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filmloom.functions.scalar import id_name
-
 
 def distinct_sorted(value: Column) -> Column:
     """Distinct non-null values in a fixed order; none gives an empty array."""
@@ -17,10 +15,6 @@ def names_in_role(role: str, name: str = "name") -> Column:
     return distinct_sorted(F.when(F.col("role") == role, F.col(name)))
 
 
-def objects_in_role(role: str, key: str = "person_id", name: str = "name") -> Column:
-    return distinct_sorted(F.when((F.col("role") == role) & F.col(key).isNotNull(), id_name(key, name)))
-
-
 def row_count(df: DataFrame, into: str = "n") -> DataFrame:
     return df.agg(F.count("*").alias(into))
 

@@ -46,14 +46,3 @@ def lookup(requests: DataFrame, df: DataFrame, key: str = "id") -> DataFrame:
     target = df.withColumn("found", F.lit(True))
     joined = salted_join(requests, target, [key], heavy_keys(requests, [key]), "left", salt_by=["request_id"])
     return joined.withColumn("found", F.coalesce("found", F.lit(False)))
-
-
-def has_member(objects: str, value: object) -> Column:
-    """Nested term; no value means no restriction."""
-    if value is None:
-        return F.lit(True)
-    return F.exists(objects, lambda x: x["id"] == F.lit(value))
-
-
-def has_person(value: object) -> Column:
-    return any_of(has_member(role, value) for role in ("actors", "directors", "writers"))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from filmloom.catalog import PERSON_DOCUMENT, ROLES, orders_catalog, read_table
 from filmloom.operators import checks, sets
 from filmloom.operators import paging as pg
+from filmloom.operators.filters import changed_since
 from filmloom.plans.documents import film_documents, genre_pairs
-from filmloom.plans.refresh import Marks, affected_films, changed_page, films_of
+from filmloom.plans.refresh import Marks, affected_films, changed_page, changes_after, films_of
 from filmloom.plans.requests import with_links
 from filmloom.queries.registry import DOCUMENT_COLUMNS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, documents_text, members_sql, query
 from filmloom.session import scratch_path
@@ -21,15 +22,23 @@ def _film(spark, sf_dir):
     return orders_catalog(spark, sf_dir).film
 
 
-@query(
-    "o1_changed_page",
-    """SELECT o_orderkey AS id, o_orderdate AS modified FROM orders WHERE o_orderdate > TIMESTAMP '1995-06-01'
-    ORDER BY o_orderdate, o_orderkey LIMIT 256 OFFSET 512""",
-)
+CHANGED_PAGE_SQL = """SELECT o_orderkey AS id, o_orderdate AS modified FROM orders WHERE o_orderdate > TIMESTAMP '1995-06-01'
+    ORDER BY o_orderdate, o_orderkey LIMIT 256 OFFSET 512"""
+
+
+@query("o1_changed_page", CHANGED_PAGE_SQL)
 def o1_changed_page(spark, sf_dir):
     return changed_page(_film(spark, sf_dir), DAY("1995-06-01"), 512, 256)
 
 
+@query("o1_changes_after_cursor", CHANGED_PAGE_SQL)
+def o1_changes_after_cursor(spark, sf_dir):
+    """The same page from the cursor at the end of the pages before it; days hold many orders, so it falls among equal times."""
+    changed = changed_since(_film(spark, sf_dir), DAY("1995-06-01"))
+    last = changes_after(changed, None, 512).orderBy(F.desc("modified"), F.desc("id")).first()
+    return changes_after(changed, (last["modified"], last["id"]), 256)
+
+
 @query(
     "o2_affected_in_order",
     """WITH a AS (SELECT DISTINCT o_orderkey AS id, o_orderdate AS modified FROM orders JOIN lineitem ON l_orderkey = o_orderkey

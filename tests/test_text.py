@@ -139,11 +139,14 @@ def test_a_written_index_answers_alike(spark, docs, index, folder):
 
 
 def test_exact_and_nested(spark, docs):
-    asked = spark.createDataFrame([("drama",), ("dram",)], "query string")
-    assert sorted(map(tuple, srch.exact(asked, docs, "kinds").collect())) == [("drama", 1), ("drama", 2)]
-    nested = docs.select("id", F.transform("names", lambda n: F.struct(n.alias("name"))).alias("actors"))
+    """Documents by a member: the whole name, or a term of it."""
+    links = lambda c: docs.select(F.col("id").alias("doc"), F.explode(c).alias("id"))
+    members = lambda c: docs.select(F.explode(c).alias("id")).distinct().select("id", F.col("id").alias("name"))
+    asked = spark.createDataFrame([("drama",), ("dram",), (None,)], "query string")
+    found = srch.member_matches(asked, members("kinds"), links("kinds"), srch.Field("name"), analysed=False)
+    assert sorted(map(tuple, found.collect())) == [("drama", 1), ("drama", 2)]
     people = spark.createDataFrame([("Lee Camp",)], "query string")
-    found = srch.nested_matches(people, nested, "actors", srch.Field("name"))
+    found = srch.member_matches(people, members("names"), links("names"), srch.Field("name"))
     assert sorted(r["doc"] for r in found.collect()) == [1, 3]
 
 
