@@ -2,8 +2,6 @@
 
 import random
 
-from filmloom.session import materialise
-
 #: Columns that clash with names the operators use inside.
 CLASHING = ("row", "score", "fingerprint", "words", "shape", "key", "token", "rid", "k", "size", "shard", "label", "passages", "ids", "n", "doc")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in CLASHING)
@@ -31,8 +29,8 @@ def rows() -> list[tuple]:
 
 
 def documents(spark, extra: list[tuple] = ()):
-    more = [(*r, None, None, *[None for _ in CLASHING])[: 5 + len(CLASHING)] for r in ((i, t, lang, "src9") for i, t, lang in extra)]
-    more = [(i, t, lang, src, None, *[None for _ in CLASHING]) for i, t, lang, src, *_ in more]
+    """The edge rows and more of ``(doc_id, text, lang)``."""
+    more = [(*row, "src9", None, *[None for _ in CLASHING]) for row in extra]
     return spark.createDataFrame([*rows(), *more], SCHEMA).repartition(3)
 
 
@@ -40,10 +38,5 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def written(df):
-    """As the pipeline hands it on."""
-    return materialise(df, "test")
-
-
 def as_set(df) -> list:
     return sorted(map(repr, df.collect()))
