@@ -134,18 +134,24 @@ def refresh(cat: Catalog, marks: Marks, table: DocumentTable, at_mark: bool = Fa
     return table.upsert(rebuilt(cat, affected_films(cat, marks, at_mark)), unique=True)
 
 
-def refresh_from_state(cat: Catalog, state: str, table: DocumentTable) -> int:
+def refresh_from_state(source: Catalog | StoredCatalog, state: str, table: DocumentTable) -> int:
     """Refresh from the marks kept at ``state``, and move them once the documents are written.
 
     Rows at a mark are read again, as one with the same time may have been stored after the last run; the upsert makes
     that harmless. New marks are taken before the rows are read, so a row that arrives meanwhile is at worst read
-    twice. A run that fails leaves the marks as they were.
+    twice. A run that fails leaves the marks as they were. With a ``StoredCatalog`` only the buckets of the changed
+    keys are read from the links.
     """
+    cat = source.catalog if isinstance(source, StoredCatalog) else source
     spark = cat.film.sparkSession
     marks = {e: mark_of(spark, state, e) for e in ENTITIES}
     moved = [next_mark(getattr(cat, e), marks[e], e, at_mark=True) for e in ENTITIES]
     moved = [m.select("name", F.col("mark").cast("timestamp").alias("mark"), F.col("last_id").cast("string").alias("last_id")) for m in moved]
     held = materialise(moved[0].unionByName(moved[1]).unionByName(moved[2]), "marks")
-    version = refresh(cat, Marks(**marks), table, at_mark=True)
+    if isinstance(source, StoredCatalog):
+        near, films = source.around({e: changed_ids(getattr(cat, e), marks[e], at_mark=True) for e in ENTITIES})
+        version = table.upsert(rebuilt(near, films), unique=True)
+    else:
+        version = refresh(cat, Marks(**marks), table, at_mark=True)
     write_state(held, state)
     return version

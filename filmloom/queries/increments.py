@@ -186,5 +186,5 @@ def r14_two_refreshes(spark, sf_dir):
     early = replace(cat, film=cat.film.join(late, "id", "left_anti"))
     table, state = _documents(spark), scratch_path(spark, "marks")
     refresh_from_state(early, state, table)
-    refresh_from_state(cat, state, table)
+    refresh_from_state(StoredCatalog.write(cat, scratch_path(spark, "links"), buckets=8), state, table)
     return documents_text(table.read())

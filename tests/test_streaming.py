@@ -1,13 +1,16 @@
 """Streams: first-seen ids over batches, replay after failure, batch size."""
 
+from dataclasses import replace
+
 import pytest
 from golden import ACTION, MULTI, golden_catalog
 from pyspark.sql import functions as F
 
-from filmloom.catalog import FILM_DOCUMENT
+from filmloom.catalog import FILM_DOCUMENT, Catalog
 from filmloom.plans.documents import film_documents
-from filmloom.plans.refresh import Marks, StoredCatalog, affected_films, films_of, next_mark
+from filmloom.plans.refresh import Marks, StoredCatalog, affected_films, films_of, next_mark, refresh_from_state
 from filmloom.sources.documents import DocumentTable
+from filmloom.sources.state import read_state
 from filmloom.streaming import changes
 
 DDL = "entity string, id string, seq int"
@@ -65,3 +68,30 @@ def test_affected_films(spark):
     assert got == {"film-102", "film-103", "film-106", "film-105"}
     assert [r["last_id"] for r in next_mark(moved.genre, mark, "genre").collect()] == [ACTION]
     assert next_mark(moved.person, mark, "person").count() == 0
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_a_late_row_at_the_mark_is_refreshed(spark, folder, stored):
+    cat = golden_catalog(spark)
+    day = "timestamp'2020-01-03'"
+    stamped = lambda df: df.withColumn("modified", F.expr(day))
+    full = Catalog(film=stamped(cat.film), person=stamped(cat.person), genre=stamped(cat.genre), person_film=cat.person_film, genre_film=cat.genre_film)
+    early = replace(full, film=full.film.filter("id <> 'film-101'"))
+    wrapped = (lambda c, n: StoredCatalog.write(c, f"{folder}/links-{n}", 4)) if stored else (lambda c, n: c)
+    table, state = DocumentTable(spark, f"{folder}/docs", FILM_DOCUMENT, buckets=4), f"{folder}/marks"
+    refresh_from_state(wrapped(early, 1), state, table)
+    assert sorted(r["id"] for r in table.read().collect()) == ["film-102", "film-103", "film-104", "film-105", "film-106"]
+    marks = {r["name"]: str(r["mark"]) for r in read_state(spark, state).collect()}
+    assert marks == dict.fromkeys(("film", "person", "genre"), "2020-01-03 00:00:00")
+
+    class Lost(DocumentTable):
+        def upsert(self, *args, **kwargs):
+            raise RuntimeError("lost")
+
+    late = replace(full, film=full.film.withColumn("modified", F.expr("CASE WHEN id = 'film-102' THEN timestamp'2020-01-05' ELSE modified END")))
+    with pytest.raises(RuntimeError, match="lost"):
+        refresh_from_state(wrapped(late, 2), state, Lost(spark, table.path, FILM_DOCUMENT, buckets=4))
+    assert {r["name"]: str(r["mark"]) for r in read_state(spark, state).collect()} == marks  # a failed run moves no mark
+    refresh_from_state(wrapped(late, 3), state, table)
+    assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, film_documents(late).select(*table.read().columns).collect()))
+    assert str(read_state(spark, state).filter("name = 'film'").first()["mark"]) == "2020-01-05 00:00:00"
