@@ -2,11 +2,12 @@
 
 Fitting. Every token has a log-odds of toxic against clean with an informative Dirichlet prior: the prior of a token is
 its share of all documents of the corpus, and the class counts come from labelled documents. Tokens are hashed to
-``BUCKETS`` numbers, so the model is two tables of a quarter of a MB whatever the vocabulary. Counts are of documents that hold the
-token, so a word repeated in one document counts once. Two tables hash by different bits, and a token gets the score
-nearer to zero, so that a rare word doesn't inherit the score of a toxic one it collides with. A token's score is the near end of the confidence interval of
-its log-odds; a token that isn't surely at least ``MIN_ODDS`` times likelier on one side says nothing. Every token pays
-a small drift, which makes the expected score negative, as the statistics of maximal segments need.
+``BUCKETS`` numbers, so the model is three tables of 0.8 MB whatever the vocabulary. Counts are of documents that hold the
+token, so a word repeated in one document counts once. Three tables hash by different bits, and of each count a token has
+the smallest of its buckets' (a count-min sketch): a rare word doesn't inherit the toxic count of one it collides with,
+nor a toxic word the clean count. A token's score is the near end of the confidence interval of its log-odds; a token that
+isn't surely at least ``MIN_ODDS`` times likelier on one side says nothing. Every token pays a small drift, which makes the
+expected score negative, as the statistics of maximal segments need.
 
 Scoring. One linear scan finds all maximal-scoring segments of a text (the list of disjoint candidates with links to
 the last smaller left sum). The score S of a segment in n tokens is chance with expected count K n exp(-lambda S);
@@ -17,7 +18,6 @@ clean documents. Segments with an expected count of at most ``MAX_EXPECTED`` are
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,16 +26,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from filmloom.llm.common import WORD_BYTES, added, packed, steps, struct_text, with_columns, words_of
 
 BUCKETS = 1 << 16
-TABLES = 2
+TABLES = 3
 #: Bound on the labelled documents that the classes are fitted on: those with the smallest hashed ids.
 MAX_LABELLED = 100_000
 PRIOR_SHARE = 0.1
 Z = 2.0
-MIN_ODDS = 2.0
+MIN_ODDS = 5.0
 DRIFT = 0.05
 MAX_EXPECTED = 0.01
 
@@ -44,26 +45,42 @@ PASSAGES = "array<struct<start:int,length:int,score:double,expected:double>>"
 
 @dataclass
 class ToxicityModel:
-    """Score of each token bucket of each table, the extreme-value parameters and the logistic curve over log(1 + evidence)."""
+    """Documents that hold each bucket of each table (all, clean, toxic), the extreme-value parameters, and the logistic
+    curve over log(1 + evidence)."""
 
-    weights: np.ndarray
+    counts: np.ndarray
+    drift: float = DRIFT
     lam: float = 1.0
     k: float = 1.0
     intercept: float = -20.0
     slope: float = 0.0
 
+    def __post_init__(self) -> None:
+        self.sums = self.counts[0].sum(1, dtype=np.float64)
+
 
 def buckets_of(words: list[bytes]) -> np.ndarray:
-    """The bucket of each word in each table: the lower and the upper half of its hash."""
-    hashes = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
-    return np.stack([hashes & np.uint32(BUCKETS - 1), hashes >> np.uint32(16)])
+    """The bucket of each word in each table: 16 bits of its hash each."""
+    hashes = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+    return np.stack([(hashes >> np.uint64(16 * t)) & np.uint64(BUCKETS - 1) for t in range(TABLES)]).astype(np.int64)
+
+
+def odds_scores(everything: np.ndarray, clean: np.ndarray, toxic: np.ndarray, sums: np.ndarray, drift: float) -> np.ndarray:
+    """Scores from counts of documents; ``sums`` are the totals of the three counts."""
+    if not sums[1] or not sums[2]:
+        return np.full(len(everything), -drift, np.float32)
+    weight = PRIOR_SHARE * (sums[1] + sums[2])
+    prior = np.float32(weight / (sums[0] + BUCKETS)) * (everything + 1)
+    clean, toxic = clean + prior, toxic + prior
+    odds = np.log(toxic / clean) - np.float32(np.log((sums[2] + weight) / (sums[1] + weight)))
+    sure = np.abs(odds) - np.float32(Z) * np.sqrt(1 / toxic + 1 / clean)
+    return np.where(sure >= np.log(MIN_ODDS), np.sign(odds) * sure, 0).astype(np.float32) - np.float32(drift)
 
 
-def scores_of(words: list[bytes], weights: np.ndarray) -> np.ndarray:
-    """Score of each word: that of the table where it is nearer to zero; the drift if the tables disagree."""
-    first, second = (w[b] for w, b in zip(weights, buckets_of(words), strict=True))
-    near = np.where(np.abs(first) < np.abs(second), first, second)
-    return np.where((first > 0) == (second > 0), near, np.maximum(np.minimum(first, second), np.float32(-DRIFT)))
+def scores_of(words: list[bytes], model: ToxicityModel) -> np.ndarray:
+    """Score of each word, from the smallest of its buckets for each count."""
+    found = [counts[:, buckets] for counts, buckets in zip(model.counts, buckets_of(words), strict=True)]
+    return odds_scores(*np.minimum.reduce(found), model.sums, model.drift)
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -116,7 +133,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in steps(batches, lambda b: b.column("text")):
         labels = batch.column("label").to_pylist()
         groups: list[list[np.ndarray]] = [[], [], []]
-        table = np.array([[0], [BUCKETS]], np.uint32)
+        table = BUCKETS * np.arange(TABLES)[:, None]
         for text, label in zip(texts, labels, strict=True):
             if text:
                 present = np.unique(buckets_of(words_of(text)) + table)
@@ -133,18 +150,11 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def token_weights(totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scores of the buckets, and the shares of a clean document's tokens, from counts (all, clean, toxic)."""
-    everything, clean, toxic = totals.astype(np.float64)
-    prior = PRIOR_SHARE * (clean.sum() + toxic.sum()) * (everything + 1) / (everything.sum() + len(everything))
-    shares = (clean + prior) / max((clean + prior).sum(), 1e-300)
-    if not clean.sum() or not toxic.sum():
-        return np.full(len(prior), -DRIFT, np.float32), shares
-    odds = np.log((toxic + prior) / (toxic + prior).sum()) - np.log(shares)
-    sure = np.maximum(np.abs(odds) - Z * np.sqrt(1 / (toxic + prior) + 1 / (clean + prior)), 0)
-    scores = np.where(sure >= np.log(MIN_ODDS), np.sign(odds) * sure, 0.0)
-    scores -= DRIFT + max(0.0, float((shares * scores).sum()))
-    return scores.astype(np.float32), shares
+def table_scores(counts: np.ndarray, sums: np.ndarray, drift: float) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of a table's buckets, and the shares of a clean document's tokens that they hold."""
+    everything, clean, _ = counts.astype(np.float64)
+    prior = PRIOR_SHARE * (sums[1] + sums[2]) * (everything + 1) / (sums[0] + BUCKETS)
+    return odds_scores(*counts, sums, drift), (clean + prior) / max((clean + prior).sum(), 1e-300)
 
 
 def decay(weights: np.ndarray, shares: np.ndarray) -> float:
@@ -175,12 +185,12 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
     return (float(beta[0]), float(beta[1])) if beta[1] > 0 else (float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))), 0.0)
 
 
-def _best(weights: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _best(model: ToxicityModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number of words and scores of the maximal segments of each labelled document."""
     for batch, texts in steps(batches, lambda b: b.column("text")):
         lengths, segments = [], []
         for text in texts:
-            scores = scores_of(words_of(text or ""), weights)
+            scores = scores_of(words_of(text or ""), model)
             lengths.append(len(scores))
             segments.append([s for _, _, s in maximal_segments(scores) if s >= 1.0])
         yield pa.RecordBatch.from_arrays(
@@ -208,12 +218,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     totals = np.zeros((3, TABLES * BUCKETS), np.int64)
     totals[counted["kind"].to_numpy(), counted["bucket"].to_numpy()] = counted["n"].to_numpy()
     del counted
-    fitted = [token_weights(totals[:, t * BUCKETS : (t + 1) * BUCKETS]) for t in range(TABLES)]
-    weights = np.stack([w for w, _ in fitted])
-    # A word's score is at most that of either table, so the smaller root is on the safe side.
-    model = ToxicityModel(weights, min(decay(*f) for f in fitted))
+    model = ToxicityModel(np.stack([totals[:, t * BUCKETS : (t + 1) * BUCKETS] for t in range(TABLES)]).astype(np.float32))
+    for counts in model.counts:
+        scores, shares = table_scores(counts, model.sums, DRIFT)
+        model.drift = max(model.drift, DRIFT + float((shares * scores).sum()))
+    model.lam = min(decay(*table_scores(counts, model.sums, model.drift)) for counts in model.counts)
 
-    table = spark.sparkContext.broadcast(weights)
+    table = spark.sparkContext.broadcast(model)
     labelled = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "label")
     found = labelled.mapInArrow(lambda it: _best(table.value, it), "label int, n bigint, segments array<double>").toArrow()
     table.unpersist()
@@ -236,7 +247,7 @@ def _score(model: ToxicityModel, batches: Iterator[pa.RecordBatch]) -> Iterator[
     for batch, texts in steps(batches, struct_text):
         scores, passages = [], []
         for text in texts:
-            found = passages_of(scores_of(words_of(text or ""), model.weights), model)
+            found = passages_of(scores_of(words_of(text or ""), model), model)
             scores.append(probability(evidence_of(found), model))
             passages.append([{"start": s, "length": n, "score": v, "expected": e} for s, n, v, e in found])
         kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
