@@ -1,13 +1,11 @@
 """Toxic passages: maximum-scoring segments of token log-odds, judged by extreme-value statistics.
 
 Fitting. Every token has a log-odds of toxic against clean with an informative Dirichlet prior: the prior of a token is
-its share of all documents of the corpus, and the class counts come from labelled documents. Tokens are hashed to
-``BUCKETS`` numbers, so the model is three tables of 0.8 MB whatever the vocabulary. Counts are of documents that hold the
-token, so a word repeated in one document counts once. Three tables hash by different bits, and of each count a token has
-the smallest of its buckets' (a count-min sketch): a rare word doesn't inherit the toxic count of one it collides with,
-nor a toxic word the clean count. A token's score is the near end of the confidence interval of its log-odds; a token that
-isn't surely at least ``MIN_ODDS`` times likelier on one side says nothing. Every token pays a small drift, which makes the
-expected score negative, as the statistics of maximal segments need.
+its share of all documents of the corpus, and the class counts come from labelled documents. Counts are exact, and of
+documents that hold the token, so a word repeated in one document counts once; they stay in a Spark table. A token's score
+is the near end of the confidence interval of its log-odds; a token that isn't surely at least ``MIN_ODDS`` times likelier
+on one side says nothing, and only the others are sent to the tasks, or joined to the documents if they are too many. Every
+token pays a small drift, which makes the expected score negative, as the statistics of maximal segments need.
 
 Scoring. One linear scan finds all maximal-scoring segments of a text (the list of disjoint candidates with links to
 the last smaller left sum). The score S of a segment in n tokens is chance with expected count K n exp(-lambda S);
@@ -18,20 +16,23 @@ clean documents. Segments with an expected count of at most ``MAX_EXPECTED`` are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections import Counter
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
 from filmloom.llm.common import WORD_BYTES, added, packed, steps, struct_text, with_columns, words_of
+from filmloom.session import materialise
 
-BUCKETS = 1 << 16
-TABLES = 3
+#: A task hands on its counts when it holds so many words, or has read so many bytes of text.
+HELD_WORDS, HELD_BYTES = 1 << 18, 1 << 26
+#: Scored words that are sent to every task; more are joined to the documents.
+SENT_WORDS, SENT_BYTES = 500_000, 1 << 24
 #: Bound on the labelled documents that the classes are fitted on: those with the smallest hashed ids.
 MAX_LABELLED = 100_000
 PRIOR_SHARE = 0.1
@@ -45,42 +46,21 @@ PASSAGES = "array<struct<start:int,length:int,score:double,expected:double>>"
 
 @dataclass
 class ToxicityModel:
-    """Documents that hold each bucket of each table (all, clean, toxic), the extreme-value parameters, and the logistic
-    curve over log(1 + evidence)."""
+    """Scores of the words that say something, before the drift: in ``scores``, or in the table ``scored`` (word, score) if
+    they are too many; the extreme-value parameters, and the logistic curve over log(1 + evidence)."""
 
-    counts: np.ndarray
+    scores: dict[bytes, float] = field(default_factory=dict)
+    scored: DataFrame | None = None
     drift: float = DRIFT
     lam: float = 1.0
     k: float = 1.0
     intercept: float = -20.0
     slope: float = 0.0
 
-    def __post_init__(self) -> None:
-        self.sums = self.counts[0].sum(1, dtype=np.float64)
 
-
-def buckets_of(words: list[bytes]) -> np.ndarray:
-    """The bucket of each word in each table: 16 bits of its hash each."""
-    hashes = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
-    return np.stack([(hashes >> np.uint64(16 * t)) & np.uint64(BUCKETS - 1) for t in range(TABLES)]).astype(np.int64)
-
-
-def odds_scores(everything: np.ndarray, clean: np.ndarray, toxic: np.ndarray, sums: np.ndarray, drift: float) -> np.ndarray:
-    """Scores from counts of documents; ``sums`` are the totals of the three counts."""
-    if not sums[1] or not sums[2]:
-        return np.full(len(everything), -drift, np.float32)
-    weight = PRIOR_SHARE * (sums[1] + sums[2])
-    prior = np.float32(weight / (sums[0] + BUCKETS)) * (everything + 1)
-    clean, toxic = clean + prior, toxic + prior
-    odds = np.log(toxic / clean) - np.float32(np.log((sums[2] + weight) / (sums[1] + weight)))
-    sure = np.abs(odds) - np.float32(Z) * np.sqrt(1 / toxic + 1 / clean)
-    return np.where(sure >= np.log(MIN_ODDS), np.sign(odds) * sure, 0).astype(np.float32) - np.float32(drift)
-
-
-def scores_of(words: list[bytes], model: ToxicityModel) -> np.ndarray:
-    """Score of each word, from the smallest of its buckets for each count."""
-    found = [counts[:, buckets] for counts, buckets in zip(model.counts, buckets_of(words), strict=True)]
-    return odds_scores(*np.minimum.reduce(found), model.sums, model.drift)
+def scores_of(words: list[bytes], scores: dict[bytes, float], drift: float) -> np.ndarray:
+    """Score of each word."""
+    return np.array([scores.get(w, 0.0) for w in words], np.float64) - drift
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -128,33 +108,52 @@ def probability(evidence: float, model: ToxicityModel) -> float:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold each bucket: all of them, the clean and the toxic ones."""
-    totals = np.zeros((3, TABLES * BUCKETS), np.int64)
+    """Documents that hold each word: all of them, the clean and the toxic ones."""
+    held: tuple[Counter, Counter, Counter] = (Counter(), Counter(), Counter())
+    size = 0
+
+    def handed() -> pa.RecordBatch:
+        words = list(held[0])
+        counts = [pa.array([h[w] for w in words], pa.int64()) for h in held]
+        for h in held:
+            h.clear()
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *counts], names=["word", "n", "clean", "toxic"])
+
     for batch, texts in steps(batches, lambda b: b.column("text")):
-        labels = batch.column("label").to_pylist()
-        groups: list[list[np.ndarray]] = [[], [], []]
-        table = BUCKETS * np.arange(TABLES)[:, None]
-        for text, label in zip(texts, labels, strict=True):
+        for text, label in zip(texts, batch.column("label").to_pylist(), strict=True):
             if text:
-                present = np.unique(buckets_of(words_of(text)) + table)
-                groups[0].append(present)
+                present = set(words_of(text))
+                held[0].update(present)
                 if label is not None:
-                    groups[1 + (label > 0)].append(present)
-        for kind, group in enumerate(groups):
-            if group:
-                totals[kind] += np.bincount(np.concatenate(group), minlength=TABLES * BUCKETS)
-    kinds, buckets = np.nonzero(totals)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(kinds.astype(np.int32)), pa.array(buckets.astype(np.int32)), pa.array(totals[kinds, buckets])],
-        names=["kind", "bucket", "n"],
-    )
-
-
-def table_scores(counts: np.ndarray, sums: np.ndarray, drift: float) -> tuple[np.ndarray, np.ndarray]:
-    """Scores of a table's buckets, and the shares of a clean document's tokens that they hold."""
-    everything, clean, _ = counts.astype(np.float64)
-    prior = PRIOR_SHARE * (sums[1] + sums[2]) * (everything + 1) / (sums[0] + BUCKETS)
-    return odds_scores(*counts, sums, drift), (clean + prior) / max((clean + prior).sum(), 1e-300)
+                    held[1 + (label > 0)].update(present)
+                size += len(text)
+                if len(held[0]) >= HELD_WORDS or size >= HELD_BYTES:
+                    yield handed()
+                    size = 0
+    yield handed()
+
+
+def word_scores(counts: DataFrame) -> DataFrame:
+    """``word, score, share`` of the words that say something, from exact counts ``word, n, clean, toxic``: scores before the
+    drift, and the shares of a clean document's tokens."""
+    everything, clean, toxic, vocabulary = counts.agg(F.sum("n"), F.sum("clean"), F.sum("toxic"), F.count("*")).first()
+    if not clean or not toxic:
+        return counts.select("word", F.lit(0.0).alias("score"), F.lit(0.0).alias("share")).limit(0)
+    weight = PRIOR_SHARE * (clean + toxic)
+    prior = F.lit(weight / (everything + vocabulary)) * (F.col("n") + 1)
+    placed = counts.select("word", (F.col("clean") + prior).alias("clean"), (F.col("toxic") + prior).alias("toxic"))
+    odds = F.log(F.col("toxic") / F.col("clean")) - float(np.log((toxic + weight) / (clean + weight)))
+    sure = F.abs(odds) - Z * F.sqrt(1 / F.col("toxic") + 1 / F.col("clean"))
+    said = placed.filter(sure >= float(np.log(MIN_ODDS)))
+    return said.select("word", (F.signum(odds) * sure).alias("score"), (F.col("clean") / (clean + weight)).alias("share"))
+
+
+def spectrum(scored: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Scores before the drift and their shares, of all words, in steps of 1/1024; words that say nothing share the first."""
+    steps_of = scored.groupBy(F.round(F.col("score") * 1024)).agg(F.sum(F.col("score") * F.col("share")), F.sum("share")).collect()
+    shares = np.array([r[2] for r in steps_of], np.float64)
+    scores = np.array([r[1] for r in steps_of], np.float64) / shares
+    return np.append(0.0, scores), np.append(max(0.0, 1 - shares.sum()), shares)
 
 
 def decay(weights: np.ndarray, shares: np.ndarray) -> float:
@@ -185,28 +184,57 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float,
     return (float(beta[0]), float(beta[1])) if beta[1] > 0 else (float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))), 0.0)
 
 
+def _known(batch: pa.RecordBatch, sent: dict[bytes, float], rows: int) -> Iterator[dict[bytes, float]]:
+    """Scores of the words of each text: the sent ones, or those that were joined to its row."""
+    if "known" not in batch.schema.names:
+        return iter([sent] * rows)
+    return ({k["word"]: k["score"] for k in known or ()} for known in batch.column("known").to_pylist())
+
+
 def _best(model: ToxicityModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number of words and scores of the maximal segments of each labelled document."""
-    for batch, texts in steps(batches, lambda b: b.column("text")):
+    for batch, texts in steps(batches, struct_text):
         lengths, segments = [], []
-        for text in texts:
-            scores = scores_of(words_of(text or ""), model)
+        for text, known in zip(texts, _known(batch, model.scores, len(texts)), strict=True):
+            scores = scores_of(words_of(text or ""), known, model.drift)
             lengths.append(len(scores))
             segments.append([s for _, _, s in maximal_segments(scores) if s >= 1.0])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array(lengths, pa.int64()), pa.array(segments, pa.list_(pa.float64()))],
+            [pc.struct_field(batch.column("row"), "label"), pa.array(lengths, pa.int64()), pa.array(segments, pa.list_(pa.float64()))],
             names=["label", "n", "segments"],
         )
 
 
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of each text."""
+    for batch, texts in steps(batches, lambda b: b.column("text")):
+        words = [list(set(words_of(text or ""))) for text in texts]
+        keys = pc.take(batch.column("key"), pa.array(np.repeat(np.arange(len(texts)), list(map(len, words)))))
+        yield pa.RecordBatch.from_arrays([keys, pa.array([w for own in words for w in own], pa.binary())], names=["key", "word"])
+
+
+def _in_tasks(rows: DataFrame, model: ToxicityModel, task: Callable, schema) -> DataFrame:
+    """``task`` over packed rows, with the scores of their words.
+
+    Words that are too many to be sent are joined to the distinct texts, and their scores to the rows by text.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(replace(model, scored=None))
+    if model.scored is not None:
+        keyed = rows.withColumn("key", F.sha2(F.col("row.text").cast("binary"), 256))
+        texts = keyed.select("key", "row.text").dropna().dropDuplicates(["key"])
+        words = texts.mapInArrow(_words, "key string, word binary").join(model.scored.select("word", "score"), "word")
+        known = words.groupBy("key").agg(F.collect_list(F.struct("word", "score")).alias("known"))
+        rows = keyed.join(known, "key", "left").select("row", "known")
+    return rows.mapInArrow(lambda it: task(sent.value, it), schema)
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> ToxicityModel:
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), which holds only rows that may be learned from.
 
-    Corpus counts come from every document. The classes come from at most ``max_labelled`` labelled ids, those with
+    Corpus counts come from every document and are exact. The classes come from at most ``max_labelled`` labelled ids, those with
     the smallest hashes, so their list can be sent to every task. Labels of one id that disagree count as toxic; null
     labels and ids are left out. Without both classes every document has the same score.
     """
-    spark = docs.sparkSession
     chosen = (
         labels.select("doc_id", F.col("toxic").cast("int").alias("label")).dropna()
         .groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -214,20 +242,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     )
     sample = F.broadcast(chosen)
     texts = docs.select("doc_id", "text").join(sample, "doc_id", "left").select("text", "label")
-    counted = texts.mapInArrow(_counts, "kind int, bucket int, n bigint").groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    totals = np.zeros((3, TABLES * BUCKETS), np.int64)
-    totals[counted["kind"].to_numpy(), counted["bucket"].to_numpy()] = counted["n"].to_numpy()
-    del counted
-    model = ToxicityModel(np.stack([totals[:, t * BUCKETS : (t + 1) * BUCKETS] for t in range(TABLES)]).astype(np.float32))
-    for counts in model.counts:
-        scores, shares = table_scores(counts, model.sums, DRIFT)
-        model.drift = max(model.drift, DRIFT + float((shares * scores).sum()))
-    model.lam = min(decay(*table_scores(counts, model.sums, model.drift)) for counts in model.counts)
-
-    table = spark.sparkContext.broadcast(model)
-    labelled = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "label")
-    found = labelled.mapInArrow(lambda it: _best(table.value, it), "label int, n bigint, segments array<double>").toArrow()
-    table.unpersist()
+    counts = texts.mapInArrow(_counts, "word binary, n bigint, clean bigint, toxic bigint")
+    counts = counts.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "clean", "toxic")])
+    scored = materialise(word_scores(materialise(counts, "words")), "scored-words")
+    model = ToxicityModel()
+    scores, shares = spectrum(scored)
+    model.drift = DRIFT + max(0.0, float((shares * scores).sum()))
+    model.lam = decay(scores - model.drift, shares)
+    words, size = scored.agg(F.count("*"), F.sum(F.length("word"))).first()
+    if words > SENT_WORDS or (size or 0) > SENT_BYTES:
+        model.scored = scored
+    else:
+        found = scored.select("word", "score").toArrow()
+        model.scores = dict(zip(found["word"].to_pylist(), found["score"].to_pylist(), strict=True))
+
+    labelled = packed(docs.select("doc_id", "text").join(sample, "doc_id").select("text", "label"))
+    found = _in_tasks(labelled, model, _best, "label int, n bigint, segments array<double>").toArrow()
     if found.num_rows:
         n, toxic = found["n"].to_numpy().astype(np.float64), found["label"].to_numpy() > 0
         segments = found["segments"].combine_chunks()
@@ -246,12 +276,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
 def _score(model: ToxicityModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in steps(batches, struct_text):
         scores, passages = [], []
-        for text in texts:
-            found = passages_of(scores_of(words_of(text or ""), model), model)
+        for text, known in zip(texts, _known(batch, model.scores, len(texts)), strict=True):
+            found = passages_of(scores_of(words_of(text or ""), known, model.drift), model)
             scores.append(probability(evidence_of(found), model))
             passages.append([{"start": s, "length": n, "score": v, "expected": e} for s, n, v, e in found])
         kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]))
-        yield with_columns(batch, {"score": pa.array(scores, pa.float64()), "passages": pa.array(passages, kind)})
+        yield with_columns(batch.select(["row"]), {"score": pa.array(scores, pa.float64()), "passages": pa.array(passages, kind)})
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -261,8 +291,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     passage and the score of a document without evidence. Every row is scored by its own text alone, so repeated rows
     and ties score alike, and other columns are neither read nor renamed.
     """
-    rows, sent = packed(docs), docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(lambda it: _score(sent.value, it), added(rows, f"score double, passages {PASSAGES}"))
+    rows = packed(docs)
+    return _in_tasks(rows, model, _score, added(rows, f"score double, passages {PASSAGES}"))
 
 
 def passage_texts(text: str, passages: list) -> list[str]:

@@ -84,3 +84,24 @@ def test_query_on_the_held_out_fold(spark):
     assert len(rows) == 1000
     assert sum(r["insult"] and not r["predicted"] for r in rows) <= 1
     assert sum(r["predicted"] for r in rows) < 100
+
+
+def test_rare_toxic_words_keep_their_own_counts_in_a_large_vocabulary(spark):
+    """Two toxic words of 40 documents each, beside 1.8 million words of one document each."""
+    fresh = lambda i: " ".join(f"w{i}x{j}" for j in range(4000))
+    bad = ["vermin", "wretch"]
+    clean = [(i, fresh(i), "en") for i in range(300)]
+    toxic = [(1000 + i, f"{fresh(1000 + i)} {' '.join([bad[i % 2]] * 5)} {fresh(2000 + i)}", "en") for i in range(80)]
+    labels = spark.createDataFrame([(i, 0) for i, *_ in clean] + [(i, 1) for i, *_ in toxic], "doc_id bigint, toxic int")
+    docs = documents(spark, clean + toxic)
+    for r in score_toxicity(docs, fit_toxicity(docs, labels)).filter("row.source = 'src9'").collect():
+        assert (r["score"] >= 0.5) == (r["row"]["doc_id"] >= 1000)
+
+
+def test_too_many_scored_words_are_joined(spark, monkeypatch):
+    docs, labels = _labelled(spark)
+    sent = as_set(score_toxicity(docs, fit_toxicity(docs, labels)))
+    monkeypatch.setattr("filmloom.llm.toxicity.SENT_WORDS", 0)
+    model = fit_toxicity(docs, labels)
+    assert model.scored is not None and not model.scores
+    assert as_set(score_toxicity(docs, model)) == sent
