@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,10 @@ SEGMENT = 64
 TEMPER = 1 / 3
 SMOOTH = 1000.0
 ROUNDS = 20
-#: Bound of the classifier: the languages with the most documents to learn from.
-MAX_LANGS = 128
+#: Languages whose counts a task holds before it hands them on.
+HELD_LANGS = 64
+#: Numbers of a matrix, of 3-grams or segments by languages, that is held at once.
+CELLS = 1 << 22
 UNKNOWN = "und"
 
 #: As WORD_BYTES, with blanks for digits.
@@ -59,100 +62,154 @@ def grams_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (codes[inside[:-2]] * np.uint32(2654435761)) >> np.uint32(16), np.maximum(lengths - 2, 0)
 
 
-def _counts(langs: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals = np.zeros((len(langs), BUCKETS), np.int64)
-    place = {lang: i for i, lang in enumerate(langs)}
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[str, np.ndarray] = {}
+
+    def handed() -> Iterator[pa.RecordBatch]:
+        for lang, counts in held.items():
+            buckets = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(buckets), pa.string()), pa.array(buckets.astype(np.int32)), pa.array(counts[buckets])],
+                names=["lang", "bucket", "n"],
+            )
+        held.clear()
+
     for batch, texts in steps(batches, lambda b: b.column("text")):
-        of: dict[int, list[str]] = {}
+        of: dict[str, list[str]] = {}
         for text, lang in zip(texts, batch.column("lang").to_pylist(), strict=True):
-            if text and lang in place and has_letter(text):
-                of.setdefault(place[lang], []).append(text)
-        for i, own in of.items():
-            totals[i] += np.bincount(grams_of(own)[0], minlength=BUCKETS)
-    where, buckets = np.nonzero(totals)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(where.astype(np.int32)), pa.array(buckets.astype(np.int32)), pa.array(totals[where, buckets])],
-        names=["lang", "bucket", "n"],
-    )
-
-
-def fit_languages(docs: DataFrame, max_langs: int = MAX_LANGS) -> LanguageModel:
+            if text and has_letter(text):
+                of.setdefault(lang, []).append(text)
+        for lang, own in of.items():
+            if lang not in held and len(held) >= HELD_LANGS:
+                yield from handed()
+            held[lang] = held.get(lang, 0) + np.bincount(grams_of(own)[0], minlength=BUCKETS)
+    yield from handed()
+
+
+def fit_languages(docs: DataFrame) -> LanguageModel:
     """Fit on all of ``docs`` (text, lang), which holds only rows that may be learned from; null languages are left out.
 
     Counts are summed in each task before they are shuffled, so a language that holds most documents is no burden.
-    At most ``max_langs`` languages are learned, those with most documents (ties: the smaller name); a language without
-    a letter in any text isn't learned.
+    Every language with a letter in any text is learned; each takes a quarter of a MB of the model.
     """
     known = docs.select("text", "lang").filter(F.col("lang").isNotNull())
-    names = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
-    langs = sorted(r["lang"] for r in names.collect())
-    totals = np.zeros((len(langs), BUCKETS))
-    if langs:
-        counted = known.mapInArrow(lambda it: _counts(langs, it), "lang int, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-        totals[counted["lang"].to_numpy(), counted["bucket"].to_numpy()] = counted["n"].to_numpy()
-    learned = totals.sum(1) > 0
-    langs, totals = [lang for lang, ok in zip(langs, learned, strict=True) if ok], totals[learned]
-    shares = (totals.sum(0) + 0.01) / (totals.sum() + 0.01 * BUCKETS)
-    logs = np.log((totals + SMOOTH * shares) / (totals.sum(1, keepdims=True) + SMOOTH))
-    return LanguageModel(langs, np.ascontiguousarray(logs.T, np.float32))
-
-
-def _mixture(likelihood: np.ndarray, top: np.ndarray, starts: np.ndarray, doc: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and log-likelihood of every document, of the languages allowed in it; segments lie document by document."""
-    counts = np.diff(np.append(starts, len(doc)))[:, None]
-    weights = allowed / allowed.sum(1, keepdims=True)
+    counted = known.mapInArrow(_counts, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    named = pc.dictionary_encode(counted["lang"].combine_chunks())
+    order = sorted(range(len(named.dictionary)), key=named.dictionary.to_pylist().__getitem__)
+    langs, place = [named.dictionary[i].as_py() for i in order], np.argsort(order).astype(np.int64)
+    where, buckets, n = place[named.indices.to_numpy()], counted["bucket"].to_numpy(), counted["n"].to_numpy()
+    totals, sums = np.bincount(buckets, n, BUCKETS), np.bincount(where, n, len(langs))
+    shares = (totals + 0.01) / (totals.sum() + 0.01 * BUCKETS)
+    logs = np.log(SMOOTH * shares).astype(np.float32)[:, None] - np.log(sums + SMOOTH).astype(np.float32)
+    logs[buckets, where] = np.log((n + SMOOTH * shares[buckets]) / (sums[where] + SMOOTH))
+    return LanguageModel(langs, logs)
+
+
+class _Segments:
+    """Log-likelihoods of the segments of some texts: held if they are few, else found anew for each pass over them."""
+
+    def __init__(self, buckets: np.ndarray, sizes: np.ndarray, model: LanguageModel) -> None:
+        self.buckets, self.logs, n, k = buckets, model.logs, len(sizes), len(model.langs)
+        self.counts = -(-sizes // SEGMENT)
+        self.doc = np.repeat(np.arange(n), self.counts)
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.cuts = (np.cumsum(sizes) - sizes)[self.doc] + SEGMENT * (np.arange(len(self.doc)) - self.starts[self.doc])
+        self.totals, self.top, self.held = np.zeros((n, k)), np.empty(len(self.doc)), []
+        held = len(self.doc) * k <= CELLS or n > 1
+        for a, b, logs in self._parts(None, k):
+            self.top[a:b] = logs.max(1)
+            if held:
+                self.held.append(logs)
+            else:
+                self.totals[0] += logs.sum(0)
+        if held:
+            logs = np.concatenate(self.held)
+            self.totals = np.add.reduceat(logs, self.starts, axis=0)
+            self.held = [np.exp(logs - self.top[:, None])]
+        self.highest = np.add.reduceat(self.top, self.starts)
+
+    def _parts(self, columns: np.ndarray | None, k: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        step = max(1, CELLS // (SEGMENT * k))
+        for a in range(0, len(self.cuts), step):
+            b = min(a + step, len(self.cuts))
+            begin, end = self.cuts[a], self.cuts[b] if b < len(self.cuts) else len(self.buckets)
+            rows = self.buckets[begin:end]
+            logs = self.logs[rows] if columns is None else self.logs[rows[:, None], columns]
+            yield a, b, np.add.reduceat(logs.astype(np.float64), self.cuts[a:b] - begin, axis=0) * TEMPER
+
+    def parts(self, chosen: np.ndarray, order: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Text of each segment, first segment of each text and relative likelihoods of the languages ``order`` of the
+        ``chosen`` texts; several parts only of a single text."""
+        if self.held:
+            counts, picked = self.counts[chosen], np.isin(self.doc, chosen)
+            doc = np.repeat(np.arange(len(chosen)), counts)
+            yield doc, np.cumsum(counts) - counts, np.take_along_axis(self.held[0][picked], order[doc], 1)
+        else:
+            for a, b, logs in self._parts(order[0], order.shape[1]):
+                yield np.zeros(b - a, np.int64), np.zeros(1, np.int64), np.exp(logs - self.top[a:b, None])
+
+
+def _mixture(segments: _Segments, chosen: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and log-likelihood of every chosen text, of the languages ``order`` in it."""
+    weights = np.full(order.shape, 1 / order.shape[1])
     for _ in range(ROUNDS):
-        share = weights[doc] * likelihood
-        share /= np.maximum(share.sum(1, keepdims=True), 1e-300)
-        fresh = np.add.reduceat(share, starts, axis=0) / counts
+        fresh = np.zeros(order.shape)
+        for doc, starts, likelihood in segments.parts(chosen, order):
+            share = weights[doc] * likelihood
+            share /= np.maximum(share.sum(1, keepdims=True), 1e-300)
+            fresh += np.add.reduceat(share, starts, axis=0)
+        fresh /= segments.counts[chosen][:, None]
         moved = np.abs(fresh - weights).max()
         weights = fresh
         if moved < 1e-4:
             break
-    logs = np.log(np.maximum((weights[doc] * likelihood).sum(1), 1e-300)) + top
-    return weights, np.add.reduceat(logs, starts)
+    found = segments.highest[chosen]
+    for doc, starts, likelihood in segments.parts(chosen, order):
+        found = found + np.add.reduceat(np.log(np.maximum((weights[doc] * likelihood).sum(1), 1e-300)), starts)
+    return weights, found
 
 
-def proportions(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
-    """For each text (each with a letter): shares of the languages of the chosen set, and the posterior of the best single language."""
-    buckets, sizes = grams_of(texts)
-    n, k = len(texts), len(model.langs)
-    segments = -(-sizes // SEGMENT)
-    doc = np.repeat(np.arange(n), segments)
-    starts = np.cumsum(segments) - segments
-    first = np.cumsum(sizes) - sizes
-    cuts = first[doc] + SEGMENT * (np.arange(len(doc)) - starts[doc])
-    logs = np.add.reduceat(model.logs[buckets].astype(np.float64), cuts, axis=0) * TEMPER
-    totals = np.add.reduceat(logs, starts, axis=0)
-    top = logs.max(1)
-    likelihood = np.exp(logs - top[:, None])
-    weights, _ = _mixture(likelihood, top, starts, doc, np.ones((n, k)))
-
+def _shares(segments: _Segments) -> tuple[np.ndarray, np.ndarray]:
+    totals, (n, k) = segments.totals, segments.totals.shape
+    everyone = np.arange(n)
     single = totals.argmax(1)
     posterior = 1 / np.exp(totals - totals.max(1, keepdims=True)).sum(1)
     best = np.zeros((n, k))
-    best[np.arange(n), single] = 1.0
-    penalty = np.log(segments + 1.0)
+    best[everyone, single] = 1.0
+    penalty = np.log(segments.counts + 1.0)
     bic = -2 * totals.max(1) + penalty
+    weights, _ = _mixture(segments, everyone, np.tile(np.arange(k), (n, 1)))
     order = np.argsort(-weights, axis=1, kind="stable")
-    rank = np.argsort(order, axis=1, kind="stable")
     for size in range(2, k + 1):
-        fitted, ll = _mixture(likelihood, top, starts, doc, (rank < size).astype(np.float64))
+        fitted, ll = _mixture(segments, everyone, order[:, :size])
         now = -2 * ll + size * penalty
-        gains = now < bic - 1e-9
-        if not gains.any():
+        gains = np.flatnonzero(now < bic - 1e-9)
+        if not len(gains):
             break
-        best[gains], bic[gains] = fitted[gains], now[gains]
+        best[gains], bic[gains] = 0.0, now[gains]
+        best[gains[:, None], order[gains, :size]] = fitted[gains]
     return best, posterior
 
 
+def proportions(texts: list[str], model: LanguageModel) -> Iterator[tuple[np.ndarray, float]]:
+    """For each text (each with a letter): shares of the languages of the chosen set, and the posterior of the best single
+    language. Texts are taken so many at a time that memory doesn't grow with languages; one that is too long goes alone."""
+    buckets, sizes = grams_of(texts)
+    cells = -(-sizes // SEGMENT) * len(model.langs)
+    long, step = cells > CELLS, np.cumsum(np.where(cells > CELLS, 0, cells)) // CELLS
+    cuts = [0, *(np.flatnonzero((np.diff(step) > 0) | long[1:] | long[:-1]) + 1).tolist(), len(texts)]
+    ends = np.append(0, np.cumsum(sizes))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield from zip(*_shares(_Segments(buckets[ends[a] : ends[b]], sizes[a:b], model)), strict=True)
+
+
 def _predict(model: LanguageModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in steps(batches, struct_text):
         with_letter = [i for i, t in enumerate(texts) if has_letter(t)] if model.langs else []
         preds, scores, shares = [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in texts]
         if with_letter:
-            found, posterior = proportions([texts[i] for i in with_letter], model)
-            for i, row, sure in zip(with_letter, found, posterior, strict=True):
+            found = proportions([texts[i] for i in with_letter], model)
+            for i, (row, sure) in zip(with_letter, found, strict=True):
                 best = int(row.argmax())
                 preds[i], scores[i] = model.langs[best], float(row[best] * (sure if row[best] == 1.0 else 1.0))
                 shares[i] = [{"lang": model.langs[j], "share": float(row[j])} for j in np.flatnonzero(row > 0)]

@@ -1,5 +1,9 @@
+import random
+
+import numpy as np
 from edges import as_set, documents, empty, prose
 
+from filmloom.llm import language
 from filmloom.llm.language import fit_languages, predict_languages
 from filmloom.llm.queries import QUERIES
 
@@ -47,3 +51,29 @@ def test_query_on_the_held_out_fold(spark):
     found = QUERIES["op3_language"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id")
     assert found.count() == 1000
     assert found.filter("held_out AND lang_pred <> lang").count() <= 3
+
+
+def _tongue(spark, n):
+    """So many languages of ten words each, all of the same letters."""
+    rng = random.Random(7)
+    words = [["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(10)] for _ in range(n)]
+    rows = [(2 * i + j, " ".join(rng.choice(words[i]) for _ in range(60)), f"l{i:03}") for i in range(n) for j in range(2)]
+    more = [(9000 + i, "12 34", f"none{i}") for i in range(200) for _ in range(3)]  # codes without a letter take no place
+    return spark.createDataFrame(rows + more, "doc_id bigint, text string, lang string")
+
+
+def test_every_language_with_a_letter_is_learned(spark):
+    docs = _tongue(spark, 200)
+    model = fit_languages(docs)
+    assert model.langs == [f"l{i:03}" for i in range(200)]
+    for r in predict_languages(docs, model).collect():
+        assert r["lang_pred"] == (r["row"]["lang"] if r["row"]["doc_id"] < 9000 else "und")
+
+
+def test_parts_of_a_long_text_give_the_same_shares(spark, monkeypatch):
+    _, model = _learned(spark)
+    text = prose(900, "en", 3000) + " " + prose(901, "fr", 1000)
+    ((whole, sure),) = language.proportions([text], model)
+    monkeypatch.setattr("filmloom.llm.language.CELLS", 600)
+    ((parts, again),) = language.proportions([text], model)
+    assert np.allclose(whole, parts) and np.isclose(sure, again) and (whole > 0).sum() == 2
