@@ -122,7 +122,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
     ``labels`` (doc_id, quality) holds only rows that may be learned from; null ids and labels are left out, labels of
     one id that disagree count as bad. ``host`` and ``path`` are columns of ``docs``; nulls are sites of their own.
     Null, empty and wordless texts are scored by their (empty) shape. Without labels, or of one kind only, scores are
-    those of the fit's prior. Repeated rows each count and come back. Other columns are not read.
+    those of the fit's prior. Repeated rows each count for their sites and come back; the fits learn from one row of an id,
+    that with the smallest numbers. Other columns are not read.
     """
     fields = docs.select(F.col("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), F.col("text"))
     shaped = materialise(fields.mapInArrow(_shapes, added(fields.drop("text"), "shape array<double>")), "shapes")
@@ -132,7 +133,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     )
     chosen = F.broadcast(materialise(chosen, "labelled"))
-    sample = shaped.join(chosen, "doc_id").select("shape", "good").toPandas()
+    sample = shaped.join(chosen, "doc_id").groupBy("doc_id").agg(F.min("shape").alias("shape"), F.min("good").alias("good")).drop("doc_id").toPandas()
     shapes = np.stack([np.asarray(s) for s in sample["shape"]]) if len(sample) else np.empty((0, SHAPES))
     model = fit_shapes(shapes, (sample["good"] > 0).to_numpy(np.float64))
 
@@ -153,7 +154,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
     posterior = (F.col("s") - F.col("p") + path_prior * F.col("host_posterior")) / (F.col("n") - 1 + path_prior)
     placed = judged.join(sites, same, "left").select("doc_id", "odds", "p", "host_posterior", posterior.alias("path_posterior"))
     placed = placed.withColumn("shift", _logit(F.col("path_posterior")) - _logit(F.lit(mean)))
-    fit = placed.join(chosen, "doc_id").select("odds", "shift", "good").toPandas()
+    least = placed.join(chosen, "doc_id").groupBy("doc_id").agg(F.min(F.struct("odds", "shift")).alias("row"), F.min("good").alias("good"))
+    fit = least.select("row.*", "good").toPandas()
     weights = [0.0, 1.0, 0.0]
     if 0 < (fit["good"] > 0).sum() < len(fit):
         weights = logistic(fit[["odds", "shift"]].to_numpy(np.float64), (fit["good"] > 0).to_numpy(np.float64)).tolist()

@@ -108,12 +108,12 @@ def probability(evidence: float, model: ToxicityModel) -> float:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold each word: all of them, the clean and the toxic ones."""
+    """Documents that hold each word: those without a label (the corpus), the clean and the toxic ones."""
     held: tuple[Counter, Counter, Counter] = (Counter(), Counter(), Counter())
     size = 0
 
     def handed() -> pa.RecordBatch:
-        words = list(held[0])
+        words = list(set().union(*held))
         counts = [pa.array([h[w] for w in words], pa.int64()) for h in held]
         for h in held:
             h.clear()
@@ -122,12 +122,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in steps(batches, lambda b: b.column("text")):
         for text, label in zip(texts, batch.column("label").to_pylist(), strict=True):
             if text:
-                present = set(words_of(text))
-                held[0].update(present)
-                if label is not None:
-                    held[1 + (label > 0)].update(present)
+                held[0 if label is None else 1 + (label > 0)].update(set(words_of(text)))
                 size += len(text)
-                if len(held[0]) >= HELD_WORDS or size >= HELD_BYTES:
+                if sum(map(len, held)) >= HELD_WORDS or size >= HELD_BYTES:
                     yield handed()
                     size = 0
     yield handed()
@@ -192,16 +189,17 @@ def _known(batch: pa.RecordBatch, sent: dict[bytes, float], rows: int) -> Iterat
 
 
 def _best(model: ToxicityModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of words and scores of the maximal segments of each labelled document."""
+    """Number of words and score of the best segment of each labelled document, and its evidence."""
     for batch, texts in steps(batches, struct_text):
-        lengths, segments = [], []
+        lengths, best, evidence = [], [], []
         for text, known in zip(texts, _known(batch, model.scores, len(texts)), strict=True):
             scores = scores_of(words_of(text or ""), known, model.drift)
             lengths.append(len(scores))
-            segments.append([s for _, _, s in maximal_segments(scores) if s >= 1.0])
+            best.append(max((s for _, _, s in maximal_segments(scores) if s >= 1.0), default=0.0))
+            evidence.append(evidence_of(passages_of(scores, model)))
         yield pa.RecordBatch.from_arrays(
-            [pc.struct_field(batch.column("row"), "label"), pa.array(lengths, pa.int64()), pa.array(segments, pa.list_(pa.float64()))],
-            names=["label", "n", "segments"],
+            [pc.struct_field(batch.column("row"), "label"), pa.array(lengths, pa.int64()), pa.array(best, pa.float64()), pa.array(evidence, pa.float64())],
+            names=["label", "n", "best", "evidence"],
         )
 
 
@@ -232,8 +230,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic), which holds only rows that may be learned from.
 
     Corpus counts come from every document and are exact. The classes come from at most ``max_labelled`` labelled ids, those with
-    the smallest hashes, so their list can be sent to every task. Labels of one id that disagree count as toxic; null
-    labels and ids are left out. Without both classes every document has the same score.
+    the smallest hashes, so their list can be sent to every task. Labels of one id that disagree count as toxic, and of
+    its rows only that with the smallest text is learned from; null labels and ids are left out. Without both classes every document has the same score.
     """
     chosen = (
         labels.select("doc_id", F.col("toxic").cast("int").alias("label")).dropna()
@@ -241,7 +239,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     )
     sample = F.broadcast(chosen)
-    texts = docs.select("doc_id", "text").join(sample, "doc_id", "left").select("text", "label")
+    labelled = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    labelled = materialise(labelled.select("text", "label"), "labelled")
+    texts = docs.select("text", F.lit(None).cast("int").alias("label")).union(labelled)
     counts = texts.mapInArrow(_counts, "word binary, n bigint, clean bigint, toxic bigint")
     counts = counts.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "clean", "toxic")])
     scored = materialise(word_scores(materialise(counts, "words")), "scored-words")
@@ -256,20 +256,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
         found = scored.select("word", "score").toArrow()
         model.scores = dict(zip(found["word"].to_pylist(), found["score"].to_pylist(), strict=True))
 
-    labelled = packed(docs.select("doc_id", "text").join(sample, "doc_id").select("text", "label"))
-    found = _in_tasks(labelled, model, _best, "label int, n bigint, segments array<double>").toArrow()
+    # Once for K, then for the evidence that depends on it; numbers of the labelled ids are all that comes to the driver.
+    fields = "label int, n bigint, best double, evidence double"
+    found = _in_tasks(packed(labelled), model, _best, fields).select("label", "n", "best").toArrow()
     if found.num_rows:
-        n, toxic = found["n"].to_numpy().astype(np.float64), found["label"].to_numpy() > 0
-        segments = found["segments"].combine_chunks()
-        of, sums = pc.list_parent_indices(segments).to_numpy(), pc.list_flatten(segments).to_numpy()
-        best = np.zeros(len(n))
-        np.maximum.at(best, of, sums)
+        n, best, toxic = found["n"].to_numpy().astype(np.float64), found["best"].to_numpy(), found["label"].to_numpy() > 0
         clean = ~toxic & (n > 0)
         if clean.any():
             model.k = float(clean.sum() / (n[clean] * np.exp(-model.lam * best[clean])).sum())
-        logs = model.lam * sums - np.log(np.maximum(model.k * n[of], 1e-300))
-        evidence = np.bincount(of, np.where(logs >= -np.log(MAX_EXPECTED), logs, 0.0), len(n))
-        model.intercept, model.slope = logistic(np.log1p(evidence), toxic.astype(np.float64))
+        found = _in_tasks(packed(labelled), model, _best, fields).select("label", "evidence").toArrow()
+        model.intercept, model.slope = logistic(np.log1p(found["evidence"].to_numpy()), (found["label"].to_numpy() > 0).astype(np.float64))
     return model
 
 

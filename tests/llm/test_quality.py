@@ -79,3 +79,12 @@ def test_query_on_the_held_out_fold(spark):
     assert len(rows) == 1000
     held = [r for r in rows if r["held_out"] and r["quality"] is not None]
     assert sum(r["predicted"] != r["quality"] for r in held) <= 2
+
+
+def test_a_repeated_labelled_id_is_learned_from_once(spark, monkeypatch):
+    good, bad = _mixed()
+    docs = documents(spark, good + bad + [(300, bad[0][1], "en")] * 300)
+    fitted = []
+    monkeypatch.setattr("filmloom.llm.quality.fit_shapes", lambda shapes, y: fitted.append(len(shapes)) or fit_shapes(shapes, y))
+    rows = _judged(spark, docs, [(i, 1) for i, *_ in good] + [(i, 0) for i, *_ in bad]).collect()
+    assert fitted == [120] and len(rows) == docs.count()

@@ -105,3 +105,12 @@ def test_too_many_scored_words_are_joined(spark, monkeypatch):
     model = fit_toxicity(docs, labels)
     assert model.scored is not None and not model.scores
     assert as_set(score_toxicity(docs, model)) == sent
+
+
+def test_a_repeated_labelled_id_is_learned_from_once(spark, monkeypatch):
+    docs, labels = _labelled(spark)
+    often = documents(spark, [(1, f"{prose(800)} oddity", "en")] * 400).filter("source = 'src9'")
+    fitted = []
+    monkeypatch.setattr("filmloom.llm.toxicity.logistic", lambda x, y: fitted.append(len(x)) or (0.0, 1.0))
+    model = fit_toxicity(docs.union(often), labels.filter("doc_id <> 1").union(spark.createDataFrame([(1, 1)], "doc_id bigint, toxic int")))
+    assert fitted == [60 + 200 + 2] and b"oddity" not in model.scores
