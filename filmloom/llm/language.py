@@ -5,7 +5,7 @@ A text is cut to words (as in ``words_of``, without digits), joined by blanks, a
 ``SEGMENT`` 3-grams are a segment, written in one language; the shares of the languages in a document are the weights
 that expectation-maximisation finds for its segments. Neighbouring 3-grams share letters, so log-likelihoods count
 ``TEMPER`` only. The set of languages is the one with the least BIC among the best single language and the 2, 3, ...
-most weighted ones, each fitted anew; sets grow until no document of the step gains.
+most weighted ones, each fitted anew; sets grow until a bound of the document's own rules out any gain.
 """
 
 from __future__ import annotations
@@ -150,18 +150,19 @@ class _Segments:
 
 
 def _mixture(segments: _Segments, chosen: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and log-likelihood of every chosen text, of the languages ``order`` in it."""
-    weights = np.full(order.shape, 1 / order.shape[1])
+    """Weights and log-likelihood of every chosen text, of the languages ``order`` in it; each text ends by itself."""
+    weights, moving = np.full(order.shape, 1 / order.shape[1]), np.arange(len(chosen))
     for _ in range(ROUNDS):
-        fresh = np.zeros(order.shape)
-        for doc, starts, likelihood in segments.parts(chosen, order):
-            share = weights[doc] * likelihood
+        fresh = np.zeros((len(moving), order.shape[1]))
+        for doc, starts, likelihood in segments.parts(chosen[moving], order[moving]):
+            share = weights[moving][doc] * likelihood
             share /= np.maximum(share.sum(1, keepdims=True), 1e-300)
             fresh += np.add.reduceat(share, starts, axis=0)
-        fresh /= segments.counts[chosen][:, None]
-        moved = np.abs(fresh - weights).max()
-        weights = fresh
-        if moved < 1e-4:
+        fresh /= segments.counts[chosen[moving]][:, None]
+        moved = np.abs(fresh - weights[moving]).max(1)
+        weights[moving] = fresh
+        moving = moving[moved >= 1e-4]
+        if not len(moving):
             break
     found = segments.highest[chosen]
     for doc, starts, likelihood in segments.parts(chosen, order):
@@ -171,23 +172,28 @@ def _mixture(segments: _Segments, chosen: np.ndarray, order: np.ndarray) -> tupl
 
 def _shares(segments: _Segments) -> tuple[np.ndarray, np.ndarray]:
     totals, (n, k) = segments.totals, segments.totals.shape
-    everyone = np.arange(n)
     single = totals.argmax(1)
     posterior = 1 / np.exp(totals - totals.max(1, keepdims=True)).sum(1)
     best = np.zeros((n, k))
-    best[everyone, single] = 1.0
+    best[np.arange(n), single] = 1.0
     penalty = np.log(segments.counts + 1.0)
     bic = -2 * totals.max(1) + penalty
-    weights, _ = _mixture(segments, everyone, np.tile(np.arange(k), (n, 1)))
-    order = np.argsort(-weights, axis=1, kind="stable")
+    # No mixture is likelier than the best language of each segment, so a text is done when that bound can't gain.
+    able = lambda size: np.flatnonzero(-2 * segments.highest + size * penalty < bic - 1e-9)
+    order, chosen = np.zeros((n, k), np.int64), able(2)
+    if len(chosen) and k > 1:
+        weights, _ = _mixture(segments, chosen, np.tile(np.arange(k), (len(chosen), 1)))
+        order[chosen] = np.argsort(-weights, axis=1, kind="stable")
     for size in range(2, k + 1):
-        fitted, ll = _mixture(segments, everyone, order[:, :size])
-        now = -2 * ll + size * penalty
-        gains = np.flatnonzero(now < bic - 1e-9)
-        if not len(gains):
+        chosen = able(size)
+        if not len(chosen):
             break
-        best[gains], bic[gains] = 0.0, now[gains]
-        best[gains[:, None], order[gains, :size]] = fitted[gains]
+        fitted, ll = _mixture(segments, chosen, order[chosen, :size])
+        now = -2 * ll + size * penalty[chosen]
+        ok = now < bic[chosen] - 1e-9
+        gains = chosen[ok]
+        best[gains], bic[gains] = 0.0, now[ok]
+        best[gains[:, None], order[gains, :size]] = fitted[ok]
     return best, posterior
 
 

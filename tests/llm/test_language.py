@@ -77,3 +77,13 @@ def test_parts_of_a_long_text_give_the_same_shares(spark, monkeypatch):
     monkeypatch.setattr("filmloom.llm.language.CELLS", 600)
     ((parts, again),) = language.proportions([text], model)
     assert np.allclose(whole, parts) and np.isclose(sure, again) and (whole > 0).sum() == 2
+
+
+def test_shares_do_not_depend_on_the_neighbours(spark):
+    _, model = _learned(spark)
+    rng = random.Random(3)
+    texts = [prose(i, "en", rng.randint(20, 80)) + " " + prose(i + 50, rng.choice(("de", "fr")), rng.randint(1, 60)) + " " + prose(i + 90, "fr", rng.randint(1, 40)) for i in range(60)]
+    together = list(language.proportions(texts, model))
+    for text, (shares, sure) in zip(texts, together, strict=True):
+        ((alone, own),) = language.proportions([text], model)
+        assert np.array_equal(alone, shares) and own == sure
