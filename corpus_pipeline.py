@@ -29,8 +29,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a main language: not those without letters, nor even mixtures of several languages."""
-    found = predict_languages(docs, fit_languages(docs.filter(remainder(3) != 1)))
+    """Documents with a main language: not those without letters, nor even mixtures of several languages.
+
+    Where no language could be learned, all documents with letters.
+    """
+    model = fit_languages(docs.filter(remainder(3) != 1))
+    if not model.langs:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = predict_languages(docs, model)
     main = F.array_max(F.col("shares.share"))
     return found.filter((F.col("lang_pred") != UNKNOWN) & (main >= LEAST_SHARE)).select("row.*")
 

@@ -65,3 +65,10 @@ def test_empty_documents(spark, folder_of):
 def test_no_labels_and_no_benchmark_reject_no_prose(spark, folder_of):
     rows = corpus_pipeline.run(spark, folder_of(documents(spark))).collect()
     assert {1, 2, 3} <= {r["doc_id"] for r in rows}
+
+
+def test_without_any_language_documents_with_letters_stay(spark, folder_of):
+    docs = documents(spark).drop("lang").selectExpr("*", "CAST(NULL AS STRING) AS lang")
+    found = corpus_pipeline.language(spark, docs, folder_of(docs))
+    assert found.columns == docs.columns
+    assert {r["doc_id"] for r in found.collect()} == {None, 1, 2, 3, 4, 9, 10, 11, 12, 13, 14, 16}
