@@ -12,13 +12,16 @@ from filmloom.llm.chat import format_conversations, loss_text, parse_turn, text_
 from filmloom.llm.common import remainder, table
 from filmloom.llm.decontaminate import benchmark_hits
 from filmloom.llm.knn import integer_vectors, top_products
+from filmloom.llm.jaccard import jaccard_components
 from filmloom.llm.language import fit_languages, predict_languages
+from filmloom.llm.lexical import ranked_documents
 from filmloom.llm.lexicon_bpe import encode_documents
 from filmloom.llm.quality import score_quality
 from filmloom.llm.sharding import assign_shards
 from filmloom.llm.simhash import near_duplicates
 from filmloom.llm.token_files import read_token_files, write_token_files
 from filmloom.llm.toxicity import fit_toxicity, score_toxicity
+from filmloom.llm.whitening import integer_rows, long_deviation, whiten
 from filmloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,3 +194,39 @@ def op6_quality(spark, sf_dir):
         "doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "evidence", "host_posterior", "path_posterior",
     )
+
+
+@query("op11_jaccard_join")
+def op11_jaccard_join(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+TERMS_SQL = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+OP12_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {TERMS_SQL} AS w FROM documents),
+b AS (SELECT item_id, row_number() OVER () AS i, {TERMS_SQL} AS w FROM benchmark),
+n AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM d WHERE len(w) > 0),
+p AS (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM p GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT DISTINCT i, item_id, unnest(w) AS term FROM b),
+s AS (
+  SELECT i, item_id, r, doc_id,
+         CAST(sum(CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+                  * ((1000000000 * tf) // (1000 * tf + 8 * (10 + ((90 * tf.n * docs) // words))))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term), n GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query("op12_lexical_search", OP12_SQL)
+def op12_lexical_search(spark, sf_dir):
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    found = whiten(integer_rows(table(spark, sf_dir, "embeddings")))
+    return found.select(F.col("id").alias("vec_id"), "component", "n", long_deviation().alias("deviation"), "whitened", "explained", "identity_error")
