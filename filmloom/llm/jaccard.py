@@ -41,7 +41,7 @@ PERCENT = 90
 #: Share of the n-grams that the first round counts, as a bound of the hash.
 SAMPLE = 1 << 62
 #: Sets and n-grams of a group that a task joins at once; a larger bundle is cut into parts of half the size.
-SETS, TOKENS = 2_048, 4_000_000
+SETS, TOKENS = 512, 1_000_000
 #: N-grams on one edge of the trie, at most: what is pruned is looked at after each.
 RUN = 32
 
