@@ -8,10 +8,12 @@ strings, never from comparing every pair, and the exact distance decides.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filmloom.operators.search import Index, query_terms, term_hits
+from filmloom.operators.index import Index, hash_bucket
+from filmloom.operators.search import query_terms, term_hits
 from filmloom.operators.skew import each_once, fits_broadcast, skew_join
 from filmloom.session import materialise
 
@@ -68,23 +70,50 @@ def within(a: Column, b: Column, budget: Column) -> Column:
     )
 
 
-def close_terms(asked: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Pairs ``(asked, term)`` within the budget of the asked term."""
+def vocabulary_rests(vocabulary: DataFrame) -> DataFrame:
+    """``term, rest, b``: each distinct term with what is left of it after ``b`` deletions.
+
+    An asked term that may lose one character keeps two at least, one that may lose two keeps four, so shorter
+    left-overs cannot meet any.
+    """
+    rests = each_once(vocabulary, "term").select("term", F.explode(leftovers(F.col("term"))).alias("l"))
+    return rests.select("term", "l.rest", F.col("l.deleted").alias("b")).filter((F.col("b") == 0) | (F.length("rest") >= 2 * F.col("b")))
+
+
+def dictionary(index: Index) -> DataFrame:
+    """``term, rest, b, bucket``: the left-overs of the index's terms, in folders by hash of the left-over.
+
+    They are written once for each generation of the index, by the first who asks.
+    """
+    kind, place = "term string, rest string, b int, bucket int", f"{index.path}/rests"
+    for gen in index.gens:
+        try:
+            index.spark.read.schema("gen int").parquet(f"{place}/written/{gen}")
+        except AnalysisException:
+            # What the generation adds; its terms may be known to an earlier one.
+            terms = index.rows("blocks", "term string, level int").filter((F.col("gen") == gen) & F.col("level").isNotNull())
+            rests = vocabulary_rests(terms).withColumn("bucket", hash_bucket("rest", index.buckets)).hint("rebalance", "bucket")
+            rests.sortWithinPartitions("bucket", "rest").write.mode("overwrite").partitionBy("bucket").parquet(f"{place}/rows/gen={gen}")
+            index.spark.createDataFrame([(gen,)], "gen int").coalesce(1).write.mode("overwrite").parquet(f"{place}/written/{gen}")
+    found = index.rows("rests/rows", kind).drop("gen")
+    return found if len(index.gens) == 1 else found.distinct()
+
+
+def close_terms(asked: DataFrame, rests: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Pairs ``(asked, term)`` within the budget of the asked term. ``rests``: ``vocabulary_rests``, or a ``dictionary``
+    of so many buckets, of which only the folders of the asked terms' left-overs are read."""
     left = asked.select("asked").distinct().withColumn("budget", edit_budget(F.col("asked")))
     left = left.select("asked", "budget", F.explode(leftovers(F.col("asked"))).alias("l"))
     left = left.select("asked", "budget", "l.rest", F.col("l.deleted").alias("a")).filter("a <= budget")
     left = materialise(left, "asked-terms")
-    # An asked term that may lose one character keeps two at least, one that
-    # may lose two keeps four, so shorter left-overs cannot meet any.
-    right = each_once(vocabulary, "term").select("term", F.explode(leftovers(F.col("term"))).alias("l"))
-    right = right.select("term", "l.rest", F.col("l.deleted").alias("b")).filter(
-        (F.col("b") == 0) | (F.length("rest") >= 2 * F.col("b"))
-    )
+    if buckets:
+        # At most ``buckets`` numbers.
+        places = [r[0] for r in left.select(hash_bucket("rest", buckets)).distinct().collect()]
+        rests = rests.filter(F.col("bucket").isin(places)).drop("bucket")
     if fits_broadcast(left):
-        pairs = right.join(F.broadcast(left), "rest")
+        pairs = rests.join(F.broadcast(left), "rest")
     else:
-        right = materialise(right, "vocabulary-rests")
-        pairs = skew_join(right, left, ["rest"], "inner", salt_by=["term"])
+        pairs = skew_join(rests if buckets else materialise(rests, "vocabulary-rests"), left, ["rest"], "inner", salt_by=["term"])
     near = (F.col("b") <= F.col("budget")) & (F.abs(F.length("term") - F.length("asked")) <= F.col("budget"))
     return (
         pairs.filter(near)
@@ -97,7 +126,7 @@ def close_terms(asked: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 def fuzzy_matches(queries: DataFrame, index: Index) -> DataFrame:
     """Distinct ``(query_key, doc)`` with a term close to a query term, in any field."""
-    asked = query_terms(queries, index.fields).select("query_key", "field", F.col("term").alias("asked"))
-    close = close_terms(asked, index.vocabulary)
-    expanded = asked.join(close, "asked").select("query_key", "field", "term").distinct()
+    asked = materialise(query_terms(queries, index.fields).select("query_key", "field", F.col("term").alias("asked")), "query-terms")
+    close = close_terms(asked, dictionary(index), index.buckets)
+    expanded = materialise(asked.join(close, "asked").select("query_key", "field", "term").distinct(), "close-terms")
     return term_hits(index, expanded).select("query_key", "doc").distinct()

@@ -13,7 +13,8 @@ from filmloom.catalog import Catalog
 from filmloom.operators.filters import lookup
 from filmloom.operators.paging import envelope, page, pages_for, result_order
 from filmloom.operators.projections import full_film, partial_film, partial_genre, partial_person
-from filmloom.operators.search import Index, query_key, score
+from filmloom.operators.index import Index
+from filmloom.operators.search import query_key, score, top_scores
 from filmloom.operators.skew import skew_join
 from filmloom.plans.documents import admin_rows, genre_pairs, person_pairs, restrict
 from filmloom.session import materialise
@@ -118,19 +119,25 @@ def film_search(requests: DataFrame, films: DataFrame, index: Index | None, link
     return partial_film(_filled(hits, films), "request_id", "place")
 
 
+def _wanted(requests: DataFrame) -> DataFrame:
+    """``query, k``: how many documents of each query the pages reach."""
+    return requests.select("query", (F.col("page_number") * F.col("page_size")).alias("k"))
+
+
 def _searched(requests: DataFrame, index: Index, links: DataFrame) -> DataFrame:
-    scored = score(requests, index).withColumnRenamed("doc", "id")
-    pairs = materialise(requests.filter(F.col("genre_id").isNotNull()).select("query_key", "genre_id").distinct(), "query-genres")
-    # The films of the genres asked for, with the queries that ask: a genre that many queries ask for is salted by its films.
-    asked = skew_join(links.distinct(), pairs, ["genre_id"], "inner", salt_by=["id"], measure=links.select("genre_id"))
-    # One row for each query and film on either side, so nothing is hot here.
-    by_genre = scored.join(asked, ["query_key", "id"])
-    plain = scored.withColumn("genre_id", F.lit(None).cast(links.schema["genre_id"].dataType))
+    within, plain = requests.filter(F.col("genre_id").isNotNull()), requests.filter(F.col("genre_id").isNull())
+    pairs = materialise(within.select("query_key", "genre_id").distinct(), "query-genres")
+    matched = top_scores(_wanted(plain), index).select("query_key", "doc", F.lit(None).cast(links.schema["genre_id"].dataType).alias("genre_id"), "score")
+    if not pairs.isEmpty():
+        # The films of the genres asked for, with the queries that ask: a genre that many queries ask for is salted by its films.
+        asked = skew_join(links.distinct(), pairs, ["genre_id"], "inner", salt_by=["id"], measure=links.select("genre_id"))
+        # One row for each query and film on either side, so nothing is hot here.
+        by_genre = score(within, index).join(asked.withColumnRenamed("id", "doc"), ["query_key", "doc"])
+        matched = matched.unionByName(by_genre)
     # A search without a genre is a group of its own.
     group = F.concat("query_key", F.lit("/"), F.coalesce(F.col("genre_id").cast("string"), F.lit("*")))
-    matched = by_genre.unionByName(plain).select(group.alias("search"), "id", "score")
     wanted = requests.select("request_id", group.alias("search"), "page_number", "page_size")
-    return pages_for(wanted, matched, result_order(score="score"), ["search"])
+    return pages_for(wanted, matched.select(group.alias("search"), F.col("doc").alias("id"), "score"), result_order(score="score"), ["search"])
 
 
 def _filled(hits: DataFrame, rows: DataFrame) -> DataFrame:
@@ -141,7 +148,7 @@ def _filled(hits: DataFrame, rows: DataFrame) -> DataFrame:
 def person_search(requests: DataFrame, persons: DataFrame, index: Index) -> DataFrame:
     """Pages of people whose name shares a term with ``query``."""
     asked = requests.withColumn("query_key", query_key()).drop("query")
-    scored = score(requests, index).withColumnRenamed("doc", "id")
+    scored = top_scores(_wanted(requests), index).withColumnRenamed("doc", "id")
     hits = pages_for(asked, scored, result_order(score="score"), ["query_key"]).select("request_id", "place", "id")
     return partial_person(_filled(hits, persons), "request_id", "place")
 

@@ -57,7 +57,7 @@ def r1_film_search(spark, sf_dir):
     texts = benchmark(spark, sf_dir)
     plain = texts.select((2 * F.col("item_id")).alias("request_id"), "query", F.lit(None).cast("bigint").alias("genre_id"))
     within = texts.select((2 * F.col("item_id") + 1).alias("request_id"), "query", F.col("item_id").alias("genre_id"))
-    cat, index = documents_catalog(spark, sf_dir), film_index(spark, sf_dir, texts)
+    cat, index = documents_catalog(spark, sf_dir), film_index(spark, sf_dir)
     requests = _paged(plain.unionByName(within), 1, 50)
     return _placed(req.film_search(requests, req.listing_fields(cat.film), index, genre_pairs(cat)))
 
@@ -186,7 +186,7 @@ JOIN customer ON c_custkey = doc WHERE place <= 50""",
 )
 def r7_person_search(spark, sf_dir):
     requests = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("request_id"), F.col("s_name").alias("query"))
-    return _placed(req.person_search(_paged(requests, 1, 50), customers(spark, sf_dir), people_index(spark, sf_dir, requests)))
+    return _placed(req.person_search(_paged(requests, 1, 50), customers(spark, sf_dir), people_index(spark, sf_dir)))
 
 
 @query(

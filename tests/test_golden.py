@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from filmloom.catalog import FILM_DOCUMENT
 from filmloom.operators.aggregates import genre_documents, roles_of_persons
 from filmloom.operators.checks import conform
-from filmloom.operators.search import FILM_FIELDS, PERSON_FIELDS, build_index
+from filmloom.operators.index import FILM_FIELDS, PERSON_FIELDS, build_index
 from filmloom.plans import requests as req
 from filmloom.plans.documents import film_documents, genre_pairs
 

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from filmloom.functions import text
+from filmloom.operators import index as idx
 from filmloom.operators import search as srch
-from filmloom.operators.fuzzy import close_terms, edit_budget, fuzzy_matches, within
+from filmloom.operators.fuzzy import close_terms, edit_budget, fuzzy_matches, vocabulary_rests, within
 
 
 def analyse(spark, value, fn=text.mixed_terms):
@@ -61,7 +62,7 @@ DOCS = [
     (4, None, "nothing here at all " * 20, ["Zed"], ["comedy"]),
 ]
 QUERIES = ["star", "stars lee", "war", "drama", "star star", "the", "comedy zed film", "absent"]
-FIELDS = (srch.Field("title"), srch.Field("description"), srch.Field("names"), srch.Field("kinds", "keyword"))
+FIELDS = (idx.Field("title"), idx.Field("description"), idx.Field("names"), idx.Field("kinds", "keyword"))
 
 
 @pytest.fixture(scope="module")
@@ -71,7 +72,7 @@ def docs(spark):
 
 @pytest.fixture(scope="module")
 def index(docs):
-    return srch.build_index(docs, FIELDS)
+    return idx.build_index(docs, FIELDS)
 
 
 @pytest.fixture(scope="module")
@@ -131,10 +132,10 @@ def test_hot_terms_are_salted_to_the_same_hits(spark, index, monkeypatch):
 
 def test_a_written_index_answers_alike(spark, docs, index, folder):
     frame = spark.createDataFrame([(q,) for q in QUERIES], "query string")
-    srch.write_index(docs, FIELDS, folder, buckets=8)
-    opened = srch.open_index(spark, folder, FIELDS, frame, buckets=8)
+    idx.write_index(docs, FIELDS, folder, buckets=8)
+    opened = idx.open_index(spark, folder, FIELDS)
     assert sorted(map(tuple, srch.score(frame, opened).collect())) == sorted(map(tuple, srch.score(frame, index).collect()))
-    plan = opened.postings._jdf.queryExecution().toString()
+    plan = srch.term_hits(opened, srch.weighted_terms(frame, opened))._jdf.queryExecution().toString()
     assert "PartitionFilters: [" in plan and "bucket" in plan
 
 
@@ -143,10 +144,10 @@ def test_exact_and_nested(spark, docs):
     links = lambda c: docs.select(F.col("id").alias("doc"), F.explode(c).alias("id"))
     members = lambda c: docs.select(F.explode(c).alias("id")).distinct().select("id", F.col("id").alias("name"))
     asked = spark.createDataFrame([("drama",), ("dram",), (None,)], "query string")
-    found = srch.member_matches(asked, members("kinds"), links("kinds"), srch.Field("name"), analysed=False)
+    found = srch.member_matches(asked, members("kinds"), links("kinds"), idx.Field("name"), analysed=False)
     assert sorted(map(tuple, found.collect())) == [("drama", 1), ("drama", 2)]
     people = spark.createDataFrame([("Lee Camp",)], "query string")
-    found = srch.member_matches(people, members("names"), links("names"), srch.Field("name"))
+    found = srch.member_matches(people, members("names"), links("names"), idx.Field("name"))
     assert sorted(r["doc"] for r in found.collect()) == [1, 3]
 
 
@@ -188,7 +189,7 @@ def test_close_terms_equal_all_pairs(spark, vocabulary):
     asked = vocabulary[::4] + ["camp", "cmap", "ca", "abc"]
     got = close_terms(
         spark.createDataFrame([(a,) for a in asked], "asked string"),
-        spark.createDataFrame([(v,) for v in vocabulary], "term string"),
+        vocabulary_rests(spark.createDataFrame([(v,) for v in vocabulary], "term string")),
     )
     want = {(a, v) for a in set(asked) for v in vocabulary if osa_all(a, v) <= budget(a)}
     assert {tuple(r) for r in got.collect()} == want
@@ -211,6 +212,6 @@ def test_edit_budget(spark):
 def test_fuzzy_search_finds_a_swapped_name(spark):
     docs = spark.createDataFrame([(1, "Greg Camp"), (2, "boot damp"), (3, "Cmap"), (4, "campus"), (5, "cost")], "id int, title string")
     frame = spark.createDataFrame([("camp",)], "query string")
-    found = fuzzy_matches(frame, srch.build_index(docs, (srch.Field("title"),)))
+    found = fuzzy_matches(frame, idx.build_index(docs, (idx.Field("title"),)))
     assert sorted(r["doc"] for r in found.collect()) == [1, 2, 3]
     assert re.match("^[0-9a-f]{32}$", found.first()["query_key"])
