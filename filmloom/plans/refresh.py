@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filmloom.catalog import Catalog
 from filmloom.operators.filters import changed_from, changed_since
@@ -61,9 +62,13 @@ def next_mark(df: DataFrame, mark: Column, name: str, at_mark: bool = False) ->
     )
 
 
+# What a change does with a link: both make it one row at most, so doing it twice changes nothing more.
+INSERT, DELETE = "insert", "delete"
+
+
 @dataclass(frozen=True)
 class StoredLinks:
-    """A link table kept twice, bucketed by film and by member, so that a few keys read their buckets only."""
+    """A link table kept twice, in folders by film and by member, so that a few keys read their folders only."""
 
     by_film: DocumentTable
     by_member: DocumentTable
@@ -76,6 +81,20 @@ class StoredLinks:
             table.append(links)
         return StoredLinks(*kept)
 
+    def apply(self, changes: DataFrame) -> DataFrame:
+        """Apply a log of changes ``(op, seq, <columns of a link>)`` to both forms; returns the ids of the films they touch.
+
+        Of several changes of one link the last by ``seq`` counts; a link that moves is deleted and inserted. The films
+        are those of the old links and of the new ones. A log may be applied again after a failure.
+        """
+        columns = [f.name for f in T.StructType.fromDDL(self.by_film.ddl)]
+        last = changes.groupBy(*columns).agg(F.max_by("op", "seq").alias("op"))
+        last = materialise(last, "link-changes")
+        added = last.filter(F.col("op") == INSERT).select(*columns)
+        for table in (self.by_film, self.by_member):
+            table.replace(last.select(*columns), added, columns)
+        return last.select(F.col("film_work_id").alias("id")).distinct()
+
 
 @dataclass(frozen=True)
 class StoredCatalog:
@@ -93,13 +112,21 @@ class StoredCatalog:
             StoredLinks.write(cat.genre_film, "genre_id", f"{path}/genre", buckets),
         )
 
+    def seen_with(self, catalog: Catalog) -> StoredCatalog:
+        """The same stored links beside newer films, people and genres."""
+        return replace(self, catalog=catalog)
+
+    def apply(self, person: DataFrame | None = None, genre: DataFrame | None = None) -> DataFrame:
+        """Apply changes of links to people and genres; returns the ids of the films they touch."""
+        touched = [links.apply(log) for links, log in ((self.person, person), (self.genre, genre)) if log is not None]
+        return union_ids(*touched)
+
     def around(self, changed: dict[str, DataFrame]) -> tuple[Catalog, DataFrame]:
         """The part of the catalogue that changes of ``film``, ``person`` and ``genre`` ids reach, and the films in it."""
-        reached = [
-            films_of(self.person.by_member.rows_of(changed["person"]), "person_id", changed["person"]),
-            films_of(self.genre.by_member.rows_of(changed["genre"]), "genre_id", changed["genre"]),
-            changed["film"].select("id"),
-        ]
+        reached = [changed["film"].select("id")] if "film" in changed else []
+        for entity, links in (("person", self.person), ("genre", self.genre)):
+            if entity in changed:
+                reached.append(films_of(links.by_member.rows_of(changed[entity]), f"{entity}_id", changed[entity]))
         ids = materialise(union_ids(*reached), "film-ids")
         links = {"person_film": self.person.by_film.rows_of(ids), "genre_film": self.genre.by_film.rows_of(ids)}
         return replace(self.catalog, **links), ids
@@ -129,17 +156,27 @@ def rebuilt(cat: Catalog, ids: DataFrame) -> DataFrame:
     return film_documents(restrict(cat, ids))
 
 
-def refresh(cat: Catalog, marks: Marks, table: DocumentTable, at_mark: bool = False) -> int:
-    """Rebuild every affected document and upsert it; returns the new version."""
-    return table.upsert(rebuilt(cat, affected_films(cat, marks, at_mark)), unique=True)
+def refresh(cat: Catalog, marks: Marks, table: DocumentTable, at_mark: bool = False) -> None:
+    """Rebuild every affected document and upsert it."""
+    table.upsert(rebuilt(cat, affected_films(cat, marks, at_mark)), unique=True)
+
+
+def refresh_links(stored: StoredCatalog, table: DocumentTable, person: DataFrame | None = None, genre: DataFrame | None = None) -> DataFrame:
+    """Apply changes of links, then rebuild the documents of the films on either side of them, whose ids are returned.
+
+    After a failure the same log is given again: the links are then as they should be, and the documents follow.
+    """
+    near, films = stored.around({"film": stored.apply(person, genre)})
+    table.upsert(rebuilt(near, films), unique=True)
+    return films
 
 
-def refresh_from_state(source: Catalog | StoredCatalog, state: str, table: DocumentTable) -> int:
+def refresh_from_state(source: Catalog | StoredCatalog, state: str, table: DocumentTable) -> None:
     """Refresh from the marks kept at ``state``, and move them once the documents are written.
 
     Rows at a mark are read again, as one with the same time may have been stored after the last run; the upsert makes
     that harmless. New marks are taken before the rows are read, so a row that arrives meanwhile is at worst read
-    twice. A run that fails leaves the marks as they were. With a ``StoredCatalog`` only the buckets of the changed
+    twice. A run that fails leaves the marks as they were. With a ``StoredCatalog`` only the folders of the changed
     keys are read from the links.
     """
     cat = source.catalog if isinstance(source, StoredCatalog) else source
@@ -150,8 +187,7 @@ def refresh_from_state(source: Catalog | StoredCatalog, state: str, table: Docum
     held = materialise(moved[0].unionByName(moved[1]).unionByName(moved[2]), "marks")
     if isinstance(source, StoredCatalog):
         near, films = source.around({e: changed_ids(getattr(cat, e), marks[e], at_mark=True) for e in ENTITIES})
-        version = table.upsert(rebuilt(near, films), unique=True)
+        table.upsert(rebuilt(near, films), unique=True)
     else:
-        version = refresh(cat, Marks(**marks), table, at_mark=True)
+        refresh(cat, Marks(**marks), table, at_mark=True)
     write_state(held, state)
-    return version

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from filmloom.catalog import document_ddl, orders_catalog, read_table
 from filmloom.plans.documents import film_documents
-from filmloom.plans.refresh import StoredCatalog, changed_ids, films_of, next_mark, refresh, refresh_from_state
+from filmloom.plans.refresh import StoredCatalog, changed_ids, films_of, next_mark, refresh, refresh_from_state, refresh_links
 from filmloom.queries.order import AFFECTED_SQL, DAY, changing_catalog
-from filmloom.queries.registry import DOCUMENT_COLUMNS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, documents_sql, documents_text, members_sql, query
+from filmloom.queries.registry import DOCUMENT_COLUMNS_SQL, DOCUMENT_FROM_SQL, LINKS_SQL, ORDERS_SQL, documents_sql, documents_text, members_sql, query
 from filmloom.session import materialise, scratch_path
 from filmloom.sources.documents import DocumentTable
 from filmloom.sources.state import add_to_ids, read_ids
@@ -133,8 +133,8 @@ def t6_replay_after_failure(spark, sf_dir):
     table, checkpoint = _documents(spark), scratch_path(spark, "checkpoint")
     sink, stream = changes.refresh_sink(_stored(spark, sf_dir), table), _user_changes(spark, sf_dir)
 
-    def failing(batch):
-        sink(batch)
+    def failing(batch, number):
+        sink(batch, number)
         raise RuntimeError("lost after the write")
 
     try:
@@ -146,6 +146,26 @@ def t6_replay_after_failure(spark, sf_dir):
     return documents_text(table.read())
 
 
+@query("t6_append_once", "SELECT event_id, user_id FROM events")
+def t6_append_once(spark, sf_dir):
+    """The sink appends, and fails after the first batch is written: the batch that comes again replaces its own rows."""
+    out, checkpoint = scratch_path(spark, "appended"), scratch_path(spark, "checkpoint")
+    path, sink = event_log(spark, sf_dir, files=4), changes.append_sink(out)
+
+    def failing(batch, number):
+        sink(batch, number)
+        raise RuntimeError("lost after the write")
+
+    stream = changes.read_changes(spark, path, EVENTS, 2).select("event_id", "user_id")
+    try:
+        changes.run_batches(stream, failing, checkpoint)
+    except Exception as failure:  # the stream reports the sink's error in its own class
+        if "lost after the write" not in str(failure):
+            raise
+    changes.run_batches(stream, sink, checkpoint)
+    return spark.read.schema("event_id bigint, user_id bigint, _batch bigint").parquet(out).drop("_batch")
+
+
 @query("t7_files_per_batch", "SELECT count(*) AS rows, true AS even_batches FROM events")
 def t7_files_per_batch(spark, sf_dir):
     out, sizes = scratch_path(spark, "batches"), []
@@ -153,13 +173,15 @@ def t7_files_per_batch(spark, sf_dir):
     files = len(spark.read.schema(EVENTS).parquet(path).inputFiles())
     files_per_batch = -(-files // 4)
 
-    def sink(batch):
+    append = changes.append_sink(out)
+
+    def sink(batch, number):
         sizes.append(1)
-        batch.select("event_id").write.mode("append").parquet(out)
+        append(batch.select("event_id"), number)
 
     stream = changes.read_changes(spark, path, EVENTS, files_per_batch)
     changes.run_batches(stream, sink, scratch_path(spark, "checkpoint"))
-    rows = spark.read.schema("event_id bigint").parquet(out).agg(F.count("*").alias("rows"))
+    rows = spark.read.schema("event_id bigint, _batch bigint").parquet(out).agg(F.count("*").alias("rows"))
     return rows.withColumn("even_batches", F.lit(len(sizes) == -(-files // files_per_batch)))
 
 
@@ -188,3 +210,61 @@ def r14_two_refreshes(spark, sf_dir):
     refresh_from_state(early, state, table)
     refresh_from_state(StoredCatalog.write(cat, scratch_path(spark, "links"), buckets=8), state, table)
     return documents_text(table.read())
+
+
+# Links of every seventh order go; those of every fifth of the rest move to the next supplier; some orders gain a link.
+MOVED_SQL = f"""film AS (
+  SELECT o_orderkey AS id, o_orderpriority AS title, o_orderstatus AS description, o_orderstatus AS type,
+         o_orderdate AS creation_date, o_totalprice AS rating, o_orderdate AS modified
+  FROM orders), {LINKS_SQL.replace("person_film AS (", "links AS (")},
+person_film AS (
+  SELECT film_work_id, CASE WHEN film_work_id % 5 = 0 THEN person_id + 1 ELSE person_id END AS person_id, role FROM links WHERE film_work_id % 7 <> 0
+  UNION SELECT film_work_id, 3, 'writer' FROM links WHERE film_work_id % 13 = 0)"""
+
+
+def link_changes(links):
+    """The log of those changes; a link changed twice counts by its last change."""
+    gone = links.filter("film_work_id % 7 = 0 OR film_work_id % 5 = 0").select(F.lit("delete").alias("op"), F.lit(1).alias("seq"), "*")
+    moved = links.filter("film_work_id % 7 <> 0 AND film_work_id % 5 = 0").withColumn("person_id", F.col("person_id") + 1)
+    # The new place of a link may be the old one of another.
+    moved = moved.select(F.lit("insert").alias("op"), F.lit(2).alias("seq"), "*")
+    fresh = links.filter("film_work_id % 13 = 0").select("film_work_id").distinct()
+    fresh = fresh.withColumns({"person_id": F.lit(3).cast("bigint"), "role": F.lit("writer"), "op": F.lit("insert"), "seq": F.lit(3)})
+    return gone.unionByName(moved).unionByName(fresh)
+
+
+def _refreshed_by_links(spark, sf_dir):
+    cat, _ = changing_catalog(spark, sf_dir)
+    stored, table = StoredCatalog.write(cat, scratch_path(spark, "links"), buckets=8), _documents(spark)
+    table.append(film_documents(cat))
+    return stored, table, refresh_links(stored, table, person=materialise(link_changes(cat.person_film), "link-log"))
+
+
+@query(
+    "r14_link_changes",
+    f"WITH {MOVED_SQL}, {members_sql()} SELECT f.id, f.rating AS imdb_rating, f.title, f.description, {DOCUMENT_COLUMNS_SQL} {DOCUMENT_FROM_SQL}",
+)
+def r14_link_changes(spark, sf_dir):
+    """Documents of stored links after links were inserted, moved and deleted."""
+    return documents_text(_refreshed_by_links(spark, sf_dir)[1].read())
+
+
+@query(
+    "t2_films_of_link_changes",
+    """SELECT DISTINCT o_orderkey AS id FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+    WHERE o_orderkey % 7 = 0 OR o_orderkey % 5 = 0 OR o_orderkey % 13 = 0""",
+)
+def t2_films_of_link_changes(spark, sf_dir):
+    return _refreshed_by_links(spark, sf_dir)[2]
+
+
+@query("t5_stream_of_links", f"WITH {MOVED_SQL}, {members_sql()} SELECT f.id, f.rating AS imdb_rating, f.title, f.description, {DOCUMENT_COLUMNS_SQL} {DOCUMENT_FROM_SQL}")
+def t5_stream_of_links(spark, sf_dir):
+    """The same changes as a stream of log files."""
+    cat, log = orders_catalog(spark, sf_dir), scratch_path(spark, "link-log")
+    stored, table = StoredCatalog.write(cat, scratch_path(spark, "links"), buckets=8), _documents(spark)
+    table.append(film_documents(cat))
+    link_changes(cat.person_film).write.parquet(log)
+    stream = changes.read_changes(spark, log, "op string, seq int, film_work_id bigint, person_id bigint, role string")
+    changes.run_batches(stream, changes.link_sink(stored, table), scratch_path(spark, "checkpoint"))
+    return documents_text(table.read())

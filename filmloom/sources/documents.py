@@ -1,15 +1,14 @@
-"""Versioned document table: snapshots, append, idempotent upsert, delete.
+"""A document table in plain Parquet: append, idempotent upsert, delete.
 
-Rows live in hash buckets of their id. A change writes new files only for the
-buckets it touches, into a folder of its own, then writes the state of the new
-version: which folders each bucket consists of. That write is the commit; it
-fails if the version exists, so of two writers one is refused. A reader reads
-one state, whatever the number of commits, and so keeps one snapshot.
+Rows lie in folders by hash of their id. A change reads the folders of its ids, and writes them anew by dynamic partition
+overwrite; no other folder is touched. Each folder keeps one row that is no document (``_live`` false), so a folder whose
+documents are all gone is written like any other. Versions, and writers of one folder at one time, are left to the
+table format of the cluster.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -17,20 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filmloom.operators.checks import conform, require_none
+from filmloom.operators.checks import conform, repeated, require_none
 from filmloom.session import materialise
 
-# A bucket and the folders that hold its rows.
-STATE = "bucket int, folders array<string>"
-# A bucket of more folders than this is rewritten as one by the next append.
-MAX_FOLDERS = 32
-
-State = dict[int, list[str]]
-
-
-class ConcurrentWrite(RuntimeError):
-    """Another writer has committed the version first."""
-
 
 @dataclass(frozen=True)
 class DocumentTable:
@@ -43,109 +31,49 @@ class DocumentTable:
     buckets: int = 64
     rows_per_file: int = 5_000_000
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
-
-    def _state(self, version: int) -> State | None:
-        """The state of a version: one row for each bucket. None if it isn't committed."""
+    def _stored(self) -> DataFrame:
+        schema = f"{self.ddl}, _live boolean, _bucket int"
         try:
-            rows = self.spark.read.schema(STATE).parquet(f"{self.path}/state/{version}").collect()
+            return self.spark.read.schema(schema).parquet(self.path).filter("_live")
         except AnalysisException:
-            return None
-        return {r["bucket"]: list(r["folders"]) for r in rows} or None
+            return self.spark.createDataFrame([], schema)
 
-    def _newest(self) -> tuple[int, State]:
-        """The latest version and its state; the head file may lag behind by a commit."""
-        try:
-            head = self.spark.read.schema("version bigint").parquet(f"{self.path}/head").first()
-        except AnalysisException:
-            head = None
-        version = head["version"] if head else 0
-        state = self._state(version) if version else {}
-        while (after := self._state(version + 1)) is not None:
-            version, state = version + 1, after
-        return version, state or {}
-
-    def version(self) -> int:
-        return self._newest()[0]
-
-    def _scan(self, state: State, buckets: list[int] | None = None) -> DataFrame:
-        wanted = state if buckets is None else {b: state.get(b, []) for b in buckets}
-        live = sorted({f for folders in wanted.values() for f in folders})
-        if not live:
-            return self.spark.createDataFrame([], self.ddl)
-        # Both are partition columns: the list of places prunes folders.
-        places = [f"{folder}/{b}" for b, folders in wanted.items() for folder in folders]
-        return (
-            self.spark.read.schema(f"{self.ddl}, _folder string, _bucket int")
-            .option("basePath", f"{self.path}/data")
-            .parquet(*[f"{self.path}/data/_folder={f}" for f in live])
-            .filter(F.concat_ws("/", "_folder", F.col("_bucket").cast("string")).isin(places))
-            .drop("_folder", "_bucket")
-        )
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The snapshot of a version (default: latest)."""
-        if version is None:
-            return self._scan(self._newest()[1])
-        return self._scan((self._state(version) if version else {}) or {})
+    def read(self) -> DataFrame:
+        return self._stored().drop("_live", "_bucket")
+
+    def _bucket(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("int")
+
+    def _near(self, keys: DataFrame, key: str) -> tuple[DataFrame, list[int]]:
+        """The rows in the folders of the keys, and those folders: at most ``buckets`` numbers."""
+        places = sorted(r[0] for r in keys.select(self._bucket(key)).distinct().collect())
+        return self._stored().filter(F.col("_bucket").isin(places)).drop("_live", "_bucket"), places
 
     def rows_of(self, keys: DataFrame, column: str = "id") -> DataFrame:
-        """The rows of the given keys; only their buckets are read."""
+        """The rows of the given keys; only their folders are read."""
         wanted = materialise(keys.select(F.col(column).alias(self.key)).distinct(), "keys")
-        return self._scan(self._newest()[1], self._touched(wanted)).join(wanted, self.key, "left_semi")
-
-    def _commit(self, rows: DataFrame | None, replaces: list[int] | None, version: int, state: State) -> int:
-        """Write ``rows`` aside, then the state of the next version. ``replaces``: buckets whose rows end here;
-        None for an append. No rows (None) only end them."""
-        after, folder = version + 1, f"{version + 1}-{uuid.uuid4().hex[:12]}"
-        if rows is not None:
-            (
-                rows.withColumn("_bucket", self._bucket())
-                .hint("rebalance", "_bucket")
-                .write.option("maxRecordsPerFile", self.rows_per_file)
-                .partitionBy("_bucket")
-                .parquet(f"{self.path}/data/_folder={folder}")
-            )
-        new = [] if rows is None else [folder]
-        old = {b: state.get(b, []) for b in range(self.buckets)}
-        next_state = {b: (old[b] if replaces is None else [] if b in replaces else old[b]) for b in old}
-        touched = set(old if replaces is None else replaces)
-        entry = [(b, folders + (new if b in touched else [])) for b, folders in next_state.items()]
-        writer = self.spark.createDataFrame(entry, STATE).coalesce(1).write
-        place = f"{self.path}/state/{after}"
-        if self._state(after) is not None:
-            raise ConcurrentWrite(f"version {after} of {self.path} exists")
-        try:
-            writer.parquet(place)
-        except AnalysisException as e:
-            if self._state(after) is not None:
-                raise ConcurrentWrite(f"version {after} of {self.path} exists") from e
-            writer.mode("overwrite").parquet(place)  # left behind empty by a writer that was lost
-        self.spark.createDataFrame([(after,)], "version bigint").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/head")
-        return after
-
-    def _touched(self, rows: DataFrame) -> list[int]:
-        """Buckets of the rows: at most ``buckets`` numbers."""
-        return sorted(r[0] for r in rows.select(self._bucket()).distinct().collect())
-
-    def append(self, docs: DataFrame) -> int:
+        return self._near(wanted, self.key)[0].join(wanted, self.key, "left_semi")
+
+    def _write(self, rows: DataFrame, places: list[int] | None) -> None:
+        """Put ``rows`` in the place of all rows of the folders, or beside them for an append (None)."""
+        live = rows.withColumn("_live", F.lit(True)).withColumn("_bucket", self._bucket(self.key))
+        if places:
+            none = self.spark.createDataFrame([(b, False) for b in places], "_bucket int, _live boolean")
+            # Written aside first: a folder can't be read while it is replaced.
+            live = materialise(live.unionByName(none, allowMissingColumns=True), "changed-buckets")
+        made = live.hint("rebalance", "_bucket").write.option("maxRecordsPerFile", self.rows_per_file).partitionBy("_bucket")
+        (made.mode("overwrite").option("partitionOverwriteMode", "dynamic") if places else made.mode("append")).parquet(self.path)
+
+    def append(self, docs: DataFrame) -> None:
         """Add documents as they are: an id that exists already is then held twice."""
-        version, state = self._newest()
-        rows = conform(docs, self.ddl)
-        crowded = [b for b, folders in state.items() if len(folders) >= MAX_FOLDERS]
-        if not crowded:
-            return self._commit(rows, None, version, state)
-        # All buckets gain a folder by an append, so all are full at once.
-        return self._commit(self._scan(state).unionByName(rows), list(range(self.buckets)), version, state)
-
-    def insert(self, docs: DataFrame) -> int:
+        self._write(conform(docs, self.ddl), None)
+
+    def insert(self, docs: DataFrame) -> None:
         """Add rows with new ids; an id held already, or given twice, fails the batch."""
-        source, (_, state) = materialise(docs, "insert"), self._newest()
-        repeated = source.groupBy(self.key).count().filter("count > 1")
-        held = self._scan(state, self._touched(source)).select(self.key)
-        require_none({"repeated id": repeated, "existing id": source.select(self.key).join(held, self.key, "left_semi")})
-        return self.append(source)
+        source = materialise(docs, "insert")
+        held = self._near(source, self.key)[0].select(self.key)
+        require_none({"repeated id": repeated(source, [self.key]), "existing id": source.select(self.key).join(held, self.key, "left_semi")})
+        self.append(source)
 
     def latest(self, docs: DataFrame, order: str | None = None) -> DataFrame:
         """One row for each id, the one highest in ``order`` (default: the whole row)."""
@@ -153,29 +81,32 @@ class DocumentTable:
         by = F.struct(F.col(order), row) if order else row
         return docs.groupBy(F.col(self.key).alias("_key")).agg(F.max_by(row, by).alias("_row")).select("_row.*")
 
-    def upsert(self, docs: DataFrame, order: str | None = None, unique: bool = False) -> int:
+    def upsert(self, docs: DataFrame, order: str | None = None, unique: bool = False) -> None:
         """Replace documents by id, add new ones; doing it twice changes nothing more.
 
         ``unique`` says that ``docs`` holds each document once already.
         """
         newest = docs if unique else self.latest(docs, order)
-        shaped = conform(newest.select(*T.StructType.fromDDL(self.ddl).names), self.ddl)
-        source, (version, state) = materialise(shaped, "upsert"), self._newest()
-        touched = self._touched(source)
-        if not touched:
-            return version
-        kept = self._scan(state, touched).join(source.select(self.key).distinct(), self.key, "left_anti")
-        return self._commit(kept.select(*source.columns).unionByName(source), touched, version, state)
-
-    def delete(self, condition: Column) -> int:
-        """Drop the rows for which ``condition`` holds; null keeps the row. Only their buckets are rewritten."""
-        version, state = self._newest()
+        source = materialise(conform(newest.select(*T.StructType.fromDDL(self.ddl).names), self.ddl), "upsert")
+        self.replace(source.select(self.key), source, [self.key])
+
+    def replace(self, gone: DataFrame, rows: DataFrame, on: Sequence[str]) -> None:
+        """Take out the rows equal to one of ``gone`` in the columns ``on`` (the key among them), and put in ``rows``.
+
+        Both should be scans. Null equals null. Only the folders of their keys are written.
+        """
+        kept, places = self._near(gone.select(self.key).unionByName(rows.select(self.key)), self.key)
+        ended = gone.select(*[F.col(c).alias(f"_{c}") for c in on]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on]
+        if places:
+            self._write(kept.join(ended, same, "left_anti").unionByName(rows), places)
+
+    def delete(self, condition: Column) -> None:
+        """Drop the rows for which ``condition`` holds; null keeps the row. Only their folders are written."""
         gone = F.coalesce(condition, F.lit(False))
-        touched = self._touched(self._scan(state).filter(gone))
-        if not touched:
-            return version
-        return self._commit(self._scan(state, touched).filter(~gone), touched, version, state)
-
-    def truncate(self) -> int:
-        version, state = self._newest()
-        return self._commit(None, list(range(self.buckets)), version, state)
+        rows, places = self._near(self.read().filter(gone), self.key)
+        if places:
+            self._write(rows.filter(~gone), places)
+
+    def truncate(self) -> None:
+        self.read().limit(0).write.mode("overwrite").parquet(self.path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmloom.plans.refresh import ENTITIES, StoredCatalog, rebuilt
+from filmloom.plans.refresh import ENTITIES, StoredCatalog, rebuilt, refresh_links
 from filmloom.session import materialise
 from filmloom.sources.documents import DocumentTable
 
@@ -51,14 +51,14 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     )
 
 
-def run_batches(stream: DataFrame, sink: Callable[[DataFrame], object], checkpoint: str) -> None:
-    """Hand each micro-batch to ``sink``; progress is saved after the sink returns.
+def run_batches(stream: DataFrame, sink: Callable[[DataFrame, int], object], checkpoint: str) -> None:
+    """Hand each micro-batch and its number to ``sink``; progress is saved after the sink returns.
 
-    A batch whose sink fails comes again on the next run, so sinks must be
+    A batch whose sink fails comes again on the next run, with the same number, so sinks must be
     safe to repeat.
     """
     (
-        stream.writeStream.foreachBatch(lambda batch, _: sink(batch) and None)
+        stream.writeStream.foreachBatch(lambda batch, number: sink(batch, number) and None)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -66,16 +66,37 @@ def run_batches(stream: DataFrame, sink: Callable[[DataFrame], object], checkpoi
     )
 
 
-def refresh_sink(stored: StoredCatalog, table: DocumentTable) -> Callable[[DataFrame], object]:
+def append_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Sink that appends each batch once: the rows lie in a folder of their batch, which a batch that comes again
+    writes anew. A folder of a failed write is replaced, one of a whole write by the same rows."""
+
+    def sink(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("_batch", F.lit(number))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
+
+    return sink
+
+
+def refresh_sink(stored: StoredCatalog, table: DocumentTable) -> Callable[[DataFrame, int], None]:
     """Sink for changes ``(entity, id)``: rebuild the affected documents and upsert them.
 
-    A batch reads the buckets of its own keys in the stored links, never the whole link tables.
+    A batch reads the folders of its own keys in the stored links, never the whole link tables.
     """
 
-    def sink(batch: DataFrame) -> int:
+    def sink(batch: DataFrame, _: int) -> None:
         # Written once: the branches below would each read the batch again.
         ids = materialise(batch.select("entity", "id").distinct(), "changed")
         cat, films = stored.around({e: ids.filter(F.col("entity") == e).select("id") for e in ENTITIES})
-        return table.upsert(rebuilt(cat, films), unique=True)
+        table.upsert(rebuilt(cat, films), unique=True)
+
+    return sink
+
+
+def link_sink(stored: StoredCatalog, table: DocumentTable) -> Callable[[DataFrame, int], None]:
+    """Sink for changes of links to people ``(op, seq, film_work_id, person_id, role)``: apply them, and rebuild the films
+    on either side."""
+
+    def sink(batch: DataFrame, _: int) -> None:
+        refresh_links(stored, table, person=materialise(batch, "link-log"))
 
     return sink

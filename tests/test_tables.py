@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from filmloom.catalog import FILM_DOCUMENT, PERSON_DOCUMENT, TABLES
 from filmloom.functions import scalar
 from filmloom.operators import checks
-from filmloom.sources.documents import ConcurrentWrite, DocumentTable
+from filmloom.sources.documents import DocumentTable
 from filmloom.sources.jdbc import JdbcSource
 from filmloom.sources.load import bootstrap, published
 from filmloom.sources.state import add_to_ids, mark_of, read_ids, read_state, write_state
@@ -30,16 +30,18 @@ def frame(spark, *rows):
 
 
 def test_table_life(spark, table):
-    assert table.read().count() == 0 and table.version() == 0
-    first = table.append(frame(spark, (1, "a"), (2, "b"), (3, "c")))
+    assert table.read().count() == 0
+    table.append(frame(spark, (1, "a"), (2, "b"), (3, "c")))
     change = frame(spark, (2, "B"), (4, "d"))
     table.upsert(change)
     once = held(table.read())
     table.upsert(change)
     assert held(table.read()) == once == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
-    assert held(table.read(first)) == [(1, "a"), (2, "b"), (3, "c")]
     table.delete(F.col("name") == "a")
     assert held(table.read()) == [(2, "B"), (3, "c"), (4, "d")]
+    table.delete(F.col("id") > 0)
+    assert table.read().count() == 0
+    table.upsert(frame(spark, (5, "e")))
     table.truncate()
     assert table.read().count() == 0
     table.append(frame(spark, (9, None)))
@@ -50,13 +52,24 @@ def test_table_life(spark, table):
 def test_files_hold_a_bounded_number_of_rows(spark, folder):
     table = DocumentTable(spark, f"{folder}/t", "id bigint", buckets=2, rows_per_file=7)
     table.append(spark.range(100))
-    sizes = spark.read.parquet(f"{folder}/t/data").groupBy(F.input_file_name()).count().select("count").collect()
+    sizes = spark.read.parquet(f"{folder}/t").groupBy(F.input_file_name()).count().select("count").collect()
     assert sum(r[0] for r in sizes) == 100 and max(r[0] for r in sizes) <= 7
 
 
-def test_an_empty_upsert_is_no_commit(spark, table):
+def files_of(spark, table):
+    """Names and times of the files of each folder."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table.path).select("path", "modificationTime").collect()
+    folders = {}
+    for r in found:
+        folders.setdefault(r["path"].rsplit("/", 2)[1], set()).add(tuple(r))
+    return folders
+
+
+def test_an_empty_upsert_writes_nothing(spark, table):
     table.append(frame(spark, (1, "a")))
-    assert table.upsert(frame(spark).limit(0)) == 1
+    before = files_of(spark, table)
+    table.upsert(frame(spark).limit(0))
+    assert files_of(spark, table) == before
 
 
 def test_the_highest_row_of_an_id_wins(spark, table):
@@ -74,41 +87,31 @@ def test_insert_refuses_known_and_repeated_ids(spark, table):
     assert held(table.read()) == [(1, "a")]
 
 
-def test_a_write_without_its_log_line_is_not_seen_and_is_overwritten(spark, table):
-    table.append(frame(spark, (1, "a")))
-    frame(spark, (7, "lost")).withColumn("_bucket", F.lit(0)).write.partitionBy("_bucket").parquet(f"{table.path}/data/_folder=2-lost")
-    spark.createDataFrame([], "bucket int, folders array<string>").write.parquet(f"{table.path}/state/2")
-    assert held(table.read()) == [(1, "a")] and table.version() == 1
-    table.upsert(frame(spark, (2, "b")))
-    assert held(table.read()) == [(1, "a"), (2, "b")] and table.version() == 2
-
-
-def test_of_two_writers_one_is_refused(spark, table):
-    table.append(frame(spark, (1, "a")))
-    stale = table._newest()
-    table.append(frame(spark, (2, "b")))
-    with pytest.raises(ConcurrentWrite):
-        table._commit(frame(spark, (3, "c")), None, *stale)
-    assert held(table.read()) == [(1, "a"), (2, "b")] and table.version() == 2
-
-
-def test_a_read_does_not_grow_with_the_commits(spark, table):
-    for i in range(40):
-        table.append(frame(spark, (i, "x")))
-    version, state = table._newest()
-    assert version == 40 and table.read().count() == 40 and table.read(7).count() == 7
-    assert max(map(len, state.values())) <= 32
-    spark.createDataFrame([(39,)], "version bigint").write.mode("overwrite").parquet(f"{table.path}/head")  # a head that lags
-    assert table.version() == 40
-
-
-def test_a_delete_rewrites_only_its_buckets(spark, table):
+def test_a_change_writes_only_its_folders(spark, table):
     table.append(frame(spark, *[(i, f"n{i}") for i in range(40)]))
-    before = table._newest()[1]
+    changed = lambda before, after: sum(before[f] != after[f] for f in before)
+    first = files_of(spark, table)
     table.delete(F.col("name") == "n7")
-    after = table._newest()[1]
-    assert sum(before[b] != after[b] for b in before) == 1 and table.read().count() == 39
-    assert table.delete(F.col("name") == "none") == table.version() == 2
+    second = files_of(spark, table)
+    assert len(first) == 4 and changed(first, second) == 1 and table.read().count() == 39
+    table.delete(F.col("name") == "none")
+    assert files_of(spark, table) == second
+    table.append(frame(spark, (100, "more")))
+    third = files_of(spark, table)
+    assert all(second[f] <= third[f] for f in second) and changed(second, third) == 1
+
+
+def test_rows_of_a_key_come_from_its_folder(spark, table):
+    table.append(frame(spark, *[(i, f"n{i}") for i in range(40)], (None, "none")))
+    found = table.rows_of(spark.createDataFrame([(7,), (99,)], "member bigint"), "member")
+    assert held(found) == [(7, "n7")]
+    assert "PartitionFilters: [" in found._jdf.queryExecution().toString()
+
+
+def test_replace_by_several_columns_takes_null_for_equal(spark, table):
+    table.append(frame(spark, (1, "a"), (1, None), (1, "a"), (2, None)))
+    table.replace(frame(spark, (1, None), (1, "a"), (3, "x")), frame(spark, (1, "a"), (4, "d")), ["id", "name"])
+    assert sorted(map(tuple, table.read().collect()), key=str) == [(1, "a"), (2, None), (4, "d")]
 
 
 def test_a_mark_can_be_moved_back(spark, folder):
