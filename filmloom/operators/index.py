@@ -4,7 +4,7 @@ Every table lies in folders of generations. The first generation holds all docum
 documents that changed, and the ids whose earlier rows it ends. Document frequencies and lengths are kept as signed
 sums, so they need no second look at what didn't change. ``merged`` writes all that lives as one generation again.
 
-* ``forward``: doc, field, dl, term, tf - by hash of the document, so what a document held is read from its folder;
+* ``forward``: doc, field, dl, term, tf, at (places of the term) - by hash of the document, so what a document held is read from its folder;
 * ``postings``: the same rows by hash of the term and by level: a level holds the postings whose gain lies in one range,
   so the best of a term are read without the rest;
 * ``blocks``: field, term, level, rows, most, at_dl - the postings of a term in a level are a block; ``most`` is its
@@ -82,24 +82,24 @@ def _terms(field: Field, dtype: T.DataType) -> Column:
 
 
 def terms_of(docs: DataFrame, fields: Sequence[Field], key: str = "id") -> DataFrame:
-    """``(doc, field, dl, term)``: one row for each term occurrence, in one pass over ``docs``."""
+    """``(doc, field, dl, at, term)``: one row for each term occurrence and its place, in one pass over ``docs``."""
     per_field = F.explode(
         F.array(*[F.struct(F.lit(f.name).alias("field"), _terms(f, docs.schema[f.source].dataType).alias("terms")) for f in fields])
     )
     return spread(docs, key).select(F.col(key).alias("doc"), per_field.alias("f")).select(
-        "doc", "f.field", F.size("f.terms").alias("dl"), F.explode("f.terms").alias("term")
+        "doc", "f.field", F.size("f.terms").alias("dl"), F.posexplode("f.terms").alias("at", "term")
     )
 
 
 def counted_terms(docs: DataFrame, fields: Sequence[Field], key: str = "id") -> DataFrame:
-    """``(doc, field, dl, term, tf)``, a document's rows side by side.
+    """``(doc, field, dl, term, tf, at)``, a document's rows side by side; ``at`` are the places of a term.
 
     Shuffled by document, not by term: sums over a document's terms then merge
     before they are shuffled again. A document is one input row, so no group
     outgrows a row.
     """
     together = terms_of(docs, fields, key).repartition("doc")
-    return together.groupBy("doc", "field", "dl", "term").agg(F.count("*").alias("tf"))
+    return together.groupBy("doc", "field", "dl", "term").agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("at")).alias("at"))
 
 
 def saturation(tf: Column, dl: Column, avg_dl: Column) -> Column:
@@ -136,12 +136,12 @@ class Index:
     @property
     def forward(self) -> DataFrame:
         """``doc, field, dl, term, tf, bucket``: the terms of each document; ``bucket`` is that of the document."""
-        return self._living(self.rows("forward", f"doc {self.key}, field string, dl int, term string, tf bigint, bucket int"))
+        return self._living(self.rows("forward", f"doc {self.key}, field string, dl int, term string, tf bigint, at array<int>, bucket int"))
 
     @property
     def postings(self) -> DataFrame:
         """``doc, field, dl, term, tf, bucket, level``: the documents of each term; ``bucket`` is that of the term."""
-        return self._living(self.rows("postings", f"doc {self.key}, field string, dl int, term string, tf bigint, bucket int, level int"))
+        return self._living(self.rows("postings", f"doc {self.key}, field string, dl int, term string, tf bigint, at array<int>, bucket int, level int"))
 
     @property
     def _sums(self) -> DataFrame:
@@ -217,7 +217,7 @@ def _write(index: Index, gen: int, fresh: DataFrame, old: DataFrame, gone: DataF
         level = F.when(gained >= least, i).otherwise(level)
     # The statistics have one row for each field, of which there are a fixed few.
     by_term = written.join(F.broadcast(seen.stats), "field").withColumn("level", level).withColumn("bucket", hash_bucket("term", index.buckets))
-    by_term = by_term.select("doc", "field", "dl", "term", "tf", "bucket", "level").hint("rebalance", "bucket", "level")
+    by_term = by_term.select("doc", "field", "dl", "term", "tf", "at", "bucket", "level").hint("rebalance", "bucket", "level")
     by_term.sortWithinPartitions("bucket", "level", "term").write.mode("overwrite").partitionBy("bucket", "level").parquet(place("postings"))
     bound = [F.count("*").alias("rows"), F.max(gained).alias("most"), F.first("avg_dl").alias("at_dl")]
     blocks = alone.postings.join(F.broadcast(seen.stats), "field").groupBy("field", "term", "level").agg(*bound)
@@ -235,7 +235,7 @@ def write_index(docs: DataFrame, fields: Sequence[Field], path: str, key: str =
     """
     doc = docs.schema[key].dataType.simpleString()
     empty = Index(docs.sparkSession, path, tuple(fields), buckets, doc, (), None)
-    none = docs.sparkSession.createDataFrame([], f"doc {doc}, field string, dl int, term string, tf bigint")
+    none = docs.sparkSession.createDataFrame([], f"doc {doc}, field string, dl int, term string, tf bigint, at array<int>")
     _write(empty, 1, counted_terms(docs, fields, key), none, none.select("doc"), base=True)
     return open_index(docs.sparkSession, path, fields)
 

@@ -8,6 +8,7 @@ from filmloom.catalog import documents_catalog, orders_catalog, read_table
 from filmloom.functions import text
 from filmloom.operators import index as idx
 from filmloom.operators import search as srch
+from filmloom.operators.clauses import clause_search
 from filmloom.operators.fuzzy import fuzzy_matches
 from filmloom.operators.paging import pages_for, result_order
 from filmloom.operators.skew import skew_join
@@ -324,6 +325,27 @@ def x9_query_string(spark, sf_dir):
     return _named(found.groupBy("query_key").agg(F.count("*").alias("hits")), queries)
 
 
+# Of each item: a phrase of two words that must be there, one word that may, and one that may not.
+CLAUSES_SQL = f"""WITH i AS (SELECT item_id, string_split(text, ' ') AS w FROM benchmark),
+q AS (SELECT item_id, {mixed_sql("array_to_string(w[3:4], ' ')")} AS phrase, {mixed_sql("w[6]")} AS may, {mixed_sql("w[9]")} AS never FROM i),
+d AS (SELECT doc_id AS doc, {mixed_sql("text")} AS terms FROM documents),
+f AS (
+  SELECT item_id, doc, terms, may, never FROM q JOIN d ON len(phrase) > 0 AND list_has_all(terms, phrase)
+  WHERE len(list_filter(range(1, len(terms) + 1), lambda x: terms[x : x + len(phrase) - 1] = phrase)) > 0)
+SELECT item_id AS request_id, doc, CAST(1 + CASE WHEN list_has_any(terms, may) THEN 1 ELSE 0 END AS BIGINT) AS hits
+FROM f WHERE NOT list_has_any(terms, never)"""
+
+
+@query("x9_clauses", CLAUSES_SQL)
+def x9_clauses(spark, sf_dir):
+    words = F.split("text", " ")
+    items = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("request_id"), words.alias("w"))
+    clause = lambda occur, text, phrase: F.struct(F.lit(occur).alias("occur"), F.lit("text").alias("field"), text.alias("text"), F.lit(phrase).alias("phrase"))
+    one = lambda i: F.try_element_at("w", F.lit(i))
+    rows = F.array(clause("must", F.array_join(F.slice("w", 3, 2), " "), True), clause("should", one(6), False), clause("must_not", one(9), False))
+    return clause_search(items.select("request_id", F.inline(rows)), text_index(spark, sf_dir))
+
+
 @query(
     "x10_exact_keyword",
     """SELECT DISTINCT p_name AS query, l_orderkey AS doc FROM lineitem JOIN part ON p_partkey = l_partkey
