@@ -30,10 +30,14 @@ HEADLINE = (
     "r11_admin_list",
     "x1_mixed_analyser",
     "x3_vocabulary",
+    "x3_incremental_index",  # builds its index anew in each run, then changes it
     "x6_relevance_order",
+    "x6_short_texts",
+    "x9_clauses",
     "x7_fuzzy_match",
     "k3_upsert_idempotent",
     "r14_incremental_refresh",
+    "r14_link_changes",
 )
 
 
