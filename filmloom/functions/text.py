@@ -2,8 +2,9 @@
 
 ``mixed`` text runs through: tokens, lower case, English stop words, English
 stem, possessive, Russian stop words, Russian stem, in that order. ``plain``
-text is tokens in lower case. Stems are light: an s-stemmer for English plurals
-and one pass over Russian case endings.
+text is tokens in lower case. A Chinese character and a kana of Hiragana are
+tokens of their own, and so is a run of Katakana; Thai and other scripts
+without blanks stay runs of letters.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from filmloom.functions.stem import ENGLISH, RUSSIAN, stemmed
+
 # The default English stop list of the analyser.
 ENGLISH_STOP = (
     "a an and are as at be but by for if in into is it no not of on or such that the their then "
@@ -30,17 +33,15 @@ RUSSIAN_STOP = (
     "конечно всю между"
 ).split()
 
-# Russian case endings dropped by the light stem, longest first.
-RUSSIAN_ENDINGS = (
-    "иями ями ами ией иям иях ого его ому ему ыми ими ов ев ей ий ый ой ая яя ое ее ые ие ую юю ом "
-    "ем ам ям ах ях ью ия а е и й о у ы ь ю я"
-).split()
-
 # Letters, marks, digits and "_" form a token. Between two letters a joining
 # mark stays inside, between two digits a separator does. 255 ends a token.
+SINGLE = r"\p{IsHan}\p{IsHiragana}"
+KATAKANA = r"\p{IsKatakana}ー"
+LETTER = rf"[\p{{L}}\p{{M}}&&[^{SINGLE}{KATAKANA}]]"
 TOKEN = (
-    r"(?:[\p{L}\p{M}\p{N}_]"
-    r"|(?<=[\p{L}\p{M}])['’‘.:·](?=\p{L})"
+    rf"[{SINGLE}]\p{{M}}*|[{KATAKANA}][{KATAKANA}\p{{M}}]{{0,254}}"
+    rf"|(?:{LETTER}|[\p{{N}}_&&[^{SINGLE}]]"
+    rf"|(?<={LETTER})['’‘.:·](?={LETTER})"
     r"|(?<=\p{N})['’‘.,;](?=\p{N})){1,255}"
 )
 
@@ -54,43 +55,18 @@ def keeps(token: Column, stop: list[str]) -> Column:
     return ~token.isin(stop)
 
 
-def english_stem(token: Column) -> Column:
-    """Plural to singular: -ies to -y, -es to -e, -s dropped, with the usual exceptions."""
-    size = F.length(token)
-    ends = token.endswith
-    return (
-        F.when(size <= 3, token)
-        .when(~ends("s"), token)
-        .when(
-            ends("ies") & ~ends("eies") & ~ends("aies"),
-            F.concat(token.substr(F.lit(1), size - 3), F.lit("y")),
-        )
-        .when(ends("es") & ~ends("aes") & ~ends("ees") & ~ends("oes"), token.substr(F.lit(1), size - 1))
-        .when(~ends("us") & ~ends("ss"), token.substr(F.lit(1), size - 1))
-        .otherwise(token)
-    )
-
-
 def drop_possessive(token: Column) -> Column:
     ends = token.endswith("'s") | token.endswith("’s")
     return F.when(ends, token.substr(F.lit(1), F.length(token) - 2)).otherwise(token)
 
 
-def russian_stem(token: Column) -> Column:
-    pattern = f"^(.{{3,}}?)(?:{'|'.join(RUSSIAN_ENDINGS)})$"
-    # Cyrillic sorts after Latin, so most tokens skip the pattern.
-    return F.when(token >= "а", F.regexp_replace(token, pattern, "$1")).otherwise(token)
-
-
 def mixed_terms(text: Column) -> Column:
-    """Index terms of a text, in order.
-
-    Kept as array expressions: exploded tokens would go through generated code
-    that evaluates the nested stem rules several times over.
-    """
+    """Index terms of a text, in order."""
     kept = F.filter(tokens(text), lambda t: keeps(t, ENGLISH_STOP))
-    stems = F.transform(kept, lambda t: drop_possessive(english_stem(t)))
-    return F.transform(F.filter(stems, lambda t: keeps(t, RUSSIAN_STOP)), russian_stem)
+    english = F.transform(stemmed(kept, ENGLISH), drop_possessive)
+    russian = lambda terms: stemmed(F.filter(terms, lambda t: keeps(t, RUSSIAN_STOP)), RUSSIAN)
+    # An array of one holds the English stems, so that they are made once whichever way the text goes.
+    return F.transform(F.array(english), lambda terms: F.when(text.rlike("[А-яЁё]"), russian(terms)).otherwise(terms))[0]
 
 
 def plain_terms(text: Column) -> Column:

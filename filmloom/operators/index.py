@@ -70,25 +70,28 @@ def number_text(c: Column) -> Column:
     return c.try_cast("float").cast("string")
 
 
-def _terms(field: Field, dtype: T.DataType) -> Column:
+def _texts(field: Field, dtype: T.DataType) -> Column:
+    """The values of a field as an array; those that aren't analysed are its terms."""
     c = F.col(field.source)
     many = isinstance(dtype, T.ArrayType)
     if field.kind == "number":
         return F.array_compact(F.array(number_text(c)))
-    if field.kind == "keyword":
-        return F.array_distinct(F.array_compact((c if many else F.array(c)).cast("array<string>")))
-    analyse = ANALYSERS[field.kind]
-    return F.flatten(F.transform(F.coalesce(c, F.array()), analyse)) if many else analyse(c)
+    values = F.coalesce(c if many else F.array(c), F.array()).cast("array<string>")
+    return F.array_distinct(F.array_compact(values)) if field.kind == "keyword" else values
 
 
 def terms_of(docs: DataFrame, fields: Sequence[Field], key: str = "id") -> DataFrame:
-    """``(doc, field, dl, at, term)``: one row for each term occurrence and its place, in one pass over ``docs``."""
-    per_field = F.explode(
-        F.array(*[F.struct(F.lit(f.name).alias("field"), _terms(f, docs.schema[f.source].dataType).alias("terms")) for f in fields])
-    )
-    return spread(docs, key).select(F.col(key).alias("doc"), per_field.alias("f")).select(
-        "doc", "f.field", F.size("f.terms").alias("dl"), F.posexplode("f.terms").alias("at", "term")
-    )
+    """``(doc, field, dl, at, term)``: one row for each term occurrence and its place, in one pass over ``docs``.
+
+    The fields become rows before they are analysed, so the plan holds each analyser once.
+    """
+    named = [F.struct(F.lit(f.name).alias("field"), F.lit(f.kind).alias("kind"), _texts(f, docs.schema[f.source].dataType).alias("texts")) for f in fields]
+    rows = spread(docs, key).select(F.col(key).alias("doc"), F.inline(F.array(*named)))
+    terms = F.col("texts")
+    for kind in sorted({f.kind for f in fields} & set(ANALYSERS)):
+        terms = F.when(F.col("kind") == kind, F.flatten(F.transform("texts", ANALYSERS[kind]))).otherwise(terms)
+    analysed = rows.select("doc", "field", terms.alias("terms"))
+    return analysed.select("doc", "field", F.size("terms").alias("dl"), F.posexplode("terms").alias("at", "term"))
 
 
 def counted_terms(docs: DataFrame, fields: Sequence[Field], key: str = "id") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from filmloom.catalog import documents_catalog, orders_catalog, read_table
 from filmloom.functions import text
+from filmloom.functions.stem import ENGLISH, RUSSIAN, Swap
 from filmloom.operators import index as idx
 from filmloom.operators import search as srch
 from filmloom.operators.clauses import clause_search
@@ -22,7 +23,7 @@ SEP = ""
 
 def tokens_sql(value: str) -> str:
     """Tokens, with the marks that stay inside a token fenced by a private character."""
-    inner = f"lower({value})"
+    inner = rf"regexp_replace(lower({value}), '([\p{{Han}}\p{{Hiragana}}]\p{{M}}*|[\p{{Katakana}}ー][\p{{Katakana}}ー\p{{M}}]*)', ' \1 ', 'g')"
     for left, marks, right in (
         (r"[\p{L}\p{M}]", "''’‘.:·", r"\p{L}"),
         (r"\p{N}", "''’‘.,;", r"\p{N}"),
@@ -34,17 +35,38 @@ def tokens_sql(value: str) -> str:
 
 
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in text.ENGLISH_STOP) + "]"
-STEM_SQL = """CASE WHEN length(t) <= 3 OR NOT ends_with(t, 's') THEN t
- WHEN ends_with(t, 'ies') AND NOT ends_with(t, 'eies') AND NOT ends_with(t, 'aies') THEN left(t, length(t) - 3) || 'y'
- WHEN ends_with(t, 'es') AND NOT ends_with(t, 'aes') AND NOT ends_with(t, 'ees') AND NOT ends_with(t, 'oes') THEN left(t, length(t) - 1)
- WHEN NOT ends_with(t, 'us') AND NOT ends_with(t, 'ss') THEN left(t, length(t) - 1) ELSE t END"""
+RUSSIAN_STOP_SQL = "[" + ", ".join(f"'{w}'" for w in text.RUSSIAN_STOP) + "]"
 POSSESSIVE_SQL = "CASE WHEN ends_with(t, '''s') OR ends_with(t, '’s') THEN left(t, length(t) - 2) ELSE t END"
 
 
+def step_sql(step) -> str:
+    """A step of a stemmer over the token ``t``."""
+    if isinstance(step, Swap):
+        return f"regexp_replace(t, '{step.pattern}', '{step.put}', 'g')"
+    cases = []
+    for rule in step.rules:
+        before = f"left(t, length(t) - {len(rule.suffix)})"
+        fits = f"regexp_matches({before}, '{rule.before}')" if rule.before else "true"
+        put = f"{before} || '{rule.put}'"
+        if step.strict:
+            cases.append(f"WHEN ends_with(t, '{rule.suffix}') THEN CASE WHEN {fits} THEN {put} ELSE t END")
+        else:
+            cases.append(f"WHEN ends_with(t, '{rule.suffix}') AND {fits} THEN {put}")
+    other = f"WHEN t < '{step.script[0]}' OR t >= '{step.script[1]}' THEN t" if step.script else ""
+    return f"CASE {other} {' '.join(cases)} ELSE t END"
+
+
+def stems_sql(tokens: str, stemmer) -> str:
+    for step in stemmer:
+        tokens = f"[{step_sql(step)} for t in {tokens}]"
+    return tokens
+
+
 def mixed_sql(value: str) -> str:
-    """Terms of mixed text. The driver's texts hold no Cyrillic, so its steps change nothing there."""
-    stems = f"[{STEM_SQL} for t in {tokens_sql(value)} if NOT list_contains({STOP_SQL}, t)]"
-    return f"[{POSSESSIVE_SQL} for t in {stems}]"
+    """Terms of mixed text."""
+    english = stems_sql(f"[t for t in {tokens_sql(value)} if NOT list_contains({STOP_SQL}, t)]", ENGLISH)
+    kept = f"[t for t in [{POSSESSIVE_SQL} for t in {english}] if NOT list_contains({RUSSIAN_STOP_SQL}, t)]"
+    return stems_sql(kept, RUSSIAN)
 
 
 def score_ctes(fields: list[tuple[str, str, str]], docs: str, queries: str) -> str:

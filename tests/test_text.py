@@ -4,13 +4,16 @@ import math
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from filmloom.functions import text
+from filmloom.functions.stem import ENGLISH, RUSSIAN, stemmed
 from filmloom.operators import index as idx
 from filmloom.operators import search as srch
 from filmloom.operators.fuzzy import close_terms, edit_budget, fuzzy_matches, vocabulary_rests, within
+from filmloom.queries.search import mixed_sql, stems_sql, tokens_sql
 
 
 def analyse(spark, value, fn=text.mixed_terms):
@@ -39,18 +42,78 @@ def test_a_token_ends_at_255_characters(spark):
 @pytest.mark.parametrize(
     ("value", "want"),
     [
-        ("The films and the stories", ["film", "story"]),
-        ("classes buses glass bus gas goes", ["classe", "buse", "glass", "bus", "gas", "goe"]),
+        ("The films and the stories", ["film", "stori"]),
+        ("classes buses glass bus gas goes", ["class", "buse", "glass", "bu", "ga", "goe"]),
         # The stem runs before the possessive rule and takes its "s".
         ("the dog's bone", ["dog'", "bone"]),
         ("и фильмы не книгами", ["фильм", "книг"]),
         ("not it will", []),
+        (None, []),
     ],
 )
 def test_mixed_terms(spark, value, want):
     assert analyse(spark, value) == want
 
 
+@pytest.mark.parametrize(
+    ("value", "want"),
+    [
+        ("日本語 ひらがな", list("日本語ひらがな")),
+        ("カタカナとデータベース", ["カタカナ", "と", "データベース"]),
+        ("abc日本x1", ["abc", "日", "本", "x1"]),
+        ("ภาษาไทย 한국어 말", ["ภาษาไทย", "한국어", "말"]),
+    ],
+)
+def test_scripts_without_blanks(spark, value, want):
+    assert analyse(spark, value, text.plain_terms) == want
+    assert duckdb.execute(f"SELECT {tokens_sql('t')} FROM (SELECT ? AS t)", [value]).fetchone()[0] == want
+
+
+# Words with their stems as the algorithms are published with them.
+PORTER = (
+    "caresses>caress ponies>poni ties>ti cats>cat feed>feed agreed>agre plastered>plaster bled>bled motoring>motor sing>sing "
+    "conflated>conflat troubled>troubl sized>size hopping>hop tanned>tan falling>fall hissing>hiss fizzed>fizz failing>fail "
+    "filing>file happy>happi sky>sky relational>relat conditional>condit rational>ration valenci>valenc hesitanci>hesit "
+    "digitizer>digit conformabli>conform radicalli>radic differentli>differ vileli>vile analogousli>analog "
+    "vietnamization>vietnam predication>predic operator>oper feudalism>feudal decisiveness>decis hopefulness>hope "
+    "callousness>callous formaliti>formal sensitiviti>sensit sensibiliti>sensibl triplicate>triplic formative>form "
+    "formalize>formal electriciti>electr electrical>electr hopeful>hope goodness>good revival>reviv allowance>allow "
+    "inference>infer airliner>airlin gyroscopic>gyroscop adjustable>adjust defensible>defens irritant>irrit "
+    "replacement>replac adjustment>adjust dependent>depend adoption>adopt homologou>homolog communism>commun "
+    "activate>activ angulariti>angular homologous>homolog effective>effect bowdlerize>bowdler probate>probat rate>rate "
+    "cease>ceas controll>control roll>roll generalizations>gener oscillators>oscil us>us ay>ay ays>ai enjoy>enjoi cement>cement"
+)
+SNOWBALL = (
+    "вавиловка>вавиловк вагнера>вагнер вагоне>вагон вагонов>вагон вагоном>вагон вагоны>вагон важная>важн важнее>важн "
+    "важнейшие>важн важнейшими>важн важничал>важнича важного>важн важность>важност павлиний>павлин павильонам>павильон "
+    "падает>пада падай>пада падал>пада падать>пада падают>пада падшего>падш падшую>падш книгами>книг фильмы>фильм "
+    "сделав>сдела смотревшись>смотревш ёлки>елк радостью>радост длинный>длин дав>дав"
+)
+
+
+@pytest.mark.parametrize(("stemmer", "pairs"), [(ENGLISH, PORTER), (RUSSIAN, SNOWBALL)])
+def test_stems_of_published_words(spark, stemmer, pairs):
+    words, want = zip(*(pair.split(">") for pair in pairs.split()), strict=True)
+    found = spark.createDataFrame([(list(words),)], "w array<string>").select(stemmed(F.col("w"), stemmer)).first()[0]
+    assert found == list(want)
+    assert duckdb.execute(f"SELECT {stems_sql('w', stemmer)} FROM (SELECT ? AS w)", [list(words)]).fetchone()[0] == list(want)
+
+
+def test_a_stemmer_leaves_the_other_script_alone(spark):
+    words = ["вагонами", "ñandú", "x1", "1977", "", "日"]
+    frame = spark.createDataFrame([(words,), (None,), ([],)], "w array<string>")
+    assert [r[0] for r in frame.select(stemmed(F.col("w"), ENGLISH)).collect()] == [words, None, []]
+    latin = ["wagons", "x1", "", "日"]
+    assert spark.createDataFrame([(latin,)], "w array<string>").select(stemmed(F.col("w"), RUSSIAN)).first()[0] == latin
+
+
+def test_stems_meet_in_a_mixed_text(spark):
+    value = "Вагоны, ВАГОНОВ и вагоном: the relational adoption's of Ёлки"
+    want = ["вагон", "вагон", "вагон", "relat", "adoption'", "елк"]
+    assert analyse(spark, value) == want
+    assert duckdb.execute(f"SELECT {mixed_sql('t')} FROM (SELECT ? AS t)", [value]).fetchone()[0] == want
+
+
 def test_unescape(spark):
     assert analyse(spark, "N\\A a\\\\b", text.unescape) == "NA a\\b"
 
