@@ -24,6 +24,8 @@ HEADLINE = (
     "o4_page",
     "o5_all_pages",
     "o5_deep_page",
+    "o5_listing_page",  # opens a listing that the first run writes
+    "o5_listing_changes",  # writes its listing anew in each run, then changes it twice
     "r2_film_list",
     "r6_genre_films",
     "r10_person_films",

@@ -2,17 +2,19 @@
 
 from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from filmloom.catalog import PERSON_DOCUMENT, ROLES, orders_catalog, read_table
 from filmloom.operators import checks, sets
 from filmloom.operators import paging as pg
 from filmloom.operators.filters import changed_since
+from filmloom.operators.listing import Listing
 from filmloom.plans.documents import film_documents, genre_pairs
 from filmloom.plans.refresh import Marks, affected_films, changed_page, changes_after, films_of
 from filmloom.plans.requests import with_links
-from filmloom.queries.registry import DOCUMENT_COLUMNS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, documents_text, members_sql, query
-from filmloom.session import scratch_path
+from filmloom.queries.registry import DOCUMENT_COLUMNS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, documents_text, members_sql, query, snapshot
+from filmloom.session import scratch_path, scratch_root
 
 DAY = lambda text: F.lit(text).cast("timestamp_ntz")
 PAGE_KEYS = (pg.SortKey("rating", ascending=False), pg.SortKey("id"))
@@ -92,6 +94,57 @@ def o5_deep_page(spark, sf_dir):
     return pg.deep_page(_film(spark, sf_dir).select("id", "rating"), PAGE_KEYS, number=241, size=50)
 
 
+def kept_listing(spark, sf_dir):
+    """All films by rating: written by the first query that asks, opened by all after it while the files of the table stay the same."""
+    path = f"{scratch_root(spark)}/listing-{spark.sparkContext.applicationId}-{snapshot(spark, sf_dir, ['orders'])}"
+    listing = Listing(spark, path, "id long, rating double", PAGE_KEYS)
+    try:
+        listing.directory()
+    except AnalysisException:
+        listing.write(_film(spark, sf_dir).select("id", "rating"))
+    return listing
+
+
+@query(
+    "o5_listing_page",
+    """SELECT * FROM (SELECT o_orderkey AS id, o_totalprice AS rating, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders)
+    WHERE position > 1200 AND position <= 1250""",
+)
+def o5_listing_page(spark, sf_dir):
+    return kept_listing(spark, sf_dir).page(25, 50)
+
+
+@query(
+    "o5_listing_after_cursor",
+    "SELECT o_orderkey AS id, o_totalprice AS rating FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50 OFFSET 1000",
+)
+def o5_listing_after_cursor(spark, sf_dir):
+    listing = kept_listing(spark, sf_dir)
+    last = listing.page(20, 50).orderBy("position").tail(1)[0]
+    return listing.after((last["rating"], last["id"]), 50)
+
+
+@query(
+    "o5_listing_changes",
+    """WITH f AS (
+    SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderstatus = 'F' THEN o_totalprice ELSE round(o_totalprice / 2) END AS rating
+    FROM orders WHERE o_orderdate <= TIMESTAMP '1998-06-01'
+    UNION ALL SELECT -o_orderkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1992-03-01')
+    SELECT id, rating, row_number() OVER (ORDER BY rating DESC NULLS LAST, id) AS position FROM f""",
+)
+def o5_listing_changes(spark, sf_dir):
+    """Films that go, come, lose their rating, or move by a new one that many share, in two changes to one listing."""
+    film = _film(spark, sf_dir)
+    listing = Listing(spark, scratch_path(spark, "listing"), "id long, rating double", PAGE_KEYS, range_rows=5_000)
+    listing.write(film.select("id", "rating"))
+    ended, early = film.filter(F.col("modified") > DAY("1998-06-01")), film.filter(F.col("modified") < DAY("1992-03-01"))
+    listing.change(ended, early.select((-F.col("id")).alias("id"), "rating"))
+    moved = film.filter((F.col("modified") <= DAY("1998-06-01")) & (F.col("type") != "F"))
+    rating = F.when(F.col("type") != "P", F.round(F.col("rating") / 2))
+    listing.change(moved, moved.select("id", rating.alias("rating")))
+    return listing.numbered()
+
+
 @query(
     "o5_all_pages",
     """SELECT o_orderkey AS id, (row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1) // 50 + 1 AS page_number FROM orders""",

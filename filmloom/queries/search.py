@@ -14,7 +14,7 @@ from filmloom.operators.fuzzy import fuzzy_matches
 from filmloom.operators.paging import pages_for, result_order
 from filmloom.operators.skew import skew_join
 from filmloom.plans.documents import film_documents, genre_pairs
-from filmloom.queries.registry import DOCUMENTS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, members_sql, query
+from filmloom.queries.registry import DOCUMENTS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, members_sql, query, snapshot
 from filmloom.session import materialise, scratch_path, scratch_root
 
 TEXT = (idx.Field("text"),)
@@ -135,18 +135,12 @@ def _named(found, queries):
 BUCKETS = 4
 
 
-def _snapshot(spark, sf_dir, tables):
-    """What the files of the tables are now: their names, lengths and times as one number."""
-    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in tables])
-    return files.agg(F.hex(F.bit_xor(F.xxhash64("path", "modificationTime", "length")))).first()[0]
-
-
 def kept_index(spark, sf_dir, name, docs, fields, tables):
     """The index of a corpus: written by the first query that asks, opened by all after it while its files stay the same.
 
     ``docs`` makes the documents from ``tables``, and is called for the first only.
     """
-    path = f"{scratch_root(spark)}/index-{name}-{spark.sparkContext.applicationId}-{_snapshot(spark, sf_dir, tables)}"
+    path = f"{scratch_root(spark)}/index-{name}-{spark.sparkContext.applicationId}-{snapshot(spark, sf_dir, tables)}"
     try:
         return idx.open_index(spark, path, fields)
     except AnalysisException:
