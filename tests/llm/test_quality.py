@@ -1,11 +1,15 @@
 import random
+import re
+from collections import defaultdict
+from zlib import crc32
 
 import numpy as np
 import pytest
 from edges import documents, empty, prose
 from pyspark.sql import functions as F
 
-from filmloom.llm.quality import SHAPES, log_odds, fit_shapes, prior_size, score_quality, shape
+from filmloom.llm import quality
+from filmloom.llm.quality import BUCKETS, SHAPES, fit_shapes, gram_odds, grams, log_odds, prior_size, score_quality, shape
 from filmloom.llm.queries import QUERIES
 
 LABELS = "doc_id bigint, quality int"
@@ -88,3 +92,75 @@ def test_a_repeated_labelled_id_is_learned_from_once(spark, monkeypatch):
     monkeypatch.setattr("filmloom.llm.quality.fit_shapes", lambda shapes, y: fitted.append(len(shapes)) or fit_shapes(shapes, y))
     rows = _judged(spark, docs, [(i, 1) for i, *_ in good] + [(i, 0) for i, *_ in bad]).collect()
     assert fitted == [120] and len(rows) == docs.count()
+
+
+def _grams_by_hand(text):
+    mixed = lambda code: (code * 0x9E3779B97F4A7C15 % 2**64) >> 48
+    data = (text or "").encode().lower()
+    codes = [crc32(w) for w in re.findall(rb"[0-9a-z\x80-\xff]+", data)]
+    pairs = [a * 1_000_003 + b + (1 << 60) for a, b in zip(codes, codes[1:])]
+    runs = [int.from_bytes(data[i : i + 4], "little") for i in range(len(data) - 3)]
+    return sorted({mixed(c % 2**64) for c in codes + pairs} | {BUCKETS + mixed(r) for r in runs})
+
+
+@pytest.mark.parametrize("text", [None, "", "a", "abc", "Abcd", "É ### été", prose(3), prose(4, n=900), "x" * 257])
+@pytest.mark.parametrize("step", [16, 1 << 20])
+def test_grams_equal_plain_loops_in_any_step(monkeypatch, text, step):
+    monkeypatch.setattr(quality, "STEP_BYTES", step)
+    assert grams(text).tolist() == _grams_by_hand(text)
+
+
+def test_log_odds_of_buckets_equal_plain_counts(spark):
+    rows = [(i % 2, i % 3 % 2, prose(i) if i % 5 else None) for i in range(40)]
+    found = gram_odds(spark.createDataFrame(rows, "half int, good int, text string").repartition(3))
+    for at, chosen in enumerate([[r for r in rows if r[0] == 0], [r for r in rows if r[0] == 1], rows]):
+        held, kinds = [defaultdict(int), defaultdict(int)], [0, 0]
+        for _, good, text in chosen:
+            kinds[good] += 1
+            for b in _grams_by_hand(text):
+                held[good][b] += 1
+        want = np.zeros(2 * BUCKETS)
+        for b in held[0].keys() | held[1].keys():
+            want[b] = np.log((held[1][b] + 1) / (kinds[1] + 2)) - np.log((held[0][b] + 1) / (kinds[0] + 2))
+        assert np.allclose(found[at], want, atol=1e-6)
+
+
+def test_texts_of_one_shape_are_told_apart_by_their_words(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("bcdfglmnprstaeiou", k=6)) for _ in range(400)]
+    text = lambda pool: " ".join(rng.choices(pool, k=60))
+    rows = [(i, text(words[:200] if i % 2 else words[200:]), "one", "site") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    found = _judged(spark, docs, [(i, i % 2) for i in range(200)]).collect()
+    assert all((r["score"] > 0.5) == bool(r["doc_id"] % 2) for r in found if r["doc_id"] >= 200)
+
+
+def test_posteriors_equal_grouped_sums_by_hand(spark):
+    good, bad = _mixed()
+    sites = [("a", "x"), ("a", "y"), (None, "x"), ("b", None), ("c", "x")]
+    rows = [(i, t, *sites[i * i % 5 if n else i % 3]) for n, group in enumerate((good, bad)) for i, t, _ in group]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    labels = [(i, 1) for i, *_ in good[:45]] + [(i, 0) for i, *_ in bad[:45]]
+    found = {r["doc_id"]: r for r in _judged(spark, docs, labels).collect()}
+    p = {i: found[i]["evidence"] for i, *_ in rows}
+    mean = sum(p.values()) / len(p)
+
+    def grouped(place):
+        groups = defaultdict(list)
+        for row in rows:
+            groups[place(row)].append(p[row[0]])
+        return groups
+
+    def prior(groups, above):
+        between = (sum(len(g) * (np.mean(g) - above(k)) ** 2 for k, g in groups.items()) - len(groups) * within) / len(p)
+        return np.clip(within / between if between > 0 else 1e6, 1, 1e6)
+
+    paths, hosts = grouped(lambda r: (r[2], r[3])), grouped(lambda r: r[2])
+    within = max(sum(((np.array(g) - np.mean(g)) ** 2).sum() for g in paths.values()) / len(p), 1e-9)
+    k = prior(hosts, lambda _: mean)
+    host = {h: (sum(g) + k * mean) / (len(g) + k) for h, g in hosts.items()}
+    m = prior(paths, lambda site: host[site[0]])
+    for i, _, h, path in rows:
+        others = paths[h, path]
+        assert found[i]["host_posterior"] == pytest.approx(host[h], abs=1e-9)
+        assert found[i]["path_posterior"] == pytest.approx((sum(others) - p[i] + m * host[h]) / (len(others) - 1 + m), abs=1e-9)
