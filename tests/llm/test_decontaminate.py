@@ -29,7 +29,7 @@ def _fixture(spark, folder):
     return spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet")
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 5_000])
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 5_000, 200])
 def test_edges_equal_sql(spark, folder, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
     docs, items = _fixture(spark, folder)
@@ -50,6 +50,27 @@ def test_any_shingle_gives_the_same(spark, folder, shingle):
     assert as_set(benchmark_hits(docs, items, shingle=shingle)) == as_set(benchmark_hits(docs, items))
 
 
+def test_more_than_a_few_blocks_are_joined_by_shuffle(spark, folder, monkeypatch):
+    docs, items = _fixture(spark, folder)
+    want = as_set(benchmark_hits(docs, items))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 200)
+    ways = []
+    shuffled = decontaminate._shuffled_occurrences
+    monkeypatch.setattr(decontaminate, "_shuffled_occurrences", lambda *given: ways.append(1) or shuffled(*given))
+    got = benchmark_hits(docs, items)
+    assert as_set(got) == want and ways == [1]
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_window_of_very_many_items(spark):
+    items = spark.createDataFrame([(i, UNIQUE if i % 3 else prose(i)) for i in range(600)], "item_id bigint, text string")
+    rows = [(i, f"{prose(900 + i)} {UNIQUE}") for i in range(50)] + [(99, prose(99))]
+    found = {r["row"]["doc_id"]: r["items"] for r in benchmark_hits(spark.createDataFrame(rows, "doc_id bigint, text string"), items).collect()}
+    want = sorted(str(i) for i in range(600) if i % 3)
+    assert all(found[i] == want for i in range(50)) and len(found) == 51
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert as_set(benchmark_hits(empty(spark), items)) == []
