@@ -31,6 +31,8 @@ MAX_LABELLED = 50_000
 LEAST_PRIOR, MOST_PRIOR = 1.0, 1e6
 #: Buckets of words and word pairs, and as many again of runs of four bytes.
 BUCKETS = 1 << 16
+#: Labelled texts whose buckets one task counts.
+TASK_TEXTS = 4096
 #: Numbers of a shape.
 SHAPES = 13
 
@@ -112,20 +114,22 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in steps(batches, lambda b: b.column("text")):
         for cell, text in zip(batch.column("cell").to_pylist(), texts, strict=True):
             counts[cell, grams(text)] += 1
-    cell, bucket = np.nonzero(counts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(cell.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(counts[cell, bucket])], names=["cell", "bucket", "n"]
-    )
+    for cell, held in enumerate(counts):
+        bucket = np.flatnonzero(held)
+        columns = [np.full(len(bucket), cell, np.int32), bucket.astype(np.int32), held[bucket]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["cell", "bucket", "n"])
 
 
 def gram_odds(sample: DataFrame) -> np.ndarray:
     """Log-odds of every bucket by the documents of half 0, of half 1, and of both, from ``half, good, text``.
 
-    What reaches the driver is a number for each cell and bucket, at most 8 x ``BUCKETS``.
+    What reaches the driver is a number for each cell and bucket, at most 8 x ``BUCKETS``. A task adds up ``TASK_TEXTS``
+    texts before it hands on as many numbers at most.
     """
     cell = (2 * F.col("half") + (F.col("good") > 0).cast("int")).alias("cell")
     counts, documents = np.zeros((4, 2 * BUCKETS), np.int64), np.zeros(4, np.int64)
-    found = sample.select(cell, "text").mapInArrow(_gram_counts, "cell int, bucket int, n long")
+    tasks = -(-sample.count() // TASK_TEXTS) or 1
+    found = sample.select(cell, "text").coalesce(tasks).mapInArrow(_gram_counts, "cell int, bucket int, n long")
     found = found.groupBy("cell", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts[found["cell"].to_numpy(), found["bucket"].to_numpy()] = found["n"].to_numpy()
     for row in sample.groupBy(cell).count().collect():
