@@ -15,9 +15,12 @@ sums, so they need no second look at what didn't change. ``merged`` writes all t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +35,8 @@ B = 0.75
 # Saturations from which a posting lies in level 0, 1 and 2; the rest is level 3. They may change from one generation
 # to the next.
 LEVELS = (1.5, 1.1, 0.7)
+# Occurrences of terms that are counted at once; a longer document is counted alone.
+OCCURRENCES = 200_000
 
 
 @dataclass(frozen=True)
@@ -80,8 +85,8 @@ def _texts(field: Field, dtype: T.DataType) -> Column:
     return F.array_distinct(F.array_compact(values)) if field.kind == "keyword" else values
 
 
-def terms_of(docs: DataFrame, fields: Sequence[Field], key: str = "id") -> DataFrame:
-    """``(doc, field, dl, at, term)``: one row for each term occurrence and its place, in one pass over ``docs``.
+def analysed(docs: DataFrame, fields: Sequence[Field], key: str = "id") -> DataFrame:
+    """``(doc, field, terms)``: one row for each field of a document, in one pass over ``docs``.
 
     The fields become rows before they are analysed, so the plan holds each analyser once.
     """
@@ -90,19 +95,66 @@ def terms_of(docs: DataFrame, fields: Sequence[Field], key: str = "id") -> DataF
     terms = F.col("texts")
     for kind in sorted({f.kind for f in fields} & set(ANALYSERS)):
         terms = F.when(F.col("kind") == kind, F.flatten(F.transform("texts", ANALYSERS[kind]))).otherwise(terms)
-    analysed = rows.select("doc", "field", terms.alias("terms"))
-    return analysed.select("doc", "field", F.size("terms").alias("dl"), F.posexplode("terms").alias("at", "term"))
+    return rows.select("doc", "field", terms.alias("terms"))
+
+
+def terms_of(docs: DataFrame, fields: Sequence[Field], key: str = "id") -> DataFrame:
+    """``(doc, field, dl, at, term)``: one row for each term occurrence and its place."""
+    return analysed(docs, fields, key).select("doc", "field", F.size("terms").alias("dl"), F.posexplode("terms").alias("at", "term"))
+
+
+def counting(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for Arrow tasks: the distinct terms of each row ``doc, field, terms``, with their places in rising order.
+    About ``most`` occurrences are counted at once. It is sent by value, so workers need not find this package."""
+
+    def count(batches):
+        for batch in batches:
+            ends = np.cumsum(pc.list_value_length(batch.column("terms")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            start = 0
+            while start < batch.num_rows:
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+                part, sizes = batch.slice(start, stop - start), np.diff(ends[start:stop], prepend=before)
+                start, total = stop, int(sizes.sum())
+                if not total:
+                    continue
+                coded = pc.dictionary_encode(part.column("terms").flatten())
+                code = coded.indices.to_numpy().astype(np.int64)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                place = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                group = row * len(coded.dictionary) + code
+                order = np.argsort(group, kind="stable")
+                heads = np.flatnonzero(np.diff(group[order], prepend=-1))
+                first = order[heads]
+                of_row = pa.array(row[first])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc").take(of_row), part.column("field").take(of_row), pa.array(sizes[row[first]].astype(np.int32)),
+                        coded.dictionary.take(pa.array(code[first])), pa.array(np.diff(heads, append=total).astype(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(np.append(heads, total).astype(np.int32)), pa.array(place[order].astype(np.int32))),
+                    ],
+                    names=["doc", "field", "dl", "term", "tf", "at"],
+                )
+
+    return count
 
 
 def counted_terms(docs: DataFrame, fields: Sequence[Field], key: str = "id") -> DataFrame:
     """``(doc, field, dl, term, tf, at)``, a document's rows side by side; ``at`` are the places of a term.
 
-    Shuffled by document, not by term: sums over a document's terms then merge
-    before they are shuffled again. A document is one input row, so no group
-    outgrows a row.
+    A document is one input row, so its terms are counted where it is analysed and no occurrence is shuffled. Rows of one
+    id are counted together if they have one length.
     """
-    together = terms_of(docs, fields, key).repartition("doc")
-    return together.groupBy("doc", "field", "dl", "term").agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("at")).alias("at"))
+    kind = docs.schema[key].dataType.simpleString()
+    counted = lambda rows: analysed(rows, fields, key).mapInArrow(counting(OCCURRENCES), f"doc {kind}, field string, dl int, term string, tf bigint, at array<int>")
+    again = materialise(docs.groupBy(key).count().filter("count > 1").select(F.col(key).alias("_again")), "repeated-ids")
+    if again.isEmpty():
+        return counted(docs)
+    again = F.broadcast(again) if fits_broadcast(again) else again
+    same = F.col(key).eqNullSafe(F.col("_again"))
+    merged = counted(docs.join(again, same, "left_semi")).groupBy("doc", "field", "dl", "term")
+    merged = merged.agg(F.sum("tf").alias("tf"), F.sort_array(F.flatten(F.collect_list("at"))).alias("at"))
+    return counted(docs.join(again, same, "left_anti")).unionByName(merged)
 
 
 def saturation(tf: Column, dl: Column, avg_dl: Column) -> Column:
@@ -153,7 +205,11 @@ class Index:
     @property
     def vocabulary(self) -> DataFrame:
         """``field, term, df``."""
-        return self._sums.groupBy("field", "term").agg(F.sum("rows").alias("df")).filter("df > 0")
+        return self.vocabulary_of()
+
+    def vocabulary_of(self, terms: DataFrame | None = None) -> DataFrame:
+        """``vocabulary``, or the rows of ``terms`` (field, term; a scan) alone."""
+        return self._sums_of(terms).groupBy("field", "term").agg(F.sum("rows").alias("df")).filter("df > 0")
 
     @property
     def blocks(self) -> DataFrame:
@@ -161,11 +217,21 @@ class Index:
 
         A saturation grows with the mean length, but by no greater share than that.
         """
+        return self.blocks_of()
+
+    def blocks_of(self, terms: DataFrame | None = None) -> DataFrame:
+        """``blocks``, or those of ``terms`` (field, term; a scan) alone."""
         # The statistics have one row for each field, of which there are a fixed few.
-        known = self._sums.filter("level IS NOT NULL").join(F.broadcast(self.stats), "field")
+        known = self._sums_of(terms).filter("level IS NOT NULL").join(F.broadcast(self.stats), "field")
         most = F.max(F.col("most") * F.greatest(F.lit(1.0), F.col("avg_dl") / F.col("at_dl")))
         return known.groupBy("field", "term", "level").agg(F.sum("rows").alias("rows"), most.alias("most"))
 
+    def _sums_of(self, terms: DataFrame | None) -> DataFrame:
+        """The sums of a few terms are picked out before anything is shuffled."""
+        if terms is None or not fits_broadcast(terms):
+            return self._sums
+        return self._sums.join(F.broadcast(terms.select("field", "term").distinct()), ["field", "term"], "left_semi")
+
     @property
     def stats(self) -> DataFrame:
         """One row for each field: documents holding it and their mean length."""

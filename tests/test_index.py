@@ -138,3 +138,17 @@ def test_order_does_not_depend_on_the_partitions(spark, monkeypatch, name):
         found.append(sorted(map(tuple, QUERIES[name](spark, "/root/testdata/sf0.001").collect())))
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     assert found[0] == found[1] == found[2] and found[0]
+
+
+def test_terms_are_counted_without_a_shuffle_of_their_occurrences(spark):
+    docs = frame(spark, rows(10, range(50)))
+    plan = idx.counted_terms(docs, FIELDS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "posexplode" not in plan
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 40])
+def test_counted_terms_of_repeated_ids_and_long_documents(spark, monkeypatch, most):
+    monkeypatch.setattr(idx, "OCCURRENCES", most)
+    docs = frame(spark, [*rows(11, range(40)), *rows(11, range(20)), *rows(12, [None, None, 5])])
+    found = idx.terms_of(docs, FIELDS).groupBy("doc", "field", "dl", "term").agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("at")).alias("at"))
+    assert sorted(map(repr, idx.counted_terms(docs, FIELDS).collect())) == sorted(map(repr, found.collect()))

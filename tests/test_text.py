@@ -279,3 +279,13 @@ def test_fuzzy_search_finds_a_swapped_name(spark):
     # The stem of campus is campu, one letter from camp.
     assert sorted(r["doc"] for r in found.collect()) == [1, 2, 3, 4]
     assert re.match("^[0-9a-f]{32}$", found.first()["query_key"])
+
+
+def test_common_runs_are_read_as_by_the_plain_pattern(spark):
+    import random
+
+    plain = text.TOKEN[text.TOKEN.index(f"[{text.SINGLE}]") : -1]
+    rng, parts = random.Random(1), [*"ab1_é'’.,;:· -ñя́あア漢ー²ßÿ÷*\n\x00٣", "a" * 120, "7" * 254, "я" * 255]
+    rows = spark.createDataFrame([("".join(rng.choices(parts, k=rng.randint(0, 30))),) for _ in range(5000)], "t string")
+    found = lambda pattern: F.regexp_extract_all("t", F.lit(pattern), F.lit(0))
+    assert rows.filter(~found(plain).eqNullSafe(found(text.TOKEN))).count() == 0 and "++(?!" not in plain and "}+(?!" in text.TOKEN
