@@ -38,9 +38,12 @@ def listing_fields(film: DataFrame) -> DataFrame:
 
 
 def with_links(films: DataFrame, links: DataFrame) -> DataFrame:
-    """Films repeated for each link key; ``links`` is a scan of ``(id, key)``, repeats allowed."""
+    """Films repeated for each link key; ``links`` is a scan of ``(id, key)``, repeats allowed.
+
+    Links are dealt before they are made distinct, so no task holds the distinct links of a whole file part.
+    """
     vary = [c for c in links.columns if c != "id"]
-    return skew_join(links.distinct(), films, ["id"], "inner", salt_by=vary, measure=links.select("id"))
+    return skew_join(links.repartition(*links.columns).distinct(), films, ["id"], "inner", salt_by=vary, measure=links.select("id"))
 
 
 def _with_genre_name(films: DataFrame, links: DataFrame, genres: DataFrame, falling: bool) -> DataFrame:
