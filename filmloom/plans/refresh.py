@@ -122,14 +122,17 @@ class StoredCatalog:
         return union_ids(*touched)
 
     def around(self, changed: dict[str, DataFrame]) -> tuple[Catalog, DataFrame]:
-        """The part of the catalogue that changes of ``film``, ``person`` and ``genre`` ids reach, and the films in it."""
+        """The part of the catalogue that changes of ``film``, ``person`` and ``genre`` ids reach, and the films in it.
+
+        Its links are scans of those films' links alone, so documents are built from it as it is.
+        """
         reached = [changed["film"].select("id")] if "film" in changed else []
         for entity, links in (("person", self.person), ("genre", self.genre)):
             if entity in changed:
                 reached.append(films_of(links.by_member.rows_of(changed[entity]), f"{entity}_id", changed[entity]))
         ids = materialise(union_ids(*reached), "film-ids")
-        links = {"person_film": self.person.by_film.rows_of(ids), "genre_film": self.genre.by_film.rows_of(ids)}
-        return replace(self.catalog, **links), ids
+        links = {c: materialise(kept.by_film.rows_of(ids), "near-links") for c, kept in (("person_film", self.person), ("genre_film", self.genre))}
+        return replace(self.catalog, film=self.catalog.film.join(ids, "id", "left_semi"), **links), ids
 
 
 def films_of(links: DataFrame, fk: str, ids: DataFrame) -> DataFrame:
@@ -167,7 +170,7 @@ def refresh_links(stored: StoredCatalog, table: DocumentTable, person: DataFrame
     After a failure the same log is given again: the links are then as they should be, and the documents follow.
     """
     near, films = stored.around({"film": stored.apply(person, genre)})
-    table.upsert(rebuilt(near, films), unique=True)
+    table.upsert(film_documents(near), unique=True)
     return films
 
 
@@ -186,8 +189,8 @@ def refresh_from_state(source: Catalog | StoredCatalog, state: str, table: Docum
     moved = [m.select("name", F.col("mark").cast("timestamp").alias("mark"), F.col("last_id").cast("string").alias("last_id")) for m in moved]
     held = materialise(moved[0].unionByName(moved[1]).unionByName(moved[2]), "marks")
     if isinstance(source, StoredCatalog):
-        near, films = source.around({e: changed_ids(getattr(cat, e), marks[e], at_mark=True) for e in ENTITIES})
-        table.upsert(rebuilt(near, films), unique=True)
+        near, _ = source.around({e: changed_ids(getattr(cat, e), marks[e], at_mark=True) for e in ENTITIES})
+        table.upsert(film_documents(near), unique=True)
     else:
         refresh(cat, Marks(**marks), table, at_mark=True)
     write_state(held, state)

@@ -55,12 +55,12 @@ class DocumentTable:
         return self._near(wanted, self.key)[0].join(wanted, self.key, "left_semi")
 
     def _write(self, rows: DataFrame, places: list[int] | None) -> None:
-        """Put ``rows`` in the place of all rows of the folders, or beside them for an append (None)."""
+        """Put ``rows`` in the place of all rows of the folders, or beside them for an append (None). A folder can't be
+        read while it is replaced, so its rows must have been written aside."""
         live = rows.withColumn("_live", F.lit(True)).withColumn("_bucket", self._bucket(self.key))
         if places:
             none = self.spark.createDataFrame([(b, False) for b in places], "_bucket int, _live boolean")
-            # Written aside first: a folder can't be read while it is replaced.
-            live = materialise(live.unionByName(none, allowMissingColumns=True), "changed-buckets")
+            live = live.unionByName(none, allowMissingColumns=True)
         made = live.hint("rebalance", "_bucket").write.option("maxRecordsPerFile", self.rows_per_file).partitionBy("_bucket")
         (made.mode("overwrite").option("partitionOverwriteMode", "dynamic") if places else made.mode("append")).parquet(self.path)
 
@@ -93,20 +93,21 @@ class DocumentTable:
     def replace(self, gone: DataFrame, rows: DataFrame, on: Sequence[str]) -> None:
         """Take out the rows equal to one of ``gone`` in the columns ``on`` (the key among them), and put in ``rows``.
 
-        Both should be scans. Null equals null. Only the folders of their keys are written.
+        Both should be scans, and not of this table. Null equals null. Only the folders of their keys are written.
         """
         kept, places = self._near(gone.select(self.key).unionByName(rows.select(self.key)), self.key)
         ended = gone.select(*[F.col(c).alias(f"_{c}") for c in on]).distinct()
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on]
         if places:
-            self._write(kept.join(ended, same, "left_anti").unionByName(rows), places)
+            # New rows lie elsewhere already, so they aren't written aside.
+            self._write(materialise(kept.join(ended, same, "left_anti"), "kept-rows").unionByName(rows), places)
 
     def delete(self, condition: Column) -> None:
         """Drop the rows for which ``condition`` holds; null keeps the row. Only their folders are written."""
         gone = F.coalesce(condition, F.lit(False))
         rows, places = self._near(self.read().filter(gone), self.key)
         if places:
-            self._write(rows.filter(~gone), places)
+            self._write(materialise(rows.filter(~gone), "kept-rows"), places)
 
     def truncate(self) -> None:
         self.read().limit(0).write.mode("overwrite").parquet(self.path)

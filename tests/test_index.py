@@ -152,3 +152,17 @@ def test_counted_terms_of_repeated_ids_and_long_documents(spark, monkeypatch, mo
     docs = frame(spark, [*rows(11, range(40)), *rows(11, range(20)), *rows(12, [None, None, 5])])
     found = idx.terms_of(docs, FIELDS).groupBy("doc", "field", "dl", "term").agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("at")).alias("at"))
     assert sorted(map(repr, idx.counted_terms(docs, FIELDS).collect())) == sorted(map(repr, found.collect()))
+
+
+def test_scores_by_document_and_of_pairs(spark, large):
+    asked = texts(spark)
+    full = srch.score(asked, large)
+    weights = srch.materialise(srch.weighted_terms(asked, large), "weights")
+    found = srch._whole_scores(weights, large)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, full.collect()))
+    dealt = srch.document_hits(large, weights).groupBy("query_key", "doc").count()
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(doc") == 1 and "Exchange hashpartitioning(query_key" not in plan
+    pairs = full.filter("doc % 7 = 0").select("query_key", "doc")
+    twice = pairs.unionByName(pairs).unionByName(pairs.withColumn("doc", F.lit(10**9)))
+    assert sorted(map(tuple, srch.scores_of(twice, asked, large).collect())) == sorted(map(tuple, full.filter("doc % 7 = 0").collect()))

@@ -160,3 +160,10 @@ def test_a_late_row_at_the_mark_is_refreshed(spark, folder, stored):
     refresh_from_state(wrapped(late, 3), state, table)
     assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, film_documents(late).select(*table.read().columns).collect()))
     assert str(read_state(spark, state).filter("name = 'film'").first()["mark"]) == "2020-01-05 00:00:00"
+
+
+def test_the_part_around_changes_holds_its_films_alone(spark, folder):
+    stored = StoredCatalog.write(golden_catalog(spark), f"{folder}/links", 4)
+    near, films = stored.around({"person": spark.createDataFrame([(PERSON,)], "id string")})
+    ids = {r["id"] for r in films.collect()}
+    assert ids and {r["id"] for r in near.film.collect()} == ids == {r["id"] for r in film_documents(near).collect()}

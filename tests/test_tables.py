@@ -227,3 +227,21 @@ def test_quarantine(spark):
     valid, bad = checks.split_valid(df, {"id": F.col("id").isNotNull(), "t": F.length("t") > 0})
     assert held(valid) == [(1, "a")]
     assert sorted(r["reason"] for r in bad.collect()) == ["id,t", "t"]
+
+
+def test_an_upsert_writes_only_kept_rows_aside(spark, table, monkeypatch):
+    from filmloom.sources import documents
+
+    aside, write = {}, documents.materialise
+
+    def counted(df, label, *a):
+        made = write(df, label, *a)
+        aside[label] = made.count()
+        return made
+
+    monkeypatch.setattr(documents, "materialise", counted)
+    table.upsert(frame(spark, *[(i, "a") for i in range(20)]))
+    assert aside == {"upsert": 20, "kept-rows": 0}
+    table.upsert(frame(spark, (3, "b")))
+    assert aside["upsert"] == 1 and aside["kept-rows"] < 20
+    assert held(table.read()) == sorted([(i, "a") for i in range(20) if i != 3] + [(3, "b")])
