@@ -149,7 +149,8 @@ def test_terms_are_counted_without_a_shuffle_of_their_occurrences(spark):
 @pytest.mark.parametrize("most", [1, 7, 1 << 40])
 def test_counted_terms_of_repeated_ids_and_long_documents(spark, monkeypatch, most):
     monkeypatch.setattr(idx, "OCCURRENCES", most)
-    docs = frame(spark, [*rows(11, range(40)), *rows(11, range(20)), *rows(12, [None, None, 5])])
+    none = [(None, *r[1:]) for r in rows(12, range(3))]
+    docs = frame(spark, [*rows(11, range(40)), *rows(11, range(20)), *rows(12, [5]), *none])
     found = idx.terms_of(docs, FIELDS).groupBy("doc", "field", "dl", "term").agg(F.count("*").alias("tf"), F.sort_array(F.collect_list("at")).alias("at"))
     assert sorted(map(repr, idx.counted_terms(docs, FIELDS).collect())) == sorted(map(repr, found.collect()))
 
