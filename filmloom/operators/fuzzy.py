@@ -8,6 +8,8 @@ strings, never from comparing every pair, and the exact distance decides.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,21 +29,23 @@ def edit_budget(term: Column) -> Column:
     return F.when(size <= 2, 0).when(size <= 5, 1).otherwise(2)
 
 
-def _one_less(text: Column) -> Column:
-    size = F.length(text)
-    cut = lambda i: F.concat(text.substr(F.lit(1), i - 1), text.substr(i + 1, size))
-    return F.when(size > 0, F.transform(F.sequence(F.lit(1), size), cut)).otherwise(F.array().cast("array<string>"))
+def beginning(term: Column) -> Column:
+    """The first ``PREFIX`` characters."""
+    return F.substring(term, 1, PREFIX)
 
 
 def leftovers(term: Column) -> Column:
     """Array of ``(deleted, rest)`` for up to two deletions in the prefix: each rest once, with the fewest deletions."""
-    prefix = F.substring(term, 1, PREFIX)
-    one = _one_less(prefix)
-    two = F.flatten(F.transform(one, _one_less))
-    tag = lambda n: lambda k: F.struct(F.lit(n).alias("deleted"), k.alias("rest"))
-    kept_one = F.array_except(one, F.array(prefix))
-    kept_two = F.array_except(two, F.concat(one, F.array(prefix)))
-    return F.concat(F.transform(F.array(prefix), tag(0)), F.transform(kept_one, tag(1)), F.transform(kept_two, tag(2)))
+    prefix = beginning(term)
+    size, places = F.length(prefix), range(1, PREFIX + 1)
+    before = lambda i: F.substring(prefix, 1, i - 1)
+    after = lambda i: F.substring(prefix, i + 1, PREFIX)
+    between = lambda i, j: F.substring(prefix, i + 1, j - i - 1)
+    one = [F.when(size >= i, F.concat(before(i), after(i))) for i in places]
+    two = [F.when(size >= j, F.concat(before(i), between(i, j), after(j))) for i, j in combinations(places, 2)]
+    # The length of a rest tells how many characters were deleted.
+    rests = F.array_distinct(F.array_compact(F.array(prefix, *one, *two)))
+    return F.transform(rests, lambda rest: F.struct((size - F.length(rest)).alias("deleted"), rest.alias("rest")))
 
 
 def _swaps(text: Column) -> Column:
@@ -80,53 +84,85 @@ def vocabulary_rests(vocabulary: DataFrame) -> DataFrame:
     return rests.select("term", "l.rest", F.col("l.deleted").alias("b")).filter((F.col("b") == 0) | (F.length("rest") >= 2 * F.col("b")))
 
 
-def dictionary(index: Index) -> DataFrame:
-    """``term, rest, b, bucket``: the left-overs of the index's terms, in folders by hash of the left-over.
+def dictionary(index: Index) -> tuple[DataFrame, DataFrame]:
+    """``term, prefix, bucket``: the terms of the index, in folders by hash of the prefix; and ``prefix, rest, b, bucket``:
+    the left-overs of each prefix, in folders by hash of the left-over. What an earlier generation held may come again.
 
-    They are written once for each generation of the index, by the first who asks.
+    What is left of a term is what is left of its prefix. Terms share prefixes, the more the more terms there are, so a
+    prefix is expanded once for all its terms. Both are written once for each generation of the index, by the first who asks.
     """
-    kind, place = "term string, rest string, b int, bucket int", f"{index.path}/rests"
+    place = f"{index.path}/close"
     for gen in index.gens:
         try:
             index.spark.read.schema("gen int").parquet(f"{place}/written/{gen}")
         except AnalysisException:
             # What the generation adds; its terms may be known to an earlier one.
-            terms = index.rows("blocks", "term string, level int").filter((F.col("gen") == gen) & F.col("level").isNotNull())
-            rests = vocabulary_rests(terms).withColumn("bucket", hash_bucket("rest", index.buckets)).hint("rebalance", "bucket")
-            rests.sortWithinPartitions("bucket", "rest").write.mode("overwrite").partitionBy("bucket").parquet(f"{place}/rows/gen={gen}")
+            added = index.rows("blocks", "term string, level int").filter((F.col("gen") == gen) & F.col("level").isNotNull())
+            words = added.select("term").distinct().withColumn("prefix", beginning(F.col("term")))
+            _write_folders(words, f"{place}/words/gen={gen}", "prefix", index.buckets)
+            words = index.spark.read.schema("prefix string").parquet(f"{place}/words/gen={gen}")
+            rests = vocabulary_rests(words.withColumnRenamed("prefix", "term")).withColumnRenamed("term", "prefix")
+            _write_folders(rests, f"{place}/rests/gen={gen}", "rest", index.buckets)
             index.spark.createDataFrame([(gen,)], "gen int").coalesce(1).write.mode("overwrite").parquet(f"{place}/written/{gen}")
-    found = index.rows("rests/rows", kind).drop("gen")
-    return found if len(index.gens) == 1 else found.distinct()
+    words = index.rows("close/words", "term string, prefix string, bucket int")
+    return words.drop("gen"), index.rows("close/rests", "prefix string, rest string, b int, bucket int").drop("gen")
+
+
+def _write_folders(rows: DataFrame, path: str, key: str, buckets: int) -> None:
+    rows = rows.withColumn("bucket", hash_bucket(key, buckets)).hint("rebalance", "bucket")
+    rows.sortWithinPartitions("bucket", key).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
-def close_terms(asked: DataFrame, rests: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Pairs ``(asked, term)`` within the budget of the asked term. ``rests``: ``vocabulary_rests``, or a ``dictionary``
-    of so many buckets, of which only the folders of the asked terms' left-overs are read."""
+def _in_folders(rows: DataFrame, wanted: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``rows`` in the folders that may hold a ``key`` of ``wanted``, a scan."""
+    # At most ``buckets`` numbers.
+    places = [r[0] for r in wanted.select(hash_bucket(key, buckets)).distinct().collect()]
+    return rows.filter(F.col("bucket").isin(places)).drop("bucket")
+
+
+def _asked_rests(asked: DataFrame) -> DataFrame:
+    """``asked, budget, rest``: the left-overs of the asked terms within their budgets, as a scan."""
     left = asked.select("asked").distinct().withColumn("budget", edit_budget(F.col("asked")))
     left = left.select("asked", "budget", F.explode(leftovers(F.col("asked"))).alias("l"))
-    left = left.select("asked", "budget", "l.rest", F.col("l.deleted").alias("a")).filter("a <= budget")
-    left = materialise(left, "asked-terms")
-    if buckets:
-        # At most ``buckets`` numbers.
-        places = [r[0] for r in left.select(hash_bucket("rest", buckets)).distinct().collect()]
-        rests = rests.filter(F.col("bucket").isin(places)).drop("bucket")
+    return materialise(left.filter("l.deleted <= budget").select("asked", "budget", "l.rest"), "asked-terms")
+
+
+def _meeting(left: DataFrame, rests: DataFrame, key: str, stored: bool) -> DataFrame:
+    """Rows of ``left`` joined with ``rests`` (``key``, rest, b; a scan if ``stored``) on the left-over."""
     if fits_broadcast(left):
         pairs = rests.join(F.broadcast(left), "rest")
     else:
-        pairs = skew_join(rests if buckets else materialise(rests, "vocabulary-rests"), left, ["rest"], "inner", salt_by=["term"])
-    near = (F.col("b") <= F.col("budget")) & (F.abs(F.length("term") - F.length("asked")) <= F.col("budget"))
-    return (
-        pairs.filter(near)
-        .select("asked", "term", "budget")
-        .distinct()
-        .filter(within(F.col("asked"), F.col("term"), F.col("budget")))
-        .select("asked", "term")
-    )
+        pairs = skew_join(rests if stored else materialise(rests, "vocabulary-rests"), left, ["rest"], "inner", salt_by=[key])
+    return pairs.filter("b <= budget")
+
+
+def _within_budget(pairs: DataFrame) -> DataFrame:
+    """The pairs ``(asked, term)`` of ``asked, term, budget`` whose distance is within the budget."""
+    near = F.abs(F.length("term") - F.length("asked")) <= F.col("budget")
+    pairs = pairs.filter(near).select("asked", "term", "budget").distinct()
+    return pairs.filter(within(F.col("asked"), F.col("term"), F.col("budget"))).select("asked", "term")
+
+
+def close_terms(asked: DataFrame, rests: DataFrame) -> DataFrame:
+    """Pairs ``(asked, term)`` within the budget of the asked term. ``rests``: ``vocabulary_rests``."""
+    return _within_budget(_meeting(_asked_rests(asked), rests, "term", stored=False))
+
+
+def close_index_terms(asked: DataFrame, index: Index) -> DataFrame:
+    """``close_terms`` among the terms of an index: prefixes that share a left-over first, then the terms that begin with
+    them. Only the folders of the asked terms' left-overs and of those prefixes are read."""
+    words, rests = dictionary(index)
+    left = _asked_rests(asked)
+    met = _meeting(left, _in_folders(rests, left, "rest", index.buckets), "prefix", stored=True)
+    # Cut to the prefix, lengths differ no more than before.
+    near = F.abs(F.length("prefix") - F.least(F.lit(PREFIX), F.length("asked"))) <= F.col("budget")
+    met = materialise(met.filter(near).select("asked", "budget", "prefix").distinct(), "close-prefixes")
+    return _within_budget(skew_join(_in_folders(words, met, "prefix", index.buckets), met, ["prefix"], "inner", salt_by=["term"]))
 
 
 def fuzzy_matches(queries: DataFrame, index: Index) -> DataFrame:
     """Distinct ``(query_key, doc)`` with a term close to a query term, in any field."""
     asked = materialise(query_terms(queries, index.fields).select("query_key", "field", F.col("term").alias("asked")), "query-terms")
-    close = close_terms(asked, dictionary(index), index.buckets)
+    close = close_index_terms(asked, index)
     expanded = materialise(asked.join(close, "asked").select("query_key", "field", "term").distinct(), "close-terms")
     return term_hits(index, expanded).select("query_key", "doc").distinct()

@@ -163,9 +163,9 @@ def people_index(spark, sf_dir):
     return kept_index(spark, sf_dir, "people", customers, idx.PERSON_FIELDS, ["customer"])
 
 
-def _top(found, size, *order):
+def _top(found, size, *order, of="query"):
     """The first documents of each query; every task keeps so many before it hands them on."""
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(*order, "doc"))
+    rank = F.row_number().over(Window.partitionBy(of).orderBy(*order, "doc"))
     return found.withColumn("_rank", rank).filter(F.col("_rank") <= size).drop("_rank")
 
 
@@ -310,7 +310,8 @@ QUALIFY row_number() OVER (PARTITION BY query ORDER BY doc) <= 20""",
 )
 def x7_fuzzy_match(spark, sf_dir):
     queries = read_table(spark, sf_dir, "part").select(F.col("p_name").alias("query"))
-    return _top(_named(fuzzy_matches(queries, text_index(spark, sf_dir)), queries), 20)
+    found = fuzzy_matches(queries, text_index(spark, sf_dir))
+    return _named(_top(found, 20, of="query_key"), queries).select("query", "doc")
 
 
 @query(

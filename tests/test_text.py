@@ -12,7 +12,7 @@ from filmloom.functions import text
 from filmloom.functions.stem import ENGLISH, RUSSIAN, stemmed
 from filmloom.operators import index as idx
 from filmloom.operators import search as srch
-from filmloom.operators.fuzzy import close_terms, edit_budget, fuzzy_matches, vocabulary_rests, within
+from filmloom.operators.fuzzy import close_index_terms, close_terms, dictionary, edit_budget, fuzzy_matches, vocabulary_rests, within
 from filmloom.queries.search import mixed_sql, stems_sql, tokens_sql
 
 
@@ -281,6 +281,26 @@ def test_fuzzy_search_finds_a_swapped_name(spark):
     assert re.match("^[0-9a-f]{32}$", found.first()["query_key"])
 
 
+def test_close_index_terms_equal_all_pairs(spark, vocabulary):
+    """Over two generations, with terms that share their first seven characters or are asked for at other lengths."""
+    ends = ["", "x", "xy", "yx", "xyz"]
+    held = sorted({*vocabulary, "", *("abcabca" + e for e in ends)})
+    docs = spark.createDataFrame(list(enumerate(held)), "id int, title string")
+    index = idx.build_index(docs.filter("id % 3 <> 0"), (idx.Field("title", "keyword"),)).update(docs.filter("id % 3 = 0"))
+    asked = [*vocabulary[::5], "", "ca", "abcabc", "abcacba", "bacabcaxy", "prefixed"]
+    got = close_index_terms(spark.createDataFrame([(a,) for a in [*asked, None]], "asked string"), index)
+    want = sorted((a, v) for a in set(asked) for v in held if osa_all(a, v) <= budget(a))
+    assert sorted(map(tuple, got.collect())) == want and len(index.gens) == 2
+
+
+def test_terms_that_share_a_beginning_are_expanded_once(spark):
+    docs = spark.createDataFrame([(i, f"prefixed{i}") for i in range(300)], "id int, title string")
+    words, rests = dictionary(idx.build_index(docs, (idx.Field("title", "keyword"),)))
+    assert words.count() == 300
+    # Once as a whole, and without one or two of seven characters, of which two may be the same.
+    assert rests.select("prefix").distinct().count() == 1 and rests.count() == rests.distinct().count() <= 1 + 7 + 21
+
+
 def test_common_runs_are_read_as_by_the_plain_pattern(spark):
     import random
 
