@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from filmloom.functions.text import ANALYSERS
 from filmloom.operators.skew import fits_broadcast, spread
-from filmloom.session import materialise, scratch_path
+from filmloom.session import by_folder, materialise, save, scratch_path, short_lived
 
 # Relevance parameters.
 K1 = 1.2
@@ -253,10 +253,11 @@ class Index:
         Only the given documents are analysed, and only the folders that held them are read.
         """
         ids = [df.select(F.col(key).cast(self.key).alias("doc")) for df in (docs, deleted) if df is not None]
-        gone = materialise(ids[0].unionByName(ids[-1]).distinct(), "changed-docs")
-        old = materialise(self.forward_of(gone), "former-terms")
-        fresh = counted_terms(docs, self.fields, key).withColumn("doc", F.col("doc").cast(self.key)) if docs is not None else old.limit(0)
-        _write(self, self.gens[-1] + 1, fresh, old, gone, base=False)
+        with short_lived(self.spark):
+            gone = materialise(ids[0].unionByName(ids[-1]).distinct(), "changed-docs")
+            old = materialise(self.forward_of(gone), "former-terms")
+            fresh = counted_terms(docs, self.fields, key).withColumn("doc", F.col("doc").cast(self.key)) if docs is not None else old.limit(0)
+            _write(self, self.gens[-1] + 1, fresh, old, gone, base=False)
         return open_index(self.spark, self.path, self.fields)
 
     def merged(self) -> Index:
@@ -274,11 +275,12 @@ def _stats_of(rows: DataFrame, sign: int) -> DataFrame:
 def _write(index: Index, gen: int, fresh: DataFrame, old: DataFrame, gone: DataFrame, base: bool) -> None:
     """Write the generation: the terms of new documents, less those of old ones."""
     spark, place = index.spark, lambda table: f"{index.path}/{table}/gen={gen}"
-    by_doc = fresh.withColumn("bucket", hash_bucket("doc", index.buckets)).hint("rebalance", "bucket")
-    by_doc.sortWithinPartitions("bucket", "doc").write.mode("overwrite").partitionBy("bucket").parquet(place("forward"))
+    put = lambda df, table, *folders: save(df.sparkSession, df.write.mode("overwrite").partitionBy(*folders), place(table))
+    # A document's rows come side by side.
+    put(by_folder(fresh.withColumn("bucket", hash_bucket("doc", index.buckets)), index.buckets, "bucket").sortWithinPartitions("bucket"), "forward", "bucket")
     alone = Index(spark, index.path, index.fields, index.buckets, index.key, (gen,), None)
     written = alone.forward.drop("bucket")
-    _stats_of(written, 1).unionByName(_stats_of(old, -1)).coalesce(1).write.mode("overwrite").parquet(place("stats"))
+    put(_stats_of(written, 1).unionByName(_stats_of(old, -1)).coalesce(1), "stats")
     seen = Index(spark, index.path, index.fields, index.buckets, index.key, (gen,) if base else (*index.gens, gen), None)
     gained = saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"))
     level = F.lit(len(LEVELS))
@@ -286,13 +288,13 @@ def _write(index: Index, gen: int, fresh: DataFrame, old: DataFrame, gone: DataF
         level = F.when(gained >= least, i).otherwise(level)
     # The statistics have one row for each field, of which there are a fixed few.
     by_term = written.join(F.broadcast(seen.stats), "field").withColumn("level", level).withColumn("bucket", hash_bucket("term", index.buckets))
-    by_term = by_term.select("doc", "field", "dl", "term", "tf", "at", "bucket", "level").hint("rebalance", "bucket", "level")
-    by_term.sortWithinPartitions("bucket", "level", "term").write.mode("overwrite").partitionBy("bucket", "level").parquet(place("postings"))
+    by_term = by_folder(by_term.select("doc", "field", "dl", "term", "tf", "at", "bucket", "level"), index.buckets * (len(LEVELS) + 1), "bucket", "level")
+    put(by_term.sortWithinPartitions("bucket", "level", "term"), "postings", "bucket", "level")
     bound = [F.count("*").alias("rows"), F.max(gained).alias("most"), F.first("avg_dl").alias("at_dl")]
     blocks = alone.postings.join(F.broadcast(seen.stats), "field").groupBy("field", "term", "level").agg(*bound)
     lost = old.groupBy("field", "term").agg((-F.count("*")).alias("rows"))
-    blocks.unionByName(lost, allowMissingColumns=True).write.mode("overwrite").parquet(place("blocks"))
-    gone.write.mode("overwrite").parquet(place("dead"))
+    put(blocks.unionByName(lost, allowMissingColumns=True), "blocks")
+    put(gone, "dead")
     entry = spark.createDataFrame([(gen, base, index.key, index.buckets)], "gen int, base boolean, key string, buckets int")
     entry.coalesce(1).write.mode("append").parquet(f"{index.path}/commits")
 
@@ -300,12 +302,13 @@ def _write(index: Index, gen: int, fresh: DataFrame, old: DataFrame, gone: DataF
 def write_index(docs: DataFrame, fields: Sequence[Field], path: str, key: str = "id", buckets: int = 256) -> Index:
     """Write an index of ``docs``, each given once. ``buckets`` are the folders of a level: thousands for a large corpus.
 
-    A folder swollen by a common term is cut into files of even size, each sorted by term.
+    A folder holds files of even size, each sorted by term.
     """
     doc = docs.schema[key].dataType.simpleString()
     empty = Index(docs.sparkSession, path, tuple(fields), buckets, doc, (), None)
     none = docs.sparkSession.createDataFrame([], f"doc {doc}, field string, dl int, term string, tf bigint, at array<int>")
-    _write(empty, 1, counted_terms(docs, fields, key), none, none.select("doc"), base=True)
+    with short_lived(docs.sparkSession):
+        _write(empty, 1, counted_terms(docs, fields, key), none, none.select("doc"), base=True)
     return open_index(docs.sparkSession, path, fields)
 
 

@@ -105,7 +105,7 @@ def skew_join(
     counted = facts if measure is None else measure
     if counted.count() <= floor:
         return facts.join(dim, list(on), how)
-    if fits_broadcast(dim):
+    if fits_broadcast(dim, max_rows=1_000_000):
         return facts.join(F.broadcast(dim), list(on), how)
     return salted_join(facts, dim, on, heavy_keys(counted, list(on), floor), how, salt_by, floor)
 

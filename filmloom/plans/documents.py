@@ -11,7 +11,7 @@ from filmloom.catalog import ROLE_FIELDS, Catalog
 from filmloom.functions.scalar import id_name, or_empty
 from filmloom.operators.aggregates import distinct_sorted
 from filmloom.operators.projections import names_of
-from filmloom.operators.skew import HOT_ROWS, skew_join
+from filmloom.operators.skew import HOT_ROWS, heavy_keys, skew_join
 from filmloom.session import materialise
 
 RELATIONS = ("genres", *ROLE_FIELDS.values())
@@ -35,11 +35,9 @@ def _named(links: DataFrame, names: DataFrame, measure: DataFrame) -> DataFrame:
 
 
 def _merged(links: DataFrame, stored: DataFrame) -> DataFrame:
-    """Distinct links of a table large enough to have a film with very many copies; a smaller one as it is.
-
-    Copies then merge before they move. The row count is read from the files' footers.
-    """
-    return links.distinct() if stored.count() > HOT_ROWS else links
+    """Distinct links where some film has very many rows, so that copies merge before they move; otherwise the links as
+    they are, as films with few links each have few copies to move."""
+    return links if heavy_keys(stored.select("film_work_id"), ["film_work_id"], HOT_ROWS) is None else links.distinct()
 
 
 def person_members(cat: Catalog) -> DataFrame:

@@ -15,7 +15,7 @@ from filmloom.operators.paging import SortKey, next_page, rows_between
 from filmloom.operators.sets import union_ids
 from filmloom.operators.skew import matching
 from filmloom.plans.documents import film_documents, restrict
-from filmloom.session import materialise
+from filmloom.session import materialise, short_lived
 from filmloom.sources.documents import DocumentTable
 from filmloom.sources.state import mark_of, write_state
 
@@ -161,7 +161,8 @@ def rebuilt(cat: Catalog, ids: DataFrame) -> DataFrame:
 
 def refresh(cat: Catalog, marks: Marks, table: DocumentTable, at_mark: bool = False) -> None:
     """Rebuild every affected document and upsert it."""
-    table.upsert(rebuilt(cat, affected_films(cat, marks, at_mark)), unique=True)
+    with short_lived(table.spark):
+        table.upsert(rebuilt(cat, affected_films(cat, marks, at_mark)), unique=True)
 
 
 def refresh_links(stored: StoredCatalog, table: DocumentTable, person: DataFrame | None = None, genre: DataFrame | None = None) -> DataFrame:
@@ -169,11 +170,19 @@ def refresh_links(stored: StoredCatalog, table: DocumentTable, person: DataFrame
 
     After a failure the same log is given again: the links are then as they should be, and the documents follow.
     """
-    near, films = stored.around({"film": stored.apply(person, genre)})
-    table.upsert(film_documents(near), unique=True)
+    with short_lived(table.spark):
+        films = materialise(stored.apply(person, genre), "film-ids", outlives=True)
+        refresh_around(stored, table, {"film": films})
     return films
 
 
+def refresh_around(stored: StoredCatalog, table: DocumentTable, changed: dict[str, DataFrame]) -> None:
+    """Rebuild the documents that the changed ids reach."""
+    with short_lived(table.spark):
+        near, _ = stored.around(changed)
+        table.upsert(film_documents(near), unique=True)
+
+
 def refresh_from_state(source: Catalog | StoredCatalog, state: str, table: DocumentTable) -> None:
     """Refresh from the marks kept at ``state``, and move them once the documents are written.
 
@@ -189,8 +198,7 @@ def refresh_from_state(source: Catalog | StoredCatalog, state: str, table: Docum
     moved = [m.select("name", F.col("mark").cast("timestamp").alias("mark"), F.col("last_id").cast("string").alias("last_id")) for m in moved]
     held = materialise(moved[0].unionByName(moved[1]).unionByName(moved[2]), "marks")
     if isinstance(source, StoredCatalog):
-        near, _ = source.around({e: changed_ids(getattr(cat, e), marks[e], at_mark=True) for e in ENTITIES})
-        table.upsert(film_documents(near), unique=True)
+        refresh_around(source, table, {e: changed_ids(getattr(cat, e), marks[e], at_mark=True) for e in ENTITIES})
     else:
         refresh(cat, Marks(**marks), table, at_mark=True)
     write_state(held, state)

@@ -15,7 +15,7 @@ from filmloom.operators.paging import pages_for, result_order
 from filmloom.operators.skew import skew_join
 from filmloom.plans.documents import film_documents, genre_pairs
 from filmloom.queries.registry import DOCUMENTS_SQL, DOCUMENT_FROM_SQL, ORDERS_SQL, members_sql, query, snapshot
-from filmloom.session import materialise, scratch_path, scratch_root
+from filmloom.session import materialise, scratch_path, scratch_root, short_lived
 
 TEXT = (idx.Field("text"),)
 SEP = ""
@@ -144,7 +144,9 @@ def kept_index(spark, sf_dir, name, docs, fields, tables):
     try:
         return idx.open_index(spark, path, fields)
     except AnalysisException:
-        return idx.write_index(docs(spark, sf_dir), fields, path, buckets=BUCKETS)
+        with short_lived(spark):
+            made = docs(spark, sf_dir)
+            return idx.write_index(made, fields, path, buckets=BUCKETS)
 
 
 def text_index(spark, sf_dir):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filmloom.operators.checks import conform, repeated, require_none
-from filmloom.session import materialise
+from filmloom.session import by_folder, materialise, save, short_lived
 
 
 @dataclass(frozen=True)
@@ -61,8 +61,8 @@ class DocumentTable:
         if places:
             none = self.spark.createDataFrame([(b, False) for b in places], "_bucket int, _live boolean")
             live = live.unionByName(none, allowMissingColumns=True)
-        made = live.hint("rebalance", "_bucket").write.option("maxRecordsPerFile", self.rows_per_file).partitionBy("_bucket")
-        (made.mode("overwrite").option("partitionOverwriteMode", "dynamic") if places else made.mode("append")).parquet(self.path)
+        made = by_folder(live, len(places or range(self.buckets)), "_bucket").write.option("maxRecordsPerFile", self.rows_per_file).partitionBy("_bucket")
+        save(live.sparkSession, made.mode("overwrite").option("partitionOverwriteMode", "dynamic") if places else made.mode("append"), self.path)
 
     def append(self, docs: DataFrame) -> None:
         """Add documents as they are: an id that exists already is then held twice."""
@@ -70,10 +70,11 @@ class DocumentTable:
 
     def insert(self, docs: DataFrame) -> None:
         """Add rows with new ids; an id held already, or given twice, fails the batch."""
-        source = materialise(docs, "insert")
-        held = self._near(source, self.key)[0].select(self.key)
-        require_none({"repeated id": repeated(source, [self.key]), "existing id": source.select(self.key).join(held, self.key, "left_semi")})
-        self.append(source)
+        with short_lived(self.spark):
+            source = materialise(docs, "insert")
+            held = self._near(source, self.key)[0].select(self.key)
+            require_none({"repeated id": repeated(source, [self.key]), "existing id": source.select(self.key).join(held, self.key, "left_semi")})
+            self.append(source)
 
     def latest(self, docs: DataFrame, order: str | None = None) -> DataFrame:
         """One row for each id, the one highest in ``order`` (default: the whole row)."""
@@ -87,8 +88,9 @@ class DocumentTable:
         ``unique`` says that ``docs`` holds each document once already.
         """
         newest = docs if unique else self.latest(docs, order)
-        source = materialise(conform(newest.select(*T.StructType.fromDDL(self.ddl).names), self.ddl), "upsert")
-        self.replace(source.select(self.key), source, [self.key])
+        with short_lived(self.spark):
+            source = materialise(conform(newest.select(*T.StructType.fromDDL(self.ddl).names), self.ddl), "upsert")
+            self.replace(source.select(self.key), source, [self.key])
 
     def replace(self, gone: DataFrame, rows: DataFrame, on: Sequence[str]) -> None:
         """Take out the rows equal to one of ``gone`` in the columns ``on`` (the key among them), and put in ``rows``.
@@ -100,14 +102,16 @@ class DocumentTable:
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on]
         if places:
             # New rows lie elsewhere already, so they aren't written aside.
-            self._write(materialise(kept.join(ended, same, "left_anti"), "kept-rows").unionByName(rows), places)
+            with short_lived(self.spark):
+                self._write(materialise(kept.join(ended, same, "left_anti"), "kept-rows").unionByName(rows), places)
 
     def delete(self, condition: Column) -> None:
         """Drop the rows for which ``condition`` holds; null keeps the row. Only their folders are written."""
         gone = F.coalesce(condition, F.lit(False))
         rows, places = self._near(self.read().filter(gone), self.key)
         if places:
-            self._write(materialise(rows.filter(~gone), "kept-rows"), places)
+            with short_lived(self.spark):
+                self._write(materialise(rows.filter(~gone), "kept-rows"), places)
 
     def truncate(self) -> None:
         self.read().limit(0).write.mode("overwrite").parquet(self.path)

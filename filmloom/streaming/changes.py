@@ -7,9 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmloom.plans.documents import film_documents
-from filmloom.plans.refresh import ENTITIES, StoredCatalog, refresh_links
-from filmloom.session import materialise
+from filmloom.plans.refresh import ENTITIES, StoredCatalog, refresh_around, refresh_links
+from filmloom.session import materialise, short_lived
 from filmloom.sources.documents import DocumentTable
 
 
@@ -86,9 +85,9 @@ def refresh_sink(stored: StoredCatalog, table: DocumentTable) -> Callable[[DataF
 
     def sink(batch: DataFrame, _: int) -> None:
         # Written once: the branches below would each read the batch again.
-        ids = materialise(batch.select("entity", "id").distinct(), "changed")
-        near, _ = stored.around({e: ids.filter(F.col("entity") == e).select("id") for e in ENTITIES})
-        table.upsert(film_documents(near), unique=True)
+        with short_lived(table.spark):
+            ids = materialise(batch.select("entity", "id").distinct(), "changed")
+            refresh_around(stored, table, {e: ids.filter(F.col("entity") == e).select("id") for e in ENTITIES})
 
     return sink
 

@@ -1,15 +1,19 @@
 """Document table, bootstrap, work-sets, marks, and the file and database connectors."""
 
 import datetime as dt
+import os
+import time
 from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from filmloom import session
 from filmloom.catalog import FILM_DOCUMENT, PERSON_DOCUMENT, TABLES
 from filmloom.functions import scalar
 from filmloom.operators import checks
+from filmloom.sources import documents
 from filmloom.sources.documents import DocumentTable
 from filmloom.sources.jdbc import JdbcSource
 from filmloom.sources.load import bootstrap, published
@@ -245,3 +249,53 @@ def test_an_upsert_writes_only_kept_rows_aside(spark, table, monkeypatch):
     table.upsert(frame(spark, (3, "b")))
     assert aside["upsert"] == 1 and aside["kept-rows"] < 20
     assert held(table.read()) == sorted([(i, "a") for i in range(20) if i != 3] + [(3, "b")])
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    return {name for name in files.split() if "/shuffle_" in name}
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    before, kept = shuffle_files(spark), spark.conf.get(session.CLEANUP)
+    rows = session.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("id")).count(), "grouped")
+    deadline = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and spark.conf.get(session.CLEANUP) == kept
+    assert rows.count() == 7
+
+
+def test_changes_leave_no_scratch_tables(spark, table):
+    session.materialise(spark.range(1), "first")
+    root = session.scratch_root(spark)
+    before = set(os.listdir(root))
+    table.insert(frame(spark, (1, "a"), (2, "b")))
+    table.upsert(frame(spark, (2, "B"), (3, "c")))
+    table.delete(F.col("id") == 1)
+    assert held(table.read()) == [(2, "B"), (3, "c")] and set(os.listdir(root)) == before
+
+
+def test_a_table_may_outlive_its_block(spark):
+    with session.short_lived(spark):
+        with session.short_lived(spark):
+            short, longer = session.materialise(spark.range(2), "short"), session.materialise(spark.range(3), "longer", outlives=True)
+            paths = [os.path.dirname(df.inputFiles()[0].removeprefix("file://")) for df in (short, longer)]
+        assert longer.count() == 3 and [os.path.exists(p) for p in paths] == [False, True]
+    assert not os.path.exists(paths[1])
+
+
+@pytest.mark.parametrize("buckets, moved", [(session.FEW_FOLDERS, False), (session.FEW_FOLDERS + 1, True)])
+def test_rows_of_few_folders_are_not_moved(spark, folder, monkeypatch, buckets, moved):
+    plans, save = [], documents.save
+
+    def seen(spark, writer, path):
+        plans.append(writer._df._jdf.queryExecution().optimizedPlan().toString())
+        save(spark, writer, path)
+
+    monkeypatch.setattr(documents, "save", seen)
+    table = DocumentTable(spark, f"{folder}/t", "id bigint, name string", buckets=buckets)
+    table.append(frame(spark, *[(i, "a") for i in range(60)]))
+    table.upsert(frame(spark, *[(i, "b") for i in range(30, 90)]))
+    assert ["RebalancePartitions" in p for p in plans] == [moved, moved]
+    assert held(table.read()) == [(i, "a" if i < 30 else "b") for i in range(90)]
