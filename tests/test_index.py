@@ -167,3 +167,42 @@ def test_scores_by_document_and_of_pairs(spark, large):
     pairs = full.filter("doc % 7 = 0").select("query_key", "doc")
     twice = pairs.unionByName(pairs).unionByName(pairs.withColumn("doc", F.lit(10**9)))
     assert sorted(map(tuple, srch.scores_of(twice, asked, large).collect())) == sorted(map(tuple, full.filter("doc % 7 = 0").collect()))
+
+
+@pytest.mark.parametrize("sums, postings", [(srch.SUMS, srch.POSTINGS), (40, 100)])
+def test_best_by_document_equal_full_scores(spark, folder, monkeypatch, sums, postings):
+    monkeypatch.setattr(srch, "SUMS", sums)
+    monkeypatch.setattr(srch, "POSTINGS", postings)
+    # One id twice with two lengths, null ids, and documents that ended.
+    docs = frame(spark, rows(1, range(300)) + [(7, "w0", "w0 w3 w0", ["a"]), (None, "w1", "w50 w7", None), (None, "w3", "w2", ["b"])])
+    index = idx.write_index(docs, FIELDS, f"{folder}/i").update(frame(spark, rows(2, range(280, 330))), spark.createDataFrame([(3,)], "id bigint"))
+    asked, full = texts(spark, 5).unionByName(texts(spark, 2)), srch.score(texts(spark), index)
+    monkeypatch.setattr(srch, "FEW_HITS", 0)
+    monkeypatch.setattr(srch, "SHARED", 0)
+    calls, made = [], srch.document_scores
+    monkeypatch.setattr(srch, "document_scores", lambda *a: calls.append(1) or made(*a))
+    found = srch.top_scores(asked, index)
+    assert best(found, 5) == best(full, 5) and calls and (found.count() < full.count() or sums == 40)
+    pairs = sorted(map(repr, srch.matches(texts(spark), index).collect()))
+    monkeypatch.setattr(srch, "FEW_HITS", 1 << 40)
+    assert pairs == sorted(map(repr, srch.matches(texts(spark), index).collect())) and len(calls) == 2
+
+
+def test_hits_are_not_shuffled(spark, large, monkeypatch):
+    monkeypatch.setattr(srch, "FEW_HITS", 0)
+    counted = srch.matches(texts(spark), large).groupBy("query_key").count()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(query_key") == 1 and "Exchange hashpartitioning(query_key#" in plan and ", doc#" not in plan.split("Exchange hashpartitioning(query_key")[1].split("ENSURE")[0]
+
+
+def test_an_index_of_few_folders_is_written_where_it_lies(spark, folder, monkeypatch):
+    plans, save = [], idx.save
+
+    def seen(spark, writer, path):
+        plans.append(writer._df._jdf.queryExecution().optimizedPlan().toString())
+        save(spark, writer, path)
+
+    monkeypatch.setattr(idx, "save", seen)
+    index = idx.write_index(frame(spark, rows(1, range(40))), FIELDS, f"{folder}/i", buckets=4)
+    assert len(plans) == 5 and not any("RebalancePartitions" in p for p in plans)
+    assert index.postings.count() == index.forward.count() > 0
